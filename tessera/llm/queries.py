@@ -24,11 +24,25 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.token_counts import token_counts
+
+    return token_counts(_table(spark, sf_dir, "documents"), "piece_bpe_32k.model", limit=4096)
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.substrings import repeated_words
+
+    return repeated_words(_table(spark, sf_dir, "documents"), width=35)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_best_fit_packing,
         op2_benchmark_decontamination,
+        op9_token_counts,
+        op10_substring_dedup,
     )
 }
 
@@ -59,5 +73,21 @@ SELECT f.doc_id, CAST(len(f.w) AS BIGINT) AS n_words, CAST(coalesce(c.n_hit, 0)
        CAST(coalesce(n.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(n.ids, '')) AS items_sha256,
        coalesce(c.n_hit, 0) > 0 AS contaminated
 FROM fold f LEFT JOIN covered c USING (doc_id) LEFT JOIN named n USING (doc_id)
+""",
+    "op10_substring_dedup": r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM split WHERE len(w) >= 35)
+), again AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p
+  FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY g) AS n FROM win) WHERE n > 1
+), gone AS (SELECT doc_id, list(p) AS ps FROM again GROUP BY doc_id)
+SELECT s.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+       sha256(CASE WHEN ps IS NULL THEN array_to_string(w, ' ') ELSE
+         coalesce((SELECT string_agg(x, ' ' ORDER BY i) FROM (SELECT unnest(s.w) AS x, unnest(range(1, len(s.w) + 1)) AS i) u
+          WHERE NOT list_contains(g.ps, u.i)), '') END) AS kept_sha256
+FROM split s LEFT JOIN gone g USING (doc_id)
 """,
 }
