@@ -25,6 +25,23 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.quality_rules import judge
+
+    found = judge(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "posterior",
+    )
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.simhash import near_duplicates
 
@@ -49,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_best_fit_packing,
         op2_benchmark_decontamination,
+        op3_quality_rules,
         op6_simhash_near_dedup,
         op9_token_counts,
         op10_substring_dedup,
