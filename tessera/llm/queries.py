@@ -42,6 +42,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.secrets import scan
+
+    return scan(_table(spark, sf_dir, "documents"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.simhash import near_duplicates
 
@@ -49,6 +55,12 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.sharding import shard
+
+    return shard(_table(spark, sf_dir, "documents"), shards=24)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.token_counts import token_counts
 
@@ -67,7 +79,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_best_fit_packing,
         op2_benchmark_decontamination,
         op3_quality_rules,
+        op4_secret_scans,
         op6_simhash_near_dedup,
+        op7_sharding,
         op9_token_counts,
         op10_substring_dedup,
     )
