@@ -48,6 +48,12 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(_table(spark, sf_dir, "documents"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.quality_classifier import classify
+
+    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.simhash import near_duplicates
 
@@ -61,6 +67,13 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_table(spark, sf_dir, "documents"), shards=24)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.toxicity import detect
+
+    found = detect(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("offending").alias("n_offending"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.token_counts import token_counts
 
@@ -80,8 +93,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_benchmark_decontamination,
         op3_quality_rules,
         op4_secret_scans,
+        op5_quality_classifier,
         op6_simhash_near_dedup,
         op7_sharding,
+        op8_toxicity,
         op9_token_counts,
         op10_substring_dedup,
     )
