@@ -18,38 +18,28 @@ back to a chunk is what was found elsewhere too.
 from __future__ import annotations
 
 import hashlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import partitions
+from tessera.llm.common import arrow_schema, partitions
 
 WIDTH = 35
 #: A perfect difference cover: every difference modulo 21 is that of two of its members.
 PERIOD, COVER = 21, (0, 1, 4, 14, 16)
 #: Bytes of text of a chunk, and of digests of a bucket: what a task holds at once.
 CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20
-#: Words of which a worker keeps the hash.
-CACHED = 1 << 20
 
 _U = np.uint64
 _BASE, _BASE_INVERSE = _U(0x9E3779B97F4A7C15), _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BASE2, _BASE2_INVERSE = _U(0xC2B2AE3D27D4EB4F), _U(pow(0xC2B2AE3D27D4EB4F, -1, 1 << 64))
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= CACHED:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_HASHES = _WordHashes()
+_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -80,16 +70,31 @@ def _rolled(hashes: np.ndarray, width: int, base: np.uint64, inverse: np.uint64)
     return _mixed((sums[width:] - sums[:-width]) * _powers(inverse, n))
 
 
+def _word_hashes(words: pa.LargeBinaryArray) -> np.ndarray:
+    _, offsets, raw = words.buffers()
+    cuts = np.frombuffer(offsets, np.int64)[: len(words) + 1].tolist()
+    raw = raw.to_pybytes()
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(raw[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)), np.uint64, len(words))
+
+
 class Chunk:
     """The words of a chunk's documents, one after the other."""
 
     def __init__(self, texts: list[bytes | None], width: int, period: int, cover: tuple[int, ...]):
-        self.words = [t.split() if t else [] for t in texts]
-        self.n = np.array([len(w) for w in self.words], np.int64)
-        self.first = np.concatenate([[0], np.cumsum(self.n)])
-        total = int(self.first[-1])
-        get = _HASHES.__getitem__
-        self.hashes = np.fromiter((get(w) for ws in self.words for w in ws), np.uint64, total)
+        self.texts = [t or b"" for t in texts]
+        line = np.frombuffer(b" ".join([*self.texts, b""]), np.uint8)
+        space = _SPACE[line]
+        edge = np.flatnonzero(np.diff(space, prepend=True))  # a word starts, a word ends, and so on
+        starts, ends = edge[::2], edge[1::2]
+        docs = np.cumsum([0] + [len(t) + 1 for t in self.texts])
+        self.first = np.searchsorted(starts, docs)
+        self.n = np.diff(self.first)
+        total = len(starts)
+        offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(line[~space])]
+        named = pa.Array.from_buffers(pa.large_binary(), total, buffers).dictionary_encode()
+        self.hashes = _word_hashes(named.dictionary)[named.indices.to_numpy()] if total else np.zeros(0, np.uint64)
         self.width, self.period, self.cover = width, period, cover
         ends = np.repeat(self.first[1:], self.n)  # where the document of each word ends
         self.left = ends - np.arange(total)  # words from here to that end
@@ -117,33 +122,64 @@ class Chunk:
         near = sums[np.minimum(starts + self.period, total)] > sums[starts]
         return starts[near & (self.left[: len(starts)] >= self.width)]
 
-    def digests(self, starts: np.ndarray) -> np.ndarray:
+    def digests(self, starts: np.ndarray) -> Digests:
         """96 bits of each window."""
-        out = np.empty(len(starts), DIGEST)
-        if len(starts):
-            out["a"] = _rolled(self.hashes, self.width, _BASE, _BASE_INVERSE)[starts]
-            out["b"] = _rolled(_mixed(self.hashes), self.width, _BASE2, _BASE2_INVERSE)[starts] >> _U(32)
-        return out
-
-
-DIGEST = np.dtype([("a", "<u8"), ("b", "<u4")])
-
-
-def _repeated(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values, in order, and which of them occur more than once."""
-    distinct, counts = np.unique(values, return_counts=True)
-    return distinct, counts > 1
-
-
-def _dealt(chunk: int, digests: np.ndarray, first: np.ndarray, buckets: int, schema: pa.Schema) -> pa.Table:
-    """Distinct digests, split into buckets by ``first``."""
-    bucket = (first >> _U(40)).astype(np.int64) % buckets
-    order = np.argsort(bucket, kind="stable")
-    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    ordered = digests[order]
-    full = [b for b in range(buckets) if cuts[b + 1] > cuts[b]]
+        if not len(starts):
+            return Digests(np.zeros(0, np.uint64), np.zeros(0, np.uint32))
+        a = _rolled(self.hashes, self.width, _BASE, _BASE_INVERSE)[starts]
+        b = _rolled(_mixed(self.hashes), self.width, _BASE2, _BASE2_INVERSE)[starts]
+        return Digests(a, (b >> _U(32)).astype(np.uint32))
+
+
+@dataclass
+class Digests:
+    """Two parts of digests, side by side: 64 bits, and 32 bits where windows are told apart for good."""
+
+    a: np.ndarray
+    b: np.ndarray | None = None
+
+    def __len__(self) -> int:
+        return len(self.a)
+
+    def at(self, where: np.ndarray) -> Digests:
+        return Digests(self.a[where], None if self.b is None else self.b[where])
+
+    def distinct(self) -> tuple[Digests, np.ndarray, np.ndarray]:
+        """The distinct ones in order, how often each occurs, and which of them each digest is."""
+        order = np.argsort(self.a, kind="stable")
+        s = self.at(order)
+        new = s.a[1:] != s.a[:-1]
+        if s.b is not None and not new.all():
+            differ = s.b[1:] != s.b[:-1]
+            if (differ & ~new).any():  # equal in the first part only
+                order = np.lexsort((self.b, self.a))
+                s = self.at(order)
+                new = (s.a[1:] != s.a[:-1]) | (s.b[1:] != s.b[:-1])
+        first = np.concatenate([np.ones(min(len(s), 1), bool), new])
+        starts = np.flatnonzero(first)
+        which = np.empty(len(s), np.int64)
+        which[order] = np.cumsum(first) - 1
+        return s.at(starts), np.diff(np.append(starts, len(s))), which
+
+    def pack(self) -> bytes:
+        return self.a.tobytes() + (b"" if self.b is None else self.b.tobytes())
+
+    @classmethod
+    def unpack(cls, raw: list[bytes], wide: bool) -> Digests:
+        if not wide:
+            return cls(np.frombuffer(b"".join(raw), np.uint64))
+        n = [len(x) // 12 for x in raw]
+        a = [np.frombuffer(x, np.uint64, k) for x, k in zip(raw, n, strict=True)]
+        b = [np.frombuffer(x, np.uint32, k, 8 * k) for x, k in zip(raw, n, strict=True)]
+        return cls(np.concatenate(a), np.concatenate(b))
+
+
+def _dealt(chunk: int, digests: Digests, buckets: int, schema: pa.Schema) -> pa.Table:
+    """Distinct digests, in order, cut into buckets by their first bits."""
+    cuts = np.searchsorted(digests.a >> _U(32), (np.arange(buckets + 1, dtype=np.uint64) << _U(32)) // _U(buckets))
+    full = [k for k in range(buckets) if cuts[k + 1] > cuts[k]]
     return pa.table(
-        [[chunk] * len(full), full, [ordered[cuts[b] : cuts[b + 1]].tobytes() for b in full]], schema=schema
+        [[chunk] * len(full), full, [digests.at(slice(cuts[k], cuts[k + 1])).pack() for k in full]], schema=schema
     )
 
 
@@ -151,29 +187,23 @@ _ROWS = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("found", pa.b
 _ROWS_DDL = "chunk int, bucket int, found binary"
 
 
-def _elsewhere(kind: np.dtype):
-    """For each chunk of a bucket, those of its digests that another chunk has too."""
+def _elsewhere(wide: bool):
+    """For each chunk of a bucket, the first parts of those of its digests that another chunk has too."""
 
     def run(table: pa.Table) -> pa.Table:
-        chunks = table.column("chunk").to_pylist()
-        each = [np.frombuffer(x, kind) for x in table.column("found").to_pylist()]
-        every = np.concatenate(each)
-        distinct, counts = np.unique(every, return_counts=True)
-        shared = distinct[counts > 1]
-        out = [(c, x[np.isin(x, shared)] if kind.names is None else _held(x, shared)) for c, x in zip(chunks, each, strict=True)]
-        out = [(c, (x if kind.names is None else x["a"]).tobytes()) for c, x in out if len(x)]
+        chunks, raw = table.column("chunk").to_pylist(), table.column("found").to_pylist()
+        sizes = np.array([len(x) for x in raw]) // (12 if wide else 8)
+        every = Digests.unpack(raw, wide)
+        _, counts, which = every.distinct()
+        shared = counts[which] > 1  # a chunk names a digest once
+        cuts = np.concatenate([[0], np.cumsum(sizes)])
+        back = [every.a[i:j][shared[i:j]].tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+        out = [(c, x) for c, x in zip(chunks, back, strict=True) if x]
         return pa.table([[c for c, _ in out], [0] * len(out), [x for _, x in out]], schema=_ROWS)
 
     return run
 
 
-def _held(x: np.ndarray, shared: np.ndarray) -> np.ndarray:
-    if not len(shared):
-        return x[:0]
-    at = np.minimum(np.searchsorted(shared, x), len(shared) - 1)
-    return x[shared[at] == x]
-
-
 def _joined(table: pa.Table) -> np.ndarray:
     """All digests that came back to a chunk, in order."""
     return np.sort(np.frombuffer(b"".join(table.column("found").to_pylist()), np.uint64))
@@ -223,24 +253,22 @@ def repeated_words(
 
     def send_anchors(table: pa.Table) -> pa.Table:
         _, digests = chunk_of(table).anchors()
-        distinct = np.unique(digests)
-        return _dealt(table.column("chunk")[0].as_py(), distinct, distinct, buckets, _ROWS)
+        distinct = Digests(np.unique(digests))
+        return _dealt(table.column("chunk")[0].as_py(), distinct, buckets, _ROWS)
 
     def candidates(c: Chunk, back: pa.Table) -> np.ndarray:
         at, digests = c.anchors()
-        distinct, again = _repeated(digests)
-        return c.around(at[_in(digests, distinct[again]) | _in(digests, _joined(back))])
+        _, counts, which = Digests(digests).distinct()
+        return c.around(at[(counts[which] > 1) | _in(digests, _joined(back))])
 
     def send_windows(table: pa.Table, back: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _ROWS.empty_table()
         c = chunk_of(table)
-        digests = np.unique(c.digests(candidates(c, back)))
-        return _dealt(table.column("chunk")[0].as_py(), digests, digests["a"], buckets, _ROWS)
+        distinct, _, _ = c.digests(candidates(c, back)).distinct()
+        return _dealt(table.column("chunk")[0].as_py(), distinct, buckets, _ROWS)
 
     out_ddl = f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string" + ", text string" * with_text
-    from tessera.llm.common import arrow_schema
-
     out_schema = arrow_schema(spark, out_ddl)
 
     def remove(table: pa.Table, back: pa.Table) -> pa.Table:
@@ -250,9 +278,9 @@ def repeated_words(
         tags = np.array(back.column("bucket").to_pylist(), np.int64)
         starts = candidates(c, back.filter(pa.array(tags == 0)) if len(tags) else back)
         digests = c.digests(starts)
-        distinct, again = _repeated(digests)
+        _, counts, which = digests.distinct()
         windows = _joined(back.filter(pa.array(tags == 1)) if len(tags) else back)
-        gone = starts[_held_mask(digests, distinct[again]) | _in(digests["a"], windows)]
+        gone = starts[(counts[which] > 1) | _in(digests.a, windows)]
         marks = np.zeros(len(c.hashes) + 1, np.int64)
         np.add.at(marks, gone, 1)
         np.add.at(marks, gone + width, -1)
@@ -260,7 +288,8 @@ def repeated_words(
         removed = np.concatenate([[0], np.cumsum(covered)])
         n_removed = removed[c.first[1:]] - removed[c.first[:-1]]
         kept = []
-        for k, ws in enumerate(c.words):
+        for k, text in enumerate(c.texts):
+            ws = text.split()
             if n_removed[k]:
                 stay = ~covered[c.first[k] : c.first[k + 1]]
                 ws = [w for w, s in zip(ws, stay.tolist(), strict=True) if s]
@@ -274,14 +303,8 @@ def repeated_words(
         return pa.table(columns + [pa.array([x.decode() for x in kept])] * with_text, schema=out_schema)
 
     sent = dealt.applyInArrow(send_anchors, _ROWS_DDL)
-    anchors = sent.groupBy("bucket").applyInArrow(_elsewhere(np.dtype("<u8")), _ROWS_DDL)
+    anchors = sent.groupBy("bucket").applyInArrow(_elsewhere(False), _ROWS_DDL)
     extended = dealt.cogroup(anchors.groupBy("chunk")).applyInArrow(send_windows, _ROWS_DDL)
-    windows = extended.groupBy("bucket").applyInArrow(_elsewhere(DIGEST), _ROWS_DDL)
+    windows = extended.groupBy("bucket").applyInArrow(_elsewhere(True), _ROWS_DDL)
     both = anchors.unionByName(windows.withColumn("bucket", F.lit(1)))
     return dealt.cogroup(both.groupBy("chunk")).applyInArrow(remove, out_ddl)
-
-
-def _held_mask(x: np.ndarray, shared: np.ndarray) -> np.ndarray:
-    if not len(shared):
-        return np.zeros(len(x), bool)
-    return shared[np.minimum(np.searchsorted(shared, x), len(shared) - 1)] == x
