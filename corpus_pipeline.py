@@ -1,5 +1,63 @@
-"""The corpus pipeline."""
-STAGES = []
+"""The corpus pipeline: from raw documents to packed training sequences.
+
+Five stages, each a (name, function) of STAGES that takes (spark, docs, sf_dir) and
+returns a DataFrame; every stage but the last returns the columns of ``documents``.
+Each sees exactly what the stage before it kept:
+
+1. quality_classifier: documents that the quadratic discriminant rejects go.
+2. near_duplicates: of each group of SimHash near-duplicates, the document with the smallest id stays.
+3. decontamination: documents that hold a window of a benchmark item go.
+4. secrets: secrets in texts are replaced by a mark; n_chars follows.
+5. packing: what is left is cut and packed into sequences of 2048 tokens.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tessera.llm import decontamination, packing, quality_classifier, secrets, simhash
+from tessera.llm.common import stored
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_classifier.keep_good(docs, _table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_first(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.keep_clean(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secrets.redact(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality_classifier", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontaminate),
+    ("secrets", redact_secrets),
+    ("packing", pack),
+]
+
+#: SQL can express neither the classifier nor the fingerprints; tests hold the stages against plain Python.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``, each one's output written as Parquet and read again."""
+    docs = _table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

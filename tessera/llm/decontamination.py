@@ -284,6 +284,14 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10, span: int
     )
 
 
+def keep_clean(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and any others) that hold no window of ``items``."""
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
+    found = decontaminate(docs.select(key.alias("doc_id"), "text"), items, width)
+    hit = found.where("contaminated").select(F.col("doc_id").alias("key_of_row")).distinct()
+    return docs.join(hit, key == F.col("key_of_row"), "left_anti")
+
+
 def _vocabulary(docs: DataFrame, items: DataFrame) -> Callable[[], set[bytes]] | None:
     """The items' words for the workers; None, which indexes all words, if the items are more than one block."""
     found: set[bytes] = set()

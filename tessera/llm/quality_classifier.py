@@ -9,14 +9,13 @@ over the labelled rows, so it sees all of them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_map, stored
+from tessera.llm.common import stored
 from tessera.llm.quality_rules import text_counts
 
 
@@ -55,6 +54,18 @@ class Class:
         z = (x - self.mean) @ self.whiten.T
         return np.log(self.prior) - self.log_scale - 0.5 * (z * z).sum(axis=1)
 
+    def density_column(self, names: list[str]) -> Column:
+        """The same as an expression over the columns ``names``."""
+        centred = [F.col(n) - float(m) for n, m in zip(names, self.mean, strict=True)]
+        distance = F.lit(0.0)
+        for row in self.whiten:
+            z = F.lit(0.0)
+            for w, x in zip(row.tolist(), centred, strict=True):
+                if w:
+                    z = z + x * w
+            distance = distance + z * z
+        return float(np.log(self.prior) - self.log_scale) - distance * 0.5
+
 
 @dataclass
 class Discriminant:
@@ -66,6 +77,9 @@ class Discriminant:
         odds = np.clip(self.good.log_density(x) - self.bad.log_density(x), -500, 500)
         return 1 / (1 + np.exp(-odds))
 
+    def score_column(self, names: list[str]) -> Column:
+        return 1 / (1 + F.exp(self.bad.density_column(names) - self.good.density_column(names)))
+
 
 def fit(sums: dict[int, tuple[int, np.ndarray, np.ndarray]], pooled: float = 0.1, diagonal: float = 0.1, floor: float = 0.02) -> Discriminant:
     """From each label's count, sum and sum of outer products.
@@ -125,23 +139,34 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **regul
     are not looked at.
     """
     names = list(statistics())
-    x = stored(text_counts(docs, "doc_id").select("doc_id", *(c.alias(n) for n, c in statistics().items())), "statistics")
+    x = stored(_statistics(docs, "doc_id"), "statistics")
+    model = learn(x, labels, **regularisation)
+    return x.select(
+        "doc_id",
+        (remainder("doc_id", 3) == 1).alias("held_out"),
+        model.score_column(names).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def _statistics(docs: DataFrame, *keep: str) -> DataFrame:
+    return text_counts(docs, *keep).select(*keep, *(c.alias(n) for n, c in statistics().items()))
+
+
+def learn(x: DataFrame, labels: DataFrame, **regularisation: float) -> Discriminant:
+    """From the statistics ``x`` of documents and those of their ``labels`` that are not held out."""
     known = (
         labels.select("doc_id", F.col("quality").cast("int").alias("quality"))
         .where(F.col("quality").isin(0, 1) & (remainder("doc_id", 3) != 1))
         .distinct()
     )
-    model = fit(sums_by_label(x.join(known, "doc_id"), "quality", names), **regularisation)
+    return fit(sums_by_label(x.join(known, "doc_id"), "quality", list(statistics())), **regularisation)
 
-    def rows(batches: Iterator[dict]) -> Iterator[dict]:
-        for b in batches:
-            yield {"doc_id": b["doc_id"], "score": model.score(np.column_stack([b[n] for n in names]))}
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = arrow_map(x, rows, f"doc_id {kind}, score double")
-    return scored.select(
-        "doc_id",
-        (remainder("doc_id", 3) == 1).alias("held_out"),
-        "score",
-        (F.col("score") >= threshold).cast("int").alias("predicted"),
-    )
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **regularisation: float) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text scores at least ``threshold`` (see ``classify``)."""
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole_row"), "text")
+    # Stored with the rows: a filter on statistics that are still expressions would be pushed into them, and work each out anew for every use.
+    x = stored(_statistics(whole, "whole_row"), "statistics")
+    names = list(statistics())
+    model = learn(x.select(F.col("whole_row.doc_id").alias("doc_id"), *names), labels, **regularisation)
+    return x.where(model.score_column(names) >= threshold).select("whole_row.*")
