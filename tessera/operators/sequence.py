@@ -64,40 +64,39 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], to: str
     return df.withColumn(to, F.row_number().over(_ordered(keys, order)).cast("long"))
 
 
-def interruptions(turns: DataFrame, debate: str, order: str, speaker: str, kind: str, words: str, least_words: int = 30) -> DataFrame:
-    """Interruptions of a main speaker (W8): who cuts in, and whether for the first time in a while.
-
-    The first turn of a debate that is not the chair's makes the main speaker. Another
-    person's turn of kind ``question`` interrupts; it is new if that person has not
-    interrupted before, or the main speaker has since said at least ``least_words`` words.
-    Adds ``interrupts`` (the main speaker's id, else null) and ``is_new`` (null unless it interrupts).
+def interruptions(parts: DataFrame, speech: str, order: str, speaker: str, part_id: str, words: str, announced: str, least_words: int = 30) -> DataFrame:
+    """Who interrupts the main speaker of a printed speech, of what kind, and from which part on.
+
+    The first speaker is the main one. Another's part right after a part of the main
+    speaker begins a new interruption if that person has none yet or the main speaker has
+    since said ``least_words`` words; else it goes on with the person's last one. Its kind
+    depends on ``announced``, whether the part before it announces a short intervention. A
+    part right after another interruption goes on with the person's own or is a question.
+    Adds interruption and interruption_start, null on the main speaker's parts. Parts of a
+    speech are few, so each speech is one group.
     """
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in turns.schema)
-    who = turns.schema[speaker].dataType.simpleString()
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema)
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values(order)
-        main, said, last_at = None, 0, {}
-        interrupts, is_new = [], []
-        for s, k, n in zip(g[speaker], g[kind], g[words], strict=True):
-            if k == "chair":
-                interrupts.append(None)
-                is_new.append(None)
-                continue
-            if main is None:
-                main = s
-            if s == main:
-                said += int(n or 0)
-                interrupts.append(None)
-                is_new.append(None)
-            elif k == "question":
-                interrupts.append(main)
-                is_new.append(s not in last_at or said - last_at[s] >= least_words)
-                last_at[s] = said
-            else:  # a new main speech
-                main, said, last_at = s, int(n or 0), {}
-                interrupts.append(None)
-                is_new.append(None)
-        return g.assign(interrupts=interrupts, is_new=is_new)
-
-    return turns.groupBy(debate).applyInPandas(run, f"{schema}, interrupts {who}, is_new boolean")
+        main, said, before, telling = g[speaker].iloc[0], 0, None, False
+        own: dict = {}
+        kinds, starts = [], []
+        for who, part, n, tells in zip(g[speaker], g[part_id], g[words], g[announced], strict=True):
+            if who == main:
+                said += int(n)
+                kinds.append(None)
+                starts.append(None)
+            else:
+                after_main = before == main
+                if after_main and (who not in own or said >= least_words):
+                    own[who] = ("kurzintervention" if telling else "zwischenfrage", part)
+                kind, start = own.setdefault(who, ("zwischenfrage", part))
+                said = 0 if after_main else said
+                kinds.append(kind)
+                starts.append(start)
+            before, telling = who, bool(tells)
+        return g.assign(interruption=kinds, interruption_start=starts)
+
+    kind = parts.schema[part_id].dataType.simpleString()
+    return parts.groupBy(speech).applyInPandas(run, f"{schema}, interruption string, interruption_start {kind}")
