@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_map, stored
+from tessera.llm.common import arrow_map, fresh, stored
 
 #: Words of a segment: bounds the memory of a task whatever a partition holds (a longer document is a segment of its own).
 SEGMENT_WORDS = 1_000_000
@@ -288,8 +288,9 @@ def keep_clean(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
     """The rows of ``docs`` (doc_id, text and any others) that hold no window of ``items``."""
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
     found = decontaminate(docs.select(key.alias("doc_id"), "text"), items, width)
-    hit = found.where("contaminated").select(F.col("doc_id").alias("key_of_row")).distinct()
-    return docs.join(hit, key == F.col("key_of_row"), "left_anti")
+    name = fresh(docs, "key_of_row")
+    hit = found.where("contaminated").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(hit, key == F.col(name), "left_anti")
 
 
 def _vocabulary(docs: DataFrame, items: DataFrame) -> Callable[[], set[bytes]] | None:

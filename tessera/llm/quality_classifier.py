@@ -164,9 +164,9 @@ def learn(x: DataFrame, labels: DataFrame, **regularisation: float) -> Discrimin
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **regularisation: float) -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose text scores at least ``threshold`` (see ``classify``)."""
-    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole_row"), "text")
+    rows = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole_row")
     # Stored with the rows: a filter on statistics that are still expressions would be pushed into them, and work each out anew for every use.
-    x = stored(_statistics(whole, "whole_row"), "statistics")
+    x = stored(_statistics(docs.select(rows, "text"), "whole_row"), "statistics")
     names = list(statistics())
     model = learn(x.select(F.col("whole_row.doc_id").alias("doc_id"), *names), labels, **regularisation)
     return x.where(model.score_column(names) >= threshold).select("whole_row.*")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_map, arrow_schema
+from tessera.llm.common import arrow_map, arrow_schema, fresh, stored
 from tessera.llm.components import components
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
@@ -79,7 +79,7 @@ def balls(bits: int, radius: int) -> list[int]:
 
 
 def _linked(members: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """A forest over ``members`` (distinct) that joins those whose chains of links meet."""
+    """Links among ``members`` (distinct) that join all whose chains of links meet: a forest, fewer than there are members."""
     root = np.arange(len(members))
 
     def find(k: int) -> int:
@@ -91,8 +91,8 @@ def _linked(members: np.ndarray, radius: int) -> list[tuple[int, int]]:
     out = []
     for k in range(1, len(members)):
         near = np.flatnonzero(np.bitwise_count(members[:k] ^ members[k]) <= radius)
-        for r in {find(j) for j in near.tolist()}:
-            out.append((int(members[r].astype(np.int64)), int(members[k].astype(np.int64))))
+        for r, j in {find(j): j for j in near.tolist()}.items():  # one link to each tree that it meets
+            out.append((int(members[j].astype(np.int64)), int(members[k].astype(np.int64))))
             root[r] = k
     return out
 
@@ -155,8 +155,6 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     Null and empty texts have fingerprint zero, which links like any other. Repeated
     rows stay. Other columns are not looked at.
     """
-    from tessera.llm.common import stored
-
     marked = stored(fingerprints(docs, shingle), "fingerprints")
     distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     roots = components(links(distinct.select("fp"), radius, n_segments)).withColumnRenamed("node", "fp")
@@ -171,12 +169,9 @@ def keep_first(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, n_
 
     A component whose doc_ids are all null keeps one of its rows.
     """
-    from tessera.llm.common import stored
-
-    numbered = stored(docs.withColumn("row_of_table", F.monotonically_increasing_id()), "rows")
-    keyed = numbered.withColumn("doc_id_", F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row_of_table")))
-    marked = near_duplicates(
-        keyed.select(F.col("doc_id_").alias("doc_id"), "text"), radius, shingle, n_segments
-    )
-    first = marked.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id.row_of_table").alias("row_of_table"))
-    return numbered.join(first, "row_of_table", "left_semi").drop("row_of_table")
+    row = fresh(docs, "row_of_table")
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
+    marked = near_duplicates(numbered.select(key.alias("doc_id"), "text"), radius, shingle, n_segments)
+    first = marked.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id.row").alias(row))
+    return numbered.join(first, row, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
