@@ -1,0 +1,156 @@
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.functions import comments, decisions, groups, questions
+from tessera.functions import text as X
+
+D = datetime.date
+
+
+def one(spark, value, f, kind="string"):
+    return spark.createDataFrame([(value,)], f"x {kind}").select(f(F.col("x")).alias("y")).first()["y"]
+
+
+@pytest.mark.parametrize(
+    "f, value, want",
+    [
+        (X.clean_text, " a b  c­c \n d ", "a b cc d"),
+        (X.clean_text, None, ""),
+        (X.iso_date, "25.03.2025", D(2025, 3, 25)),
+        (X.iso_date, "x", None),
+        (X.german_date, "am Montag, den 13. Oktober 2025", D(2025, 10, 13)),
+        (X.german_date, "am 03.04.2025 und 1. Mai 2026", D(2026, 5, 1)),
+        (X.normalize_name, "Dr. Özdemir-Müßig, É.", "oezdemir muessig e"),
+        (X.document_numbers, "Drs. 21/7300, 21/12 (neu), 121/3", ["21/7300", "21/12"]),
+        (X.decimal_comma, "38,263", 38.263),
+        (X.decimal_comma, "", None),
+        (X.leading_int, "683D", 683),
+        (X.leading_int, "x", None),
+        (X.first_page, "12-14", 12),
+        (groups.normalize_fraction, " Fraktion DIE  LINKE. ", "Die Linke"),
+        (groups.normalize_fraction, "Neue ", "Neue"),
+        (groups.normalize_fraction, "", None),
+        (groups.party_fraction, "CSU", "CDU/CSU"),
+        (groups.party_fraction, "SSW", None),
+        (groups.originator_group, "Fraktion der SPD", "SPD"),
+        (groups.originator_group, "Bundesministerium der Finanzen", "Bundesregierung"),
+        (groups.originator_group, "Innenausschuss", None),
+        (groups.department_key, "Bundesministerium der Justiz und für Verbraucherschutz", "bundesministerium-der-justiz-verbraucherschutz"),
+    ],
+)
+def test_scalar(spark, f, value, want):
+    assert one(spark, value, f) == want
+
+
+@pytest.mark.parametrize(
+    "role, want",
+    [
+        ("Bundeskanzler", ("kanzler", "Bundeskanzleramt")),
+        ("Bundesministerin für Gesundheit", ("minister", "Bundesministerium für Gesundheit")),
+        ("Bundesminister des Auswärtigen", ("minister", "Auswärtiges Amt")),
+        ("Parl. Staatssekretär beim Bundesminister der Finanzen", ("parl_sts", "Bundesministerium der Finanzen")),
+        ("Staatsministerin beim Bundeskanzler", ("staatsminister", "Bundeskanzleramt")),
+        ("Staatsminister für Kultur und Medien", ("staatsminister", "Bundeskanzleramt")),
+        ("Parlamentarische Staatssekretärin", ("parl_sts", None)),
+        ("Staatssekretär im Auswärtigen Amt", ("beamteter_sts", "Auswärtiges Amt")),
+        ("Staatsminister (Hessen)", None),
+        ("Wehrbeauftragter", None),
+    ],
+)
+def test_roles(spark, role, want):
+    got = one(spark, role, groups.parse_role)
+    assert (tuple(got) if got else None) == want
+
+
+@pytest.mark.parametrize(
+    "role, fraction, want",
+    [("Bundesminister der Finanzen", "SPD", "Bundesregierung"), ("Minister (Bayern)", None, "Bundesrat"), (None, "AfD", "AfD"), (None, None, "Sonstige")],
+)
+def test_speaker_group(spark, role, fraction, want):
+    df = spark.createDataFrame([(role, fraction)], "r string, f string")
+    assert df.select(groups.speaker_group(F.col("r"), F.col("f"))).first()[0] == want
+
+
+def test_sentences(spark):
+    got = one(spark, "Guten Tag. Dr. Muster spricht zu Nr. 5. Danke! Ja?", X.sentences)
+    assert got == ["Guten Tag.", "Dr. Muster spricht zu Nr. 5.", "Danke!", "Ja?"]
+
+
+def test_comment_parts_and_actors():
+    p = comments.parse("(Beifall bei der SPD sowie bei Abgeordneten der CDU/CSU – Zuruf von der AfD: Falsch! – Erika Muster [SPD]: Reden Sie – bitte! – weiter!)")
+    assert [(x.kind, x.text) for x in p] == [("beifall", None), ("zuruf", "Falsch!"), ("zuruf", "Reden Sie – bitte! – weiter!")]
+    assert [(a.kind, a.fraction) for a in p[0].actors] == [("fraction", "SPD"), ("members", "CDU/CSU")]
+    assert p[2].actors[0] == comments.Actor("person", "SPD", "Erika Muster")
+
+
+def test_two_kinds_share_actors_and_addressees():
+    p = comments.parse("(Heiterkeit und Beifall im ganzen Hause – Gegenruf der Abg. Eva Test [AfD] an den Abg. Max Muster [SPD]: Nein!)")
+    assert [x.kind for x in p] == ["heiterkeit", "beifall", "gegenruf"]
+    assert p[0].actors == (comments.Actor("house"),)
+    assert p[2].actors[0].name == "Eva Test" and p[2].to.name == "Max Muster"
+    assert comments.parse("(Glocke des Präsidenten)")[0].kind == "other"
+
+
+def read(*paragraphs, period=21):
+    stream = [decisions.Sentence("i", n, s, n) for n, p in enumerate(paragraphs, 1) for s in decisions.sentences(p)]
+    return decisions.Reader(period).read(stream)
+
+
+def test_show_of_hands():
+    (d,) = read("Wir kommen zur Abstimmung über den Antrag der Fraktion Die Linke auf Drucksache 21/5. Wer stimmt dafür? – Die Linke. Wer stimmt dagegen? – Alle übrigen Fraktionen. Der Antrag ist abgelehnt.")
+    assert (d.kind, d.result, d.number, d.subject) == ("handzeichen", "abgelehnt", "21/5", "Antrag der Fraktion Die Linke")
+    assert d.fractions == {"Die Linke": "yes", "CDU/CSU": "no", "AfD": "no", "SPD": "no", "BÜNDNIS 90/DIE GRÜNEN": "no"}
+
+
+def test_clauses_of_a_result():
+    (d,) = read("Wer stimmt für die Beschlussempfehlung? Die Beschlussempfehlung ist mit den Stimmen der Koalition gegen die Stimmen der AfD bei Enthaltung der Grünen angenommen.")
+    assert d.fractions == {"CDU/CSU": "yes", "SPD": "yes", "AfD": "no", "BÜNDNIS 90/DIE GRÜNEN": "abstain"}
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Der Antrag ist im Ausschuss abgelehnt worden.",
+        "Wer stimmt für die Überweisung? Die Überweisung ist damit angenommen.",
+        "Wer stimmt dafür? Wenn der Antrag angenommen ist, sehen wir weiter.",
+    ],
+)
+def test_no_decisions(text):
+    assert read(text) == []
+
+
+def test_roll_calls_wait_for_their_totals():
+    found = read(
+        "Ich eröffne die namentliche Abstimmung über den Antrag auf Drucksache 21/7.",
+        "Ich eröffne die namentliche Abstimmung über den Antrag auf Drucksache 21/8.",
+        "Ergebnis der namentlichen Abstimmung auf Drucksache 21/8: Mit Ja haben gestimmt 10, mit Nein haben gestimmt 300, keine Enthaltung. Der Antrag ist damit abgelehnt.",
+    )
+    assert [(d.number, d.result, d.counts) for d in found] == [("21/7", None, None), ("21/8", "abgelehnt", (10, 300, 0))]
+    votes = [{"id": "v1", "number": 1, "yes": 305, "no": 200}, {"id": "v2", "number": 2, "yes": 11, "no": 299}]
+    assert decisions.link_roll_calls(found, votes) == ["v1", "v2"]
+    assert decisions.anchored(found, "21/1") == ["21/1/n1", "21/1/n2"]
+
+
+def test_negated_result():
+    assert decisions.result_of("Damit ist der Wahlvorschlag nicht angenommen.") == "abgelehnt"
+    assert decisions.totals_of("Mit Ja haben gestimmt 5, mit Nein haben gestimmt 6, eine Enthaltung") == (5, 6, 1)
+
+
+def test_interview_threads():
+    t = questions.Turn
+    got = questions.interview([
+        t("1", "min", True), t("2", "a", False, ("Wir kommen zur ersten Frage.",)), t("3", "min", False), t("4", "a", False, ("Eine Nachfrage?",)),
+        t("5", "min", False), t("6", "b", False, ("Die nächste Nachfrage hat Frau B.",)), t("7", "c", False, ("Herr C, bitte.",)), t("8", "min", False), t("9", "c", False),
+    ])
+    assert [r for _, r, _ in got] == ["einleitung", "frage", "antwort", "nachfrage", "antwort", "zusatzfrage", "frage", "antwort", "nachfrage"]
+    assert [th for _, _, th in got] == [None, "2", "2", "2", "2", "2", "7", "7", "7"]
+
+
+def test_questions_read_out():
+    p = [("chair", 0, "Wir kommen zur Frage 3 des Abgeordneten Max von Muster, SPD:"), ("chair", 0, "Erster Teil."), ("chair", 0, "Was nun?"), ("chair", 2, "Die Frage 4 der Kollegin Eva Test wird schriftlich beantwortet.")]
+    calls = questions.read_out(p)
+    assert calls == [{"number": "3", "name": "Max von Muster", "text": "Erster Teil.\n\nWas nun?", "after_speeches": 0}]
+    turns = [("s1", 1, "m", "Minister", True), ("s2", 2, "p", "Muster", False), ("s3", 3, "q", "Test", False)]
+    assert questions.question_time(turns, calls) == [("s1", "antwort", "s1"), ("s2", "nachfrage", "s1"), ("s3", "zusatzfrage", "s1")]
