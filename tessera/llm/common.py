@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 WHITE = " \t\n\x0b\x0c\r"
 
 
+#: Rows that a Python operator has as objects at a time.
+SLICE = 1000
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it.
 
@@ -66,7 +70,9 @@ def arrow_map(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[dict]], s
     names, kinds = df.columns, arrow_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = ({n: b.column(i).to_pylist() for i, n in enumerate(names)} for b in batches if b.num_rows)
+        # A batch may be tens of megabytes of text; as Python objects, only a slice of it is there at a time.
+        slices = (b.slice(k, SLICE) for b in batches for k in range(0, b.num_rows, SLICE))
+        columns = ({n: s.column(i).to_pylist() for i, n in enumerate(names)} for s in slices)
         for out in rows(columns):
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in kinds], schema=kinds)
 

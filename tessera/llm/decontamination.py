@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import arrow_map, fresh, stored
 
 #: Words of a segment: bounds the memory of a task whatever a partition holds (a longer document is a segment of its own).
-SEGMENT_WORDS = 1_000_000
+SEGMENT_WORDS = 500_000
 #: Bytes of query text that one search carries to every worker; more text goes in blocks.
 BLOCK_BYTES = 16 << 20
 

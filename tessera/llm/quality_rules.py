@@ -67,7 +67,8 @@ def _repeat_words(counted: DataFrame) -> DataFrame:
 
     Sorting (hash, place) pairs would bring equal windows together, but only plain
     numbers sort fast. So the place is packed into the hash's low bits, and neighbours
-    that agree in the high bits are compared by their whole hashes.
+    that agree in the high bits are compared by their whole hashes. Places are right up
+    to 2 ** PLACE_BITS words; the words of a longer text would not fit an executor as an array.
     """
     mask = (1 << PLACE_BITS) - 1
     packed = F.sort_array(F.transform("h", lambda x, i: x.bitwiseAND(~mask).bitwiseOR(i.cast("long"))))
