@@ -601,3 +601,82 @@ def normalized_names(spark, d):
 def case_insensitive_like(spark, d):
     """LIKE without regard to case."""
     return table(spark, d, "part").where(F.col("p_name").ilike("%RING%") & ~F.col("p_type").ilike("promo%")).select("p_partkey", "p_name", "p_type")
+
+
+@query
+def exists_flags(spark, d):
+    """Of each customer's orders, how many have a returned line, and how many any; EXISTS as joins to distinct keys."""
+    o, li = table(spark, d, "orders"), table(spark, d, "lineitem")
+    flag = lambda cond, name: li.where(cond).select(F.col("l_orderkey").alias("o_orderkey")).distinct().withColumn(name, F.lit(True))
+    joined = o.join(flag("l_returnflag = 'R'", "_r"), "o_orderkey", "left").join(flag("true", "_any"), "o_orderkey", "left")
+    return joined.groupBy("o_custkey").agg(F.count("*").alias("n"), F.count_if("_r").alias("n_returned"), F.count_if("_any").alias("n_any"))
+
+
+@query
+def scalar_conversions(spark, d):
+    """Decimal commas, page ranges and back, days out of seconds, days before."""
+    o = _orders(spark, d)
+    comma = F.replace(F.format_string("%.2f", "o_totalprice"), F.lit("."), F.lit(","))
+    pages = X.page_range(F.col("o_orderkey"), F.col("o_orderkey") + F.col("o_custkey") % 3)
+    return o.select(
+        "o_orderkey",
+        X.decimal_comma(comma).alias("price"),
+        pages.alias("pages"),
+        X.first_page(pages).alias("first_page"),
+        X.unix_day(F.unix_date("o_orderdate").cast("long") * 86400 + 3600).alias("day"),
+        F.date_sub("o_orderdate", 1).alias("day_before"),
+        X.document_id(F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string")).alias("cited"),
+    )
+
+
+@query
+def table_invariants(spark, d):
+    """§1.3: repeated keys of every keyed table."""
+    keys = {"customer": ["c_custkey"], "orders": ["o_orderkey"], "part": ["p_partkey"], "supplier": ["s_suppkey"], "lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"]}
+    each = [checks.repeated_keys(table(spark, d, t), k).agg(F.count("*").alias("n_repeated")).select(F.lit(t).alias("table_name"), "n_repeated") for t, k in keys.items()]
+    out = each[0]
+    for x in each[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+@query
+def first_and_last_wins(spark, d):
+    """Of a day's events of a type, the first by time of each user's, and the last."""
+    e = _events(spark, d)
+    w = ["user_id", "day", "event_type"]
+    first = dedup.best_row(e, w, [F.col("ts"), F.col("event_id")]).select(*w, F.col("event_id").alias("first_id"))
+    last = dedup.latest(e, w, "ts", "event_id").select(*w, F.col("event_id").alias("last_id"))
+    return first.join(last, w)
+
+
+# ---------------------------------------------------------------- sequential by nature: no SQL
+
+
+@query
+def greedy_pairs(spark, d):
+    """Suppliers of a nation paired off by growing difference of balances, each once."""
+    from tessera.operators import assign
+
+    pairs = tolerance_pairs(spark, d)
+    return assign.greedy(pairs, ["s_nationkey"], "a_key", "b_key", "difference")
+
+
+@query
+def interruption_machine(spark, d):
+    """Of a user's day, which types of events cut into the one that opened it, and from which event on."""
+    e = _events(spark, d).withColumns({"speech": F.concat_ws("/", "user_id", "day"), "words": F.col("value").cast("int"), "announced": F.col("event_type") == "signup"})
+    slim = e.select("speech", "ts", "event_type", "event_id", "words", "announced")
+    return sequence.interruptions(slim, "speech", "ts", "event_type", "event_id", "words", "announced").select("speech", "event_id", "interruption", "interruption_start")
+
+
+@query
+def best_assignment(spark, d):
+    """Of each conversation, the user's turns with the assistant's whose words overlap them most."""
+    from tessera.operators import assign
+
+    c = table(spark, d, "conversations").select("conv_id", "turn", "role", X.words(F.col("text"), 4).alias("w"))
+    a = c.where("role = 'user'").select("conv_id", F.col("turn").alias("asked"), F.col("w").alias("wa"))
+    b = c.where("role = 'assistant'").select("conv_id", F.col("turn").alias("answered"), F.col("w").alias("wb"))
+    pairs = a.join(b, "conv_id").select("conv_id", "asked", "answered", X.overlap_ratio(F.col("wa"), F.col("wb")).alias("score"))
+    return assign.best_assignment(pairs, ["conv_id"], "asked", "answered", "score")

@@ -226,4 +226,16 @@ SELECT CASE WHEN o_orderdate >= DATE '2000-09-30' THEN 15 WHEN o_orderdate >= DA
     "normalized_names": """
 SELECT c_custkey, trim(regexp_replace(regexp_replace(lower(c_name), '[^a-z ]+', ' ', 'g'), ' +', ' ', 'g')) || ' von ' || lower(c_mktsegment) AS name FROM customer""",
     "case_insensitive_like": "SELECT p_partkey, p_name, p_type FROM part WHERE p_name ILIKE '%RING%' AND p_type NOT ILIKE 'promo%'",
+    "exists_flags": """
+SELECT o_custkey, count(*) AS n, count(*) FILTER (EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')) AS n_returned,
+       count(*) FILTER (EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)) AS n_any FROM orders GROUP BY 1""",
+    "scalar_conversions": f"""
+SELECT o_orderkey, round(o_totalprice, 2) AS price, CASE WHEN o_custkey % 3 = 0 THEN CAST(o_orderkey AS VARCHAR) ELSE o_orderkey || '-' || (o_orderkey + o_custkey % 3) END AS pages,
+       CAST(o_orderkey AS INTEGER) AS first_page, o_orderdate AS day, o_orderdate - 1 AS day_before, o_custkey || '/' || o_orderkey AS cited FROM {_O}""",
+    "table_invariants": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS n_repeated FROM (SELECT 1 FROM {t} GROUP BY {k} HAVING count(*) > 1)"
+        for t, k in (("customer", "c_custkey"), ("orders", "o_orderkey"), ("part", "p_partkey"), ("supplier", "s_suppkey"), ("lineitem", "l_orderkey, l_linenumber"), ("events", "event_id"))
+    ),
+    "first_and_last_wins": f"""
+SELECT user_id, day, event_type, arg_min(event_id, (ts, event_id)) AS first_id, arg_max(event_id, (ts, event_id)) AS last_id FROM {_E} GROUP BY ALL""",
 }

@@ -530,9 +530,9 @@ def speeches_in_sub_items(speeches: DataFrame, paragraphs: DataFrame, subs: Data
     p = paragraphs.select("agenda_item_id", (F.col("after_speeches") + 1).alias("position"), F.col("position").alias("_at"))
     last = p.groupBy("agenda_item_id", "position").agg(F.max("_at").alias("_at"))
     placed = link.asof(speeches.drop("sub_item_id"), last, ["agenda_item_id"], "position", ["_at"])
-    s = subs.select("agenda_item_id", F.col("id").alias("sub_item_id"), "first_paragraph", "last_paragraph")
-    inside = (placed["agenda_item_id"] == s["agenda_item_id"]) & F.col("_at").between(F.col("first_paragraph"), F.col("last_paragraph"))
-    return placed.join(s, inside, "left").drop(s["agenda_item_id"]).drop("first_paragraph", "last_paragraph", "_at")
+    s = subs.select(F.col("agenda_item_id").alias("_item"), F.col("id").alias("sub_item_id"), "first_paragraph", "last_paragraph")
+    inside = (F.col("agenda_item_id") == F.col("_item")) & F.col("_at").between(F.col("first_paragraph"), F.col("last_paragraph"))
+    return placed.join(s, inside, "left").drop("_item", "first_paragraph", "last_paragraph", "_at")
 
 
 DECISIONS = (
