@@ -20,27 +20,45 @@ def lookup(df: DataFrame, dimension: DataFrame, keys: Sequence[str], last: Seque
     return df.join(best_row(dimension, keys, last), list(keys), how)
 
 
-def asof(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, take: Sequence[str], forward: bool = False) -> DataFrame:
-    """Each left row with the last right row at or before it (``forward``: the first at or after it) of its key.
+def asof(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, take: Sequence[str], forward: bool = False, strict: bool = False) -> DataFrame:
+    """Each left row with the last right row at or before it (``forward``: the first at or after it; ``strict``: not at it) of its key.
 
     One union and one window over a sort: no row meets more than its neighbours, however
     many events a key has, and both sides are read once.
     """
     value = F.struct(*(F.col(c) for c in take))
     kind = left.select(*left.columns).schema
-    # At the same moment right rows come first.
+    # At the same moment right rows come first, unless they must not count.
+    side = F.col("_side").desc() if strict else F.col("_side")
     lefts = left.withColumn("_right", F.lit(None).cast(right.select(value.alias("v")).schema["v"].dataType))
     rights = right.select(*(F.col(c) for c in keys), F.col(at), value.alias("_right"))
     for f in kind:
         if f.name not in (*keys, at):
             rights = rights.withColumn(f.name, F.lit(None).cast(f.dataType))
     both = lefts.withColumn("_side", F.lit(1)).unionByName(rights.withColumn("_side", F.lit(0)))
-    order = [F.col(at).desc() if forward else F.col(at), F.col("_side")]
+    order = [F.col(at).desc() if forward else F.col(at), side]
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seen = both.withColumn("_found", F.last("_right", ignorenulls=True).over(w)).where("_side = 1")
     return seen.select(*left.columns, *(F.col(f"_found.{c}").alias(c) for c in take))
 
 
+def asof_in_buckets(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, take: Sequence[str], bucket: Column) -> DataFrame:
+    """As ``asof``, for keys that may hold a large share of all rows: a key's rows are cut into buckets of ``at``.
+
+    ``bucket`` is a growing function of ``at``. A row finds its match in its own bucket, or
+    else what an earlier bucket of its key ended with; that second search runs over one row a
+    key and bucket, which are summed up before they are shuffled.
+    """
+    inside = asof(left.withColumn("_bucket", bucket), right.withColumn("_bucket", bucket), [*keys, "_bucket"], at, take)
+    ends = right.withColumn("_bucket", bucket).groupBy(*keys, "_bucket").agg(F.max_by(F.struct(*take), at).alias("_last"))
+    asked = left.select(*keys, bucket.alias("_bucket")).distinct()
+    before = asof(asked, ends, keys, "_bucket", ["_last"], strict=True)
+    same = [inside[c].eqNullSafe(before[c]) for c in (*keys, "_bucket")]
+    found = inside.join(before.where("_last IS NOT NULL"), reduce(lambda a, b: a & b, same), "left")
+    taken = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in take])
+    return found.select(*(inside[c] for c in left.columns), *(F.when(taken, F.col(c)).otherwise(F.col("_last")[c]).alias(c) for c in take))
+
+
 def nearest(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, right_id: str, distance) -> DataFrame:
     """Each left row with the right row of its key that is nearest in ``at``; of two as near, the smaller id.
 

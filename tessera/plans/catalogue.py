@@ -252,7 +252,8 @@ def asof_last_event(spark, d):
     e = table(spark, d, "events").select("user_id", "ts", "event_id", "event_type")
     bought = e.where("event_type = 'purchase'").select("user_id", "ts", F.col("event_id").alias("purchase_id"))
     clicks = e.where("event_type = 'click'").select("user_id", "ts", F.col("event_id").alias("click_id"), F.col("ts").alias("click_ts"))
-    found = link.asof(bought, clicks, ["user_id"], "ts", ["click_id", "click_ts"]).where("click_id IS NOT NULL")
+    # In buckets of a day, so that a user with a large share of all events is not one task's.
+    found = link.asof_in_buckets(bought, clicks, ["user_id"], "ts", ["click_id", "click_ts"], F.to_date("ts")).where("click_id IS NOT NULL")
     return found.select("purchase_id", "user_id", "click_id", _micros(F.col("click_ts"), F.col("ts")).alias("micros"))
 
 

@@ -171,8 +171,6 @@ def placed(walk: DataFrame) -> DataFrame:
     # The chair holds the floor from its name until a speaker; directly under an item from the start.
     floor = F.last(F.when(F.col("event") == "chair_name", F.lit("chair")).when(F.col("event") == "speaker", F.lit("speaker")), ignorenulls=True).over(so_far)
     b = b.withColumn("floor", F.coalesce(floor, F.when(F.col("rede_id").isNull(), F.lit("chair")).otherwise(F.lit("none"))))
-    speaking = F.last(F.when(F.col("event") == "speaker", F.col("speaker_id")), ignorenulls=True).over(so_far)
-    b = b.withColumn("speaking", speaking)
     only_speakers = Window.partitionBy("path", "block", F.col("event") == "speaker").orderBy("position")
     changes = (F.col("event") == "speaker") & (F.col("question_time") | ~F.col("speaker_id").eqNullSafe(F.lag("speaker_id").over(only_speakers)))
     b = b.withColumn("opens", changes & (F.col("rede_id").isNotNull() | F.col("question_time")))

@@ -46,6 +46,20 @@ def test_asof_both_ways(spark):
     assert back == {1: "b", 2: None, 3: None} and on == {1: "b", 2: "a", 3: None}
 
 
+def test_asof_in_buckets_is_asof(spark):
+    import random
+
+    rng = random.Random(1)
+    left = spark.createDataFrame([(rng.choice(["u", "v", None]), rng.randint(0, 99), k) for k in range(60)], "k string, at int, id int")
+    right = spark.createDataFrame([(k, t, 1000 + n) for n, (k, t) in enumerate({(rng.choice(["u", "w"]), rng.randint(0, 99)) for _ in range(25)})], "k string, at int, r int")
+    bucket = F.floor(F.col("at") / 10)
+    want = rows(link.asof(left, right, ["k"], "at", ["r"]))
+    assert rows(link.asof_in_buckets(left, right, ["k"], "at", ["r"], bucket)) == want
+    strict = {r["id"]: r["r"] for r in link.asof(left, right, ["k"], "at", ["r"], strict=True).collect()}
+    plain = {(r["k"], r["at"]): r["r"] for r in right.collect()}
+    assert all(v is None or v != plain.get((k, t)) for k, t, i in left.collect() for v in [strict[i]])
+
+
 def test_nearest_takes_the_smaller_id_of_two(spark):
     left = spark.createDataFrame([("u", 5, 1)], "k string, at int, id int")
     right = spark.createDataFrame([("u", 3, 9), ("u", 7, 4), ("u", 8, 1)], "k string, at int, r int")
