@@ -8,16 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    return df.groupBy(*keys, value).agg(F.count("*").alias("n"))
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
+    """Rows of each key and value (A2); of rows that are counts themselves, the sum of ``weight``."""
+    return df.groupBy(*keys, value).agg((F.sum(weight) if weight else F.count("*")).alias("n"))
 
 
-def majority(df: DataFrame, keys: Sequence[str], value: str, to: str, counts_to: str | None = None) -> DataFrame:
+def majority(df: DataFrame, keys: Sequence[str], value: str, to: str, counts_to: str | None = None, weight: str | None = None) -> DataFrame:
     """The most frequent ``value`` of each key, the smaller one of a tie (A9), and all counts as ``value:n`` in order.
 
     Two aggregations that both sum up before their shuffles: no key's rows meet in one task.
     """
-    n = value_counts(df, keys, value)
+    n = value_counts(df, keys, value, weight)
     out = [F.min_by(F.col(value), F.struct(-F.col("n"), F.col(value))).alias(to)]
     if counts_to:
         pairs = F.sort_array(F.collect_list(F.struct(value, "n")))  # as many as there are values

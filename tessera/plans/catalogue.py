@@ -54,8 +54,10 @@ def _orders(spark: SparkSession, d: str) -> DataFrame:
 def member_vs_cohort_majority(spark, d):
     """Q3: each user's own majority of a day against the cohort's, with the cohort's counts."""
     e = _events(spark, d).select("day", "user_id", (F.col("user_id") % 5).alias("cohort"), "event_type")
-    own = A.majority(e, ["day", "cohort", "user_id"], "event_type", "own_type")
-    cohort = A.majority(e, ["day", "cohort"], "event_type", "majority_type", "counts")
+    # Counted once by user; the cohort's counts are sums of those, over a reused exchange.
+    n = A.value_counts(e, ["day", "cohort", "user_id"], "event_type").withColumnRenamed("n", "events")
+    own = A.majority(n, ["day", "cohort", "user_id"], "event_type", "own_type", weight="events")
+    cohort = A.majority(n, ["day", "cohort"], "event_type", "majority_type", "counts", weight="events")
     return own.join(cohort, ["day", "cohort"]).withColumn("agrees", F.col("own_type") == F.col("majority_type"))
 
 
