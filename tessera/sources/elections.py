@@ -134,6 +134,7 @@ LISTED_STATES = {"NRW": "NW"}
 
 
 def _succession() -> str:
+    # The printed form of a row (fixed values).
     side = (
         r"([^,\d]+?, [^\d]+?) (\d{4}) (?:.*? )?(" + "|".join(LISTED_PARTIES) + r"), ([A-Z]{2,3}), ((?:LL|WK) \d{3})"
     )
