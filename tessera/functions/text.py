@@ -30,7 +30,7 @@ def iso_date(s: Column) -> Column:
 
 
 def german_date(s: Column) -> Column:
-    """The first ``3. März 2025`` or ``03.03.2025`` in a text, as a date."""
+    """The first ``03.03.2025`` in a text, else the first ``3. März 2025``, as a date."""
     named = r"(\d{1,2})\.\s*(?i:(" + "|".join(MONTHS) + r"))\s+(\d{4})"
     month = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.regexp_extract(s, named, 2)))
     words = F.when(
@@ -40,7 +40,8 @@ def german_date(s: Column) -> Column:
             F.lit("d.M.yyyy"),
         ).cast("date"),
     )
-    return F.coalesce(words, iso_date(F.nullif(F.regexp_extract(s, r"\d{1,2}\.\d{1,2}\.\d{4}", 0), F.lit(""))))
+    numeric = iso_date(F.nullif(F.regexp_extract(s, r"\d{1,2}\.\d{1,2}\.\d{4}", 0), F.lit("")))
+    return F.coalesce(numeric, words)
 
 
 @F.pandas_udf(T.StringType())
