@@ -31,8 +31,9 @@ from tessera.llm.common import arrow_schema, partitions
 WIDTH = 35
 #: A perfect difference cover: every difference modulo 21 is that of two of its members.
 PERIOD, COVER = 21, (0, 1, 4, 14, 16)
-#: Bytes of text of a chunk, and of digests of a bucket: what a task holds at once.
-CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20
+#: Bytes of text of a chunk, and of digests of a bucket, at least and at most: what a task holds at once. They grow with
+#: the corpus, so that what a chunk sends to a bucket stays worth a row.
+CHUNK_BYTES, BUCKET_BYTES = (4 << 20, 32 << 20), (8 << 20, 64 << 20)
 
 _U = np.uint64
 _BASE, _BASE_INVERSE = _U(0x9E3779B97F4A7C15), _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -175,11 +176,19 @@ class Digests:
 
 
 def _dealt(chunk: int, digests: Digests, buckets: int, schema: pa.Schema) -> pa.Table:
-    """Distinct digests, in order, cut into buckets by their first bits."""
-    cuts = np.searchsorted(digests.a >> _U(32), (np.arange(buckets + 1, dtype=np.uint64) << _U(32)) // _U(buckets))
-    full = [k for k in range(buckets) if cuts[k + 1] > cuts[k]]
+    """Distinct digests, in order, cut into buckets by their first bits; a row for each bucket that gets any."""
+    if not len(digests):
+        return schema.empty_table()
+    bucket = ((digests.a >> _U(32)) * _U(buckets)) >> _U(32)
+    full, starts = np.unique(bucket, return_index=True)
+    ends = np.append(starts[1:], len(bucket))
     return pa.table(
-        [[chunk] * len(full), full, [digests.at(slice(cuts[k], cuts[k + 1])).pack() for k in full]], schema=schema
+        [
+            pa.array(np.full(len(full), chunk), pa.int32()),
+            pa.array(full.astype(np.int64), pa.int32()),
+            pa.array([digests.at(slice(i, j)).pack() for i, j in zip(starts, ends, strict=True)], pa.binary()),
+        ],
+        schema=schema,
     )
 
 
@@ -220,8 +229,8 @@ def repeated_words(
     width: int = WIDTH,
     period: int = PERIOD,
     cover: tuple[int, ...] = COVER,
-    chunk_bytes: int = CHUNK_BYTES,
-    bucket_bytes: int = BUCKET_BYTES,
+    chunk_bytes: tuple[int, int] = CHUNK_BYTES,
+    bucket_bytes: tuple[int, int] = BUCKET_BYTES,
     with_text: bool = False,
 ) -> DataFrame:
     """Each row of ``docs`` (doc_id, text) without the words that repeated windows cover.
@@ -238,9 +247,13 @@ def repeated_words(
     spark = docs.sparkSession
     n_bytes = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     least = partitions(spark)
-    chunks = max(least, -(-n_bytes // chunk_bytes))
-    # about a digest of eight bytes for every six bytes of text
-    buckets = max(least, -(-(n_bytes * len(cover) // period) // bucket_bytes))
+
+    def parts(size: int, bounds: tuple[int, int]) -> int:
+        each = min(max(size // 10_000, bounds[0]), bounds[1])
+        return max(least, -(-size // each))
+
+    chunks = parts(n_bytes, chunk_bytes)
+    buckets = parts(n_bytes * len(cover) // period, bucket_bytes)  # eight bytes for a word on the cover, as for some eight of text
     kind = docs.schema["doc_id"].dataType.simpleString()
     dealt = docs.select(
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk"),

@@ -34,7 +34,7 @@ def test_small_windows_and_chunks(spark):
     rows = [(k, " ".join(rng.choice("abc") for _ in range(rng.randint(0, 60)))) for k in range(80)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     for width, period, cover in ((8, 7, (0, 1, 3)), (7, 7, (0, 1, 3)), (5, 3, (0, 1)), (4, 1, (0,))):
-        assert digest(S.repeated_words(df, width, period, cover, chunk_bytes=300, bucket_bytes=100)) == brute(rows, width)
+        assert digest(S.repeated_words(df, width, period, cover, chunk_bytes=(300, 300), bucket_bytes=(100, 100))) == brute(rows, width)
 
 
 def test_shifted_passages(spark):
