@@ -5,7 +5,8 @@ returns a DataFrame; every stage but the last returns the columns of ``documents
 Each sees exactly what the stage before it kept:
 
 1. quality_classifier: documents that the quadratic discriminant rejects go.
-2. near_duplicates: of each group of SimHash near-duplicates, the document with the smallest id stays.
+2. near_duplicates: of each group of near copies (five-word shingles, similarity 0.8 or more), the document with the
+   smallest id stays.
 3. decontamination: documents that hold a window of a benchmark item go.
 4. secrets: secrets in texts are replaced by a mark; n_chars follows.
 5. packing: what is left is cut and packed into sequences of 2048 tokens.
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontamination, packing, quality_classifier, secrets, simhash
+from tessera.llm import decontamination, near_copies, packing, quality_classifier, secrets
 from tessera.llm.common import stored
 
 
@@ -28,7 +29,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_first(docs)
+    return near_copies.keep_first(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
