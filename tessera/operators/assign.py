@@ -7,7 +7,7 @@ Each is sequential within its group (a document, a sitting, a day), so the group
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import permutations
+from itertools import combinations, permutations
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,24 +18,27 @@ def _ddl(df: DataFrame, columns: Sequence[str]) -> str:
 
 
 def best_assignment(pairs: DataFrame, keys: Sequence[str], a: str, b: str, score: str, most: int = 4, margin: float = 0.2) -> DataFrame:
-    """The assignment of all ``a`` to ``b`` with the greatest total score.
+    """The one-to-one assignment of ``a`` to ``b``, as many as the smaller side has, with the greatest total score.
 
     ``pairs`` has every pair of a group with its score. Document order (k-th with k-th)
-    stays unless another order beats it by more than ``margin``. Groups of more than
-    ``most`` on a side, or of unequal sides, keep document order as far as both go.
+    stays unless another assignment beats it by more than ``margin``; of equal ones the
+    first by places counts. Groups of more than ``most`` on a side keep document order
+    as far as both go.
     """
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
         left, right = sorted(g[a].unique()), sorted(g[b].unique())
         n = min(len(left), len(right))
         table = {(x, y): s for x, y, s in zip(g[a], g[b], g[score], strict=True)}
-        best = list(right[:n])
-        if n and len(left) == len(right) and n <= most:
-            total = lambda order: sum(table.get((x, y), 0.0) for x, y in zip(left, order, strict=True))
-            other = max(permutations(right), key=total)
+        best = list(zip(left, right, strict=False))
+        if n and max(len(left), len(right)) <= most:
+            total = lambda links: sum(table.get(x, 0.0) for x in links)
+            # Each choice of the left side in its order, with every order of the right: all assignments, each once.
+            orders = (list(zip(x, y, strict=True)) for x in combinations(left, n) for y in permutations(right, n))
+            other = max(orders, key=total)
             if total(other) > total(best) + margin:
-                best = list(other)
-        rows = [(*(g[k].iloc[0] for k in keys), x, y) for x, y in zip(left, best, strict=False)]
+                best = other
+        rows = [(*(g[k].iloc[0] for k in keys), x, y) for x, y in best]
         return pd.DataFrame(rows, columns=[*keys, a, b])
 
     return pairs.groupBy(*keys).applyInPandas(run, _ddl(pairs, [*keys, a, b]))

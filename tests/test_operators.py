@@ -103,6 +103,16 @@ def test_assignments(spark):
     assert rows(assign.greedy(dist, ["g"], "a", "b", "d")) == [("g", 1, 2, 1), ("g", 2, 1, 9)]
 
 
+def test_assignments_of_unequal_sides(spark):
+    schema = "g string, a int, b int, s double"
+    wide = spark.createDataFrame([("g", 1, 1, 0.0), ("g", 1, 2, 1.0)], schema)
+    assert rows(assign.best_assignment(wide, ["g"], "a", "b", "s")) == [("g", 1, 2)]
+    tall = spark.createDataFrame([("g", a, b, s) for a, b, s in ((1, 1, 0.0), (1, 2, 0.0), (2, 1, 0.1), (2, 2, 0.9), (3, 1, 0.8), (3, 2, 0.3))], schema)
+    assert rows(assign.best_assignment(tall, ["g"], "a", "b", "s")) == [("g", 2, 2), ("g", 3, 1)]
+    close = spark.createDataFrame([("g", 1, 1, 0.5), ("g", 1, 2, 0.6)], schema)
+    assert rows(assign.best_assignment(close, ["g"], "a", "b", "s")) == [("g", 1, 1)]
+
+
 def test_sequences(spark):
     df = spark.createDataFrame([("u", k, v) for k, v in enumerate("aabba")], "k string, n int, v string")
     assert [r["part"] for r in sequence.islands(df, ["k"], ["n"], "v").orderBy("n").collect()] == [1, 1, 2, 2, 3]
