@@ -174,7 +174,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def guess_spans(text: str, base: list[tuple[int, int, str]], min_bits: float) -> list[tuple[int, int, str]]:
-    """Values in credential context that cost at least ``min_bits`` and touch no span of ``base``."""
+    """Values in credential context that cost at least ``min_bits`` and that no span of ``base`` covers whole."""
     low = text.lower()
     if not any(h in low for h in _HINTS):
         return []
@@ -182,7 +182,7 @@ def guess_spans(text: str, base: list[tuple[int, int, str]], min_bits: float) ->
     for m in CONTEXT.finditer(text):
         start, value = m.start(1), m[1].rstrip(").,;:!?")
         end = start + len(value)
-        if len(value) >= 6 and not any(a < end and start < b for a, b, _ in base) and guess_bits(value) >= min_bits:
+        if len(value) >= 6 and not any(a <= start and end <= b for a, b, _ in base) and guess_bits(value) >= min_bits:
             out.append((start, end, "guess"))
     return out
 

@@ -45,6 +45,14 @@ def test_guess_spans_are_dear_values_in_context():
     assert S.guess_spans("the token is available for all of them", [], S.MIN_BITS) == []
 
 
+def test_values_that_a_fixed_pattern_cuts_short():
+    t = "password = xK9mQ2$vL7!pRz4#Tw and token: 'abcdef0123456789'"
+    base = S.base_spans(t)
+    assert base[0] == (0, 17, "assign")
+    assert S.guess_spans(t, base, S.MIN_BITS) == [(11, 29, "guess")]
+    assert S.redacted(t) == "password = [SECRET] and token: '[SECRET]'"
+
+
 @pytest.mark.parametrize("cheap, dear", [("password", "pqsxwyrd"), ("qwertyuiop", "qpwoeirutyy"), ("aaaaaaaaaa", "akdjshgbnq"), ("2024-11-26", "2934-81-76x"), ("abcdefgh", "ahbgcfde"), ("p4ssw0rd", "p4xsk0rq")])
 def test_structure_is_cheaper(cheap, dear):
     assert S.guess_bits(cheap) < S.guess_bits(dear)
