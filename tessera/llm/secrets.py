@@ -30,13 +30,14 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 CONTEXT = re.compile(
-    r"""(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|auth(?:entication|orization)?|bearer|credentials?"""
+    r"""(?:(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|auth(?:entication|orization)?|bearer|credentials?"""
     r"""|(?:api|access|private|client|account|secret)[_-]?(?:key|secret|token))(?![A-Za-z])"""
-    r"""["']?\x20{0,3}(?:[:=]|=>|:=|\x20is\x20)\x20{0,3}["'(]?([!#-&*-;=?-~]{6,})""",
+    r"""["']?(?:\x20*(?:[:=]|=>|:=)|\x20+is\x20)\x20*["'(]?(?:(?:bearer|basic)\x20+["']?)?"""
+    r"""|(?<![A-Za-z])(?:bearer|basic)\x20+["']?)([!#-&*-;=?-~]{6,})""",
     re.ASCII | re.IGNORECASE,
 )
 #: One of these is in every text that ASSIGN or CONTEXT can match.
-_HINTS = ("pass", "pwd", "secret", "token", "key", "auth", "bearer", "credential")
+_HINTS = ("pass", "pwd", "secret", "token", "key", "auth", "bearer", "basic", "credential")
 
 
 # ---------------------------------------------------------------- guess cost

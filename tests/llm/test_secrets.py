@@ -53,6 +53,24 @@ def test_values_that_a_fixed_pattern_cuts_short():
     assert S.redacted(t) == "password = [SECRET] and token: '[SECRET]'"
 
 
+@pytest.mark.parametrize(
+    "before, value",
+    [
+        ("Authorization: Bearer ", "ya29.Qx7Zk2Lm9Rt4Vb8Np"),
+        ("curl -H 'Authorization: Basic ", "dXNlcjpYazkkbVEyIXZMN3o="),
+        ("use bearer  ", "ya29.Qx7Zk2Lm9Rt4Vb8Np"),
+        ("dbPassword = ", "$Xk9mQ2!vL7z"),
+        ("DB_PASSWORD=", "$Xk9mQ2!vL7z"),
+        ("password:    ", "$Xk9$mQ2!vL7z"),
+        ("password     is     ", "$Xk9$mQ2!vL7z"),
+    ],
+)
+def test_contexts(before, value):
+    t = before + value + " x"
+    assert S.guess_spans(t, S.base_spans(t), S.MIN_BITS) == [(len(before), len(before) + len(value), "guess")]
+    assert value not in S.redacted(t)
+
+
 @pytest.mark.parametrize("cheap, dear", [("password", "pqsxwyrd"), ("qwertyuiop", "qpwoeirutyy"), ("aaaaaaaaaa", "akdjshgbnq"), ("2024-11-26", "2934-81-76x"), ("abcdefgh", "ahbgcfde"), ("p4ssw0rd", "p4xsk0rq")])
 def test_structure_is_cheaper(cheap, dear):
     assert S.guess_bits(cheap) < S.guess_bits(dear)
