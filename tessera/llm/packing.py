@@ -1,9 +1,9 @@
 """Best-fit packing of tokenised documents into sequences of a fixed capacity.
 
 The plan is made over the histogram of piece lengths (at most ``capacity`` rows,
-whatever the corpus), never over pieces. It indexes the sums of one, two and
-three lengths, consumes combinations that fill a gap exactly as often as their
-counts allow, and then fills what is left best-fit. It comes out as runs
+whatever the corpus), never over pieces. It searches the array of counts for one,
+two or three lengths that fill a gap exactly (no index of sums is kept), consumes
+them as often as their counts allow, and then fills what is left best-fit. It comes out as runs
 ("this pattern, so many times"); each run empties a length or closes a bin, so
 the number of runs is bounded by the capacity too, and their broadcast with it.
 Pieces find their place by (length, rank among equal lengths).
