@@ -37,6 +37,21 @@ def test_round_trip(spark, awkward, awkward_docs):
     assert len(by_sequence) <= -(-sum(map(len, ids)) // 2048) + 1
 
 
+def test_long_runs_give_the_ids_of_the_library():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    reference, own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), P.tokenizer("byte_bpe_50k")
+    texts = ["a" + " " * 1_000_000 + "x", "z" * 200_000, "ab" * 1500 + "\n" * 3000 + " end", "\u3000" * 2500, " " * 1999 + "x", "q" * 1999, "-" * 5000]
+    for t in texts:
+        assert own(t) == reference.encode(t, add_special_tokens=False).ids
+
+
+def test_a_document_of_blanks_is_packed(spark):
+    rows = run(spark.createDataFrame([(1, "a" + " " * 1_000_000 + "x"), (2, None)], "doc_id long, text string"))
+    assert sum(r["length"] for r in rows if r["doc_id"] == 1) == 1_000_002 and len(rows) == -(-1_000_002 // 2048) + 1
+
+
 def test_no_rows(spark, no_docs):
     assert run(no_docs) == []
 
@@ -77,6 +92,63 @@ def test_plan_takes_exact_singles_pairs_and_triples():
     assert sum(n for n, _ in P.plan({10: 1_000_003}, 100)) == 100_001
 
 
+def least_sequences(lengths, capacity):
+    """By trying all placements."""
+    best = [len(lengths)]
+
+    def go(k, gaps):
+        if len(gaps) >= best[0]:
+            return
+        if k == len(lengths):
+            best[0] = len(gaps)
+            return
+        for g in sorted(set(gaps)):
+            if g >= lengths[k]:
+                rest = list(gaps)
+                rest.remove(g)
+                go(k + 1, [*rest, g - lengths[k]])
+        go(k + 1, [*gaps, capacity - lengths[k]])
+
+    go(0, [])
+    return best[0]
+
+
+def test_plan_against_the_optimum():
+    import random
+
+    rng, more = random.Random(2), 0
+    for _ in range(300):
+        lengths = sorted((rng.randint(1, 20) for _ in range(rng.randint(1, 9))), reverse=True)
+        least = least_sequences(lengths, 20)
+        got = sum(n for n, _ in P.plan(dict(Counter(lengths)), 20))
+        assert least <= got <= least + 1
+        more += got > least
+    assert more <= 6
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 30), st.integers(1, 4), max_size=12), st.integers(1, 60))
+def test_sums_name_what_counts_allow(histogram, gap):
+    counts = np.zeros(61, np.int64)
+    for k, n in histogram.items():
+        counts[k] = n
+    pieces = sorted(Counter(histogram).elements())
+    pairs = {(pieces[j], pieces[i]) for j in range(len(pieces)) for i in range(j) if pieces[i] + pieces[j] == gap}
+    sums = P.Sums(counts)
+    assert sums.pair(gap) == max(pairs, default=None)
+    triples = {(pieces[k], pieces[j], pieces[i]) for k in range(len(pieces)) for j in range(k) for i in range(j) if pieces[i] + pieces[j] + pieces[k] == gap}
+    found = sums.triple(gap)
+    assert (found is not None) == bool(triples)
+    if found:
+        assert sum(found) == gap and not Counter(found) - Counter(histogram)
+    if pieces:
+        rest = pieces[:-1]
+        two = gap - pieces[-1] in rest
+        three = any(rest[i] + rest[j] == gap - pieces[-1] for j in range(len(rest)) for i in range(j))
+        found = sums.others(gap, pieces[-1])
+        assert (found is not None) == (two or three)
+
+
 def test_plan_refuses_what_cannot_fit():
     with pytest.raises(ValueError):
         P.plan({101: 1}, 100)
