@@ -10,7 +10,7 @@ documents, and the fitted weights go back into one more expression.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -20,8 +20,8 @@ from tessera.llm.common import WHITE, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
-#: Low bits of a packed window hash that hold its place in the text.
-PLACE_BITS = 24
+#: Low bits of a packed window hash that hold its place in the text; an array has fewer than 2 ** 31 elements.
+PLACE_BITS = 31
 
 
 def text_counts(docs: DataFrame, *keep: str) -> DataFrame:
@@ -65,33 +65,45 @@ def text_counts(docs: DataFrame, *keep: str) -> DataFrame:
 def _repeat_words(counted: DataFrame) -> DataFrame:
     """Adds n_repeat_words: words in windows whose hash ``h`` occurs again in the text.
 
-    Sorting (hash, place) pairs would bring equal windows together, but only plain
-    numbers sort fast. So the place is packed into the hash's low bits, and neighbours
-    that agree in the high bits are compared by their whole hashes. Places are right up
-    to 2 ** PLACE_BITS words; the words of a longer text would not fit an executor as an array.
+    Sorting (hash, place) pairs brings equal windows together, but only plain numbers
+    sort fast. So a window's place, which always fits PLACE_BITS, takes the low bits of
+    its hash, and neighbours in that order are compared by their whole hashes. That is
+    exact as long as no two different windows of a text agree in the high bits; where
+    two do, pairs are sorted after all.
     """
     mask = (1 << PLACE_BITS) - 1
     packed = F.sort_array(F.transform("h", lambda x, i: x.bitwiseAND(~mask).bitwiseOR(i.cast("long"))))
 
-    def same(x: Column, y: Column) -> Column:
-        place = lambda v: v.bitwiseAND(mask).cast("int")
-        return (F.shiftright(x, PLACE_BITS) == F.shiftright(y, PLACE_BITS)) & (F.get("h", place(x)) == F.get("h", place(y)))
+    def hash_of(x: Column) -> Column:
+        return F.get("h", x.bitwiseAND(mask).cast("int"))
+
+    def high(x: Column) -> Column:
+        return F.shiftright(x, PLACE_BITS)
+
+    def beside(name: str, test: Callable[[Column, Column], Column]) -> Column:
+        """The elements of an array that pass with the one before or behind."""
+        at = lambda i: F.get(name, i)
+        return F.filter(
+            name, lambda x, i: F.coalesce(F.when(i > 0, test(x, at(i - 1))), F.lit(False)) | F.coalesce(test(x, at(i + 1)), F.lit(False))
+        )
 
     repeats = F.size("h") > F.size(F.array_distinct("h"))
     step = counted.withColumn("packed", F.when(repeats, packed))
-    again = F.filter(
-        "packed",
-        lambda x, i: F.coalesce(F.when(i > 0, same(x, F.get("packed", i - 1))), F.lit(False))
-        | F.coalesce(same(x, F.get("packed", i + 1)), F.lit(False)),
+    clash = F.size(beside("packed", lambda x, y: (high(x) == high(y)) & (hash_of(x) != hash_of(y)))) > 0
+    step = step.withColumn(
+        "pairs", F.when(clash, F.sort_array(F.transform("h", lambda x, i: F.struct(x.alias("hash"), i.alias("place")))))
+    )
+    by_pairs = F.transform(beside("pairs", lambda x, y: x["hash"] == y["hash"]), lambda x: x["place"].cast("long"))
+    by_packed = F.transform(
+        beside("packed", lambda x, y: (high(x) == high(y)) & (hash_of(x) == hash_of(y))), lambda x: x.bitwiseAND(mask)
     )
-    places = F.sort_array(F.transform(again, lambda x: x.bitwiseAND(mask)))
-    step = step.withColumn("places", places)
+    step = step.withColumn("places", F.sort_array(F.when(F.col("pairs").isNotNull(), by_pairs).otherwise(by_packed)))
     covered = F.aggregate(
         F.transform("places", lambda x, i: F.least(F.lit(3).cast("long"), F.coalesce(F.get("places", i + 1) - x, F.lit(3).cast("long")))),
         F.lit(0).cast("long"),
         lambda a, b: a + b,
     )
-    return step.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long"))).drop("packed", "places")
+    return step.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long"))).drop("packed", "pairs", "places")
 
 
 # ---------------------------------------------------------------- rules
@@ -224,7 +236,7 @@ def judge(docs: DataFrame, keep_at: float = 0.5) -> DataFrame:
     counts = text_counts(docs, "doc_id")
     voted = stored(counts.select("*", *(r.vote().alias(v) for r, v in zip(every, votes, strict=True))), "votes")
     patterns = voted.groupBy(*votes).agg(F.count("*").alias("n")).collect()  # at most 3 to the number of rules
-    fitted = fit([(tuple(r[v] for v in votes), r["n"]) for r in patterns])
+    fitted = fit(sorted((tuple(r[v] for v in votes), r["n"]) for r in patterns))  # in one order, so that sums come out alike
     odds = F.lit(_logit(fitted.prior))
     for j, v in enumerate(votes if fitted.rates else ()):
         by_vote = {w: F.lit(fitted.weight(j, w)) for w in (-1, 0, 1)}

@@ -1,6 +1,8 @@
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from tessera.llm import quality_rules as Q
 
 
@@ -30,6 +32,31 @@ def test_counts_against_brute_force(awkward, awkward_docs):
     assert not any(r["kept"] for r in rows if r["base_failed"])
 
 
+def covered(h):
+    n = Counter(h)
+    return len({j for i, x in enumerate(h) if n[x] > 1 for j in range(i, i + 3)})
+
+
+def test_windows_whose_hashes_share_high_bits(spark):
+    import random
+
+    rng = random.Random(4)
+    top = 0x5A5A5A5A << 32
+    rows = [[top + 1, top + 2, top + 1], [top + 1, top + 2, top + 1, top + 2], [top + 3, 7, top + 2, 7, top + 1], [], [5, 5, 5], [-1, -2, -1]]
+    rows += [[top + rng.randrange(6) if rng.random() < 0.5 else rng.randrange(9) - 4 for _ in range(rng.randrange(30))] for _ in range(60)]
+    rows.append([(top + k % 5) - (1 << 63) for k in range(5000)])
+    df = spark.createDataFrame([(k, h) for k, h in enumerate(rows)], "k int, h array<long>")
+    got = {r["k"]: r["n_repeat_words"] for r in Q._repeat_words(df).collect()}
+    assert got == {k: covered(h) for k, h in enumerate(rows)}
+
+
+def test_a_text_of_very_many_words(spark):
+    n = (1 << 24) + 500
+    numbers = F.concat(F.sequence(F.lit(1), F.lit(n)), F.array(F.lit(1)))
+    df = spark.range(1).select(F.transform(numbers, lambda x: F.xxhash64(x)).alias("h"))
+    assert Q._repeat_words(df).select("n_repeat_words").first()[0] == 6
+
+
 def test_no_rows(no_docs):
     assert Q.judge(no_docs).collect() == []
 
