@@ -11,8 +11,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -78,6 +80,12 @@ def dictionary() -> dict[str, float]:
     return out
 
 
+@lru_cache(1)
+def _beginnings() -> frozenset[str]:
+    """What a word of the dictionary, read either way, can begin with, from three characters on."""
+    return frozenset(x[:k] for w in dictionary() for x in (w, w[::-1]) for k in range(3, min(len(w), _LONGEST_WORD) + 1))
+
+
 @lru_cache(1)
 def _neighbours() -> dict[str, str]:
     out: dict[str, set[str]] = {}
@@ -92,34 +100,96 @@ def _alphabet(c: str) -> float:
     return math.log2(10 if c.isdigit() else 26 if c.isalpha() else 33)
 
 
+class _Starts:
+    """Starts of one stretch, of which the cheapest for an end is asked for, ends going up.
+
+    A start costs its own price and the logarithm of its distance to the end. A later
+    start is nearer, so its logarithm is smaller, but it grows faster: once an earlier
+    start of a lower price has caught up, it stays ahead. So starts form a stack: the
+    latest is on top until the one below it catches up.
+    """
+
+    __slots__ = ("price", "start", "until")
+
+    def __init__(self) -> None:
+        self.price: list[float] = []
+        self.start: list[int] = []
+        self.until: list[float] = []  # the end at which the start below catches up
+
+    def clear(self) -> None:
+        if self.price:
+            self.price, self.start, self.until = [], [], []
+
+    def add(self, price: float, start: int) -> None:
+        while self.price:
+            less = price - self.price[-1]
+            if less <= 0:  # never dearer than the one before
+                self._pop()
+                continue
+            # (end - before) / (end - start) falls to 2 ** less where the one before catches up
+            ratio = 2.0**less - 1
+            until = start + (start - self.start[-1]) / ratio if ratio else math.inf
+            if until >= self.until[-1]:  # when that one is ahead again, one below it already is
+                self._pop()
+                continue
+            break
+        else:
+            until = math.inf
+        self.price.append(price)
+        self.start.append(start)
+        self.until.append(until)
+
+    def _pop(self) -> None:
+        self.price.pop()
+        self.start.pop()
+        self.until.pop()
+
+    def cheapest(self, end: int) -> float:
+        while end > self.until[-1]:
+            self._pop()
+        return self.price[-1] + math.log2(end - self.start[-1])
+
+
 def guess_bits(value: str) -> float:
-    """The least bits of any segmentation of ``value``; 0 for an empty one."""
+    """The least bits of any segmentation of ``value``; 0 for an empty one.
+
+    Time grows with the length of the value: repeats, walks and sequences, which may be
+    as long as the value, keep their starts in ``_Starts`` instead of trying each with each end.
+    """
     n, low = len(value), value.lower()
-    words, near = dictionary(), _neighbours()
+    if len(low) != n:  # letters of other scripts whose lower case is longer
+        low = "".join(c if len(c.lower()) != 1 else c.lower() for c in value)
+    leet = low.translate(_LEET)
+    words, begins = dictionary(), _beginnings()
     best = [0.0] + [math.inf] * n
     plain = [0.0]
     for c in value:
         plain.append(plain[-1] + _alphabet(c))
+    walks, sequences, repeats = _Walks(low), _Sequences(low), _Repeats(value, low, plain)
     # Brute force goes on from where it began: cheapest start so far, less what its characters up to there cost.
     brute = math.inf
     for i in range(n):
+        if i >= 2:
+            best[i] = min(best[i], walks.cost(i, best), sequences.cost(i, best), repeats.cost(i, best))
         brute = min(brute, best[i] + _SEGMENT - plain[i])
         best[i + 1] = min(best[i + 1], brute + plain[i + 1])
         here = best[i] + _SEGMENT
+        straight = reads = True
         for j in range(i + 3, min(n, i + _LONGEST_WORD) + 1):
+            straight, reads = straight and low[i:j] in begins, reads and leet[i:j] in begins
+            if not (straight or reads):
+                break
             part = low[i:j]
             bits, more = words.get(part), 0.0
             if bits is None:
                 bits, more = words.get(part[::-1]), 1.0
             if bits is None and not part.isalpha():
-                bits, more = words.get(part.translate(_LEET)), 2.0
+                bits, more = words.get(leet[i:j]), 2.0
             if bits is not None:
                 best[j] = min(best[j], here + bits + more + _capitals(value[i:j]))
-        if m := _DATE.match(value, i):
+        if value[i].isdigit() and (m := _DATE.match(value, i)):
             best[m.end()] = min(best[m.end()], here + (math.log2(150) if m.end() - i == 4 else math.log2(150 * 365)) + 1)
-        _runs(low, i, here, best, near)
-        _repeats(value, i, here, best, plain)
-    return best[n]
+    return min(best[n], walks.cost(n, best), sequences.cost(n, best), repeats.cost(n, best)) if n else 0.0
 
 
 def _capitals(part: str) -> float:
@@ -131,32 +201,80 @@ def _capitals(part: str) -> float:
     return math.log2(sum(math.comb(len(part), k) for k in range(1, min(upper, len(part) - upper) + 1)))
 
 
-def _runs(low: str, i: int, here: float, best: list[float], near: dict[str, str]) -> None:
-    """Keyboard walks and sequences (abc, 97531) from ``i``, of three or more characters."""
-    j, turns, last = i + 1, 0, None
-    while j < len(low) and low[j] in near.get(low[j - 1], ""):
-        step = (low[j - 1], low[j]) and near[low[j - 1]].index(low[j])
-        turns += step != last
-        last = step
-        j += 1
-        if j - i >= 3:
-            best[j] = min(best[j], here + math.log2(47) + turns * math.log2(6) + math.log2(j - i))
-    if i + 2 < len(low) and (step := ord(low[i + 1]) - ord(low[i])) and abs(step) <= 2:
-        j = i + 2
-        while j < len(low) and ord(low[j]) - ord(low[j - 1]) == step:
-            j += 1
-            best[j] = min(best[j], here + _alphabet(low[i]) + 2 + math.log2(j - i))
-
-
-def _repeats(value: str, i: int, here: float, best: list[float], plain: list[float]) -> None:
-    """A unit of up to eight characters from ``i``, repeated as often as it goes on."""
-    for k in range(1, 9):
-        unit, j = value[i : i + k], i + k
-        while value.startswith(unit, j):
-            j += k
-            cost = here + min(plain[i + k] - plain[i], dictionary().get(unit.lower(), math.inf)) + math.log2((j - i) / k) + 1
-            if cost < best[j]:
-                best[j] = cost
+class _Walks:
+    """Keyboard walks of three or more characters; a turn costs the choice of a neighbour."""
+
+    def __init__(self, low: str):
+        near = _neighbours()
+        # The step to each character from the one before, -1 for none, and the turns up to it.
+        self.step = [-1, *(near.get(a, "").find(b) for a, b in zip(low, low[1:], strict=False))]
+        self.turns = [0] * len(low)
+        for k in range(1, len(low)):
+            self.turns[k] = self.turns[k - 1] + (self.step[k] != self.step[k - 1])
+        self.starts = _Starts()
+
+    def cost(self, end: int, best: list[float]) -> float:
+        i = end - 3
+        if i < 0 or self.step[end - 1] < 0 or self.step[end - 2] < 0:
+            self.starts.clear()
+            return math.inf
+        turn = math.log2(6)
+        self.starts.add(best[i] + _SEGMENT + math.log2(47) + turn * (1 - self.turns[i + 1]), i)
+        return self.starts.cheapest(end) + turn * self.turns[end - 1]
+
+
+class _Sequences:
+    """Sequences of three or more characters (abc, 97531): steps of one or two, or none."""
+
+    def __init__(self, low: str):
+        self.low = low
+        self.starts = _Starts()
+
+    def cost(self, end: int, best: list[float]) -> float:
+        i = end - 3
+        if i < 0:
+            return math.inf
+        a, b, c = map(ord, self.low[i:end])
+        if c - b != b - a or abs(b - a) > 2:
+            self.starts.clear()
+            return math.inf
+        self.starts.add(best[i] + _SEGMENT + _alphabet(self.low[i]) + 2, i)
+        return self.starts.cheapest(end)
+
+
+class _Repeats:
+    """Units of up to eight characters, repeated at least once."""
+
+    def __init__(self, value: str, low: str, plain: list[float]):
+        self.low, self.plain = low, plain
+        n = len(value)
+        #: For each size of unit: up to which end the value repeats itself so far back.
+        self.since = []
+        for k in range(1, 9):
+            since, at = [0] * (n + 1), 0
+            for j in range(k, n):
+                if value[j] != value[j - k]:
+                    at = j + 1 - k
+                since[j + 1] = at
+            self.since.append(since)
+        self.starts = [[_Starts() for _ in range(k)] for k in range(1, 9)]
+
+    def cost(self, end: int, best: list[float]) -> float:
+        found, words = math.inf, dictionary()
+        for k in range(1, 9):
+            i = end - 2 * k
+            if i < 0:
+                break
+            starts = self.starts[k - 1][end % k]
+            if self.since[k - 1][end] > i:
+                starts.clear()
+                continue
+            unit = self.plain[i + k] - self.plain[i]
+            if k >= 3:
+                unit = min(unit, words.get(self.low[i : i + k], math.inf))
+            starts.add(best[i] + _SEGMENT + unit, i)
+            found = min(found, starts.cheapest(end) - math.log2(k) + 1)
+        return found
 
 
 # ---------------------------------------------------------------- spans
@@ -176,15 +294,23 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 def guess_spans(text: str, base: list[tuple[int, int, str]], min_bits: float) -> list[tuple[int, int, str]]:
     """Values in credential context that cost at least ``min_bits`` and that no span of ``base`` covers whole."""
+    return [(a, b, "guess") for a, b, _ in dear_values(text, base, min_bits)]
+
+
+def dear_values(text: str, base: list[tuple[int, int, str]], min_bits: float) -> list[tuple[int, int, float]]:
+    """(start, end, bits) of ``guess_spans``; ``base`` is in the order of starts."""
     low = text.lower()
     if not any(h in low for h in _HINTS):
         return []
+    starts = [a for a, _, _ in base]
+    reach = list(accumulate((b for _, b, _ in base), max))
     out = []
     for m in CONTEXT.finditer(text):
         start, value = m.start(1), m[1].rstrip(").,;:!?")
         end = start + len(value)
-        if len(value) >= 6 and not any(a <= start and end <= b for a, b, _ in base) and guess_bits(value) >= min_bits:
-            out.append((start, end, "guess"))
+        before = bisect_right(starts, start)
+        if len(value) >= 6 and not (before and reach[before - 1] >= end) and (bits := guess_bits(value)) >= min_bits:
+            out.append((start, end, bits))
     return out
 
 
@@ -207,16 +333,17 @@ def scan(docs: DataFrame, min_bits: float = MIN_BITS) -> DataFrame:
             for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
                 text = text or ""
                 base = base_spans(text)
-                guess = guess_spans(text, base, min_bits)
+                dear = dear_values(text, base, min_bits)
+                guess = [(a, z, "guess") for a, z, _ in dear]
                 kinds = [k for _, _, k in base]
-                values = [ASSIGN.match(text, a)[2] for a, _, k in base if k == "assign"] + [text[a:z] for a, z, _ in guess]
+                bits = [guess_bits(ASSIGN.match(text, a)[2]) for a, _, k in base if k == "assign"] + [x for *_, x in dear]
                 row = (
                     doc_id,
                     *(kinds.count(k) for k in KINDS[:3]),
                     hashlib.sha256(listed(base).encode()).hexdigest(),
                     listed(sorted(base + guess, key=lambda s: (s[0], KINDS.index(s[2])))),
                     len(guess),
-                    max(map(guess_bits, values), default=None),
+                    max(bits, default=None),
                 )
                 for c, v in zip(names, row, strict=True):
                     out[c].append(v)
@@ -243,7 +370,11 @@ def redacted(text: str, min_bits: float = MIN_BITS, mark: str = "[SECRET]") -> s
 
 
 def redact(docs: DataFrame, min_bits: float = MIN_BITS, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with secrets in ``text`` replaced by ``mark``; a column n_chars follows the text. Null stays null."""
+    """``docs`` with secrets in ``text`` replaced by ``mark``; a column n_chars follows the text.
+
+    Null stays null and an empty text empty; repeated rows stay; an empty table gives no
+    rows; all other columns, whatever their names, go through as they are.
+    """
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:

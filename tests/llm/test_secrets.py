@@ -1,4 +1,6 @@
 import hashlib
+import math
+import random
 import re
 
 import pytest
@@ -113,3 +115,71 @@ def test_no_rows(no_docs):
 def test_awkward(awkward_docs):
     assert S.scan(awkward_docs).count() == awkward_docs.count()
     assert S.redact(awkward_docs).count() == awkward_docs.count()
+
+
+def plain_bits(value):
+    """The dynamic program with every start tried for every end."""
+    n, low = len(value), value.lower()
+    words, near, plain = S.dictionary(), S._neighbours(), [0.0]
+    for c in value:
+        plain.append(plain[-1] + S._alphabet(c))
+    best = [0.0] + [math.inf] * n
+    for j in range(1, n + 1):
+        for i in range(j):
+            part, here = low[i:j], best[i] + 1.0
+            options = [plain[j] - plain[i]]
+            if len(part) <= 24 and len(part) >= 3:
+                if part in words:
+                    options.append(words[part] + S._capitals(value[i:j]))
+                elif part[::-1] in words:
+                    options.append(words[part[::-1]] + 1 + S._capitals(value[i:j]))
+                elif not part.isalpha() and part.translate(S._LEET) in words:
+                    options.append(words[part.translate(S._LEET)] + 2 + S._capitals(value[i:j]))
+            m = S._DATE.match(value, i)
+            if m and m.end() == j:
+                options.append((math.log2(150) if j - i == 4 else math.log2(150 * 365)) + 1)
+            if j - i >= 3:
+                steps = [near.get(a, "").find(b) for a, b in zip(part, part[1:])]
+                if min(steps) >= 0:
+                    turns = 1 + sum(x != y for x, y in zip(steps, steps[1:]))
+                    options.append(math.log2(47) + turns * math.log2(6) + math.log2(j - i))
+                gaps = {ord(b) - ord(a) for a, b in zip(part, part[1:])}
+                if len(gaps) == 1 and abs(min(gaps)) <= 2:
+                    options.append(S._alphabet(part[0]) + 2 + math.log2(j - i))
+            for k in range(1, 9):
+                if (j - i) % k == 0 and (times := (j - i) // k) >= 2 and value[i : i + k] * times == value[i:j]:
+                    options.append(min(plain[i + k] - plain[i], words.get(part[:k], math.inf)) + math.log2(times) + 1)
+            best[j] = min(best[j], here + min(options))
+    return best[n]
+
+
+def odd_value(rng):
+    pieces = ["a", "aaaa", "ab", "abab", "qwe", "qwerty", "123", "97531", "password", "drowssap", "p4ssw0rd", "Dragon", "2019", "1999-12-31", "xyz", "zxcv", "!!", "é", "K9", "0"]
+    out = ""
+    for _ in range(rng.randint(1, 9)):
+        p = rng.choice(pieces)
+        out += p * rng.choice([1, 1, 1, 2, 3, 7]) if rng.random() < 0.8 else "".join(rng.choice("abAB01$x") for _ in range(rng.randint(1, 6)))
+    return out
+
+
+def test_guess_bits_are_those_of_the_plain_program():
+    rng = random.Random(11)
+    values = [odd_value(rng) for _ in range(250)] + ["a" * k for k in range(0, 70)] + ["ab" * k + "a" for k in range(30)]
+    values += ["".join(rng.choice("aab") for _ in range(rng.randint(1, 12))) for _ in range(300)]
+    values += ["".join(rng.choice("qwsa12") for _ in range(rng.randint(1, 40))) for _ in range(100)]
+    for v in values:
+        assert abs(S.guess_bits(v) - plain_bits(v)) < 1e-6, v
+
+
+def test_long_values_take_time_in_proportion():
+    import time
+
+    S.guess_bits("warm")
+    for v in ("a" * 1_000_000, "qw" * 100_000, "0123456789" * 20_000, "Zx9$" * 50_000):
+        began = time.time()
+        assert S.guess_bits(v) > 0
+        assert time.time() - began < 30
+    text = "token=abcdef12 " * 3000 + "password = " + "k" * 300_000
+    began = time.time()
+    assert len(S.guess_spans(text, S.base_spans(text), S.MIN_BITS)) == 0
+    assert time.time() - began < 30
