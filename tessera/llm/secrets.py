@@ -245,6 +245,9 @@ class _Sequences:
 class _Repeats:
     """Units of up to eight characters, repeated at least once."""
 
+    #: For each size of unit, the largest sizes that divide it.
+    INNER = {1: (), 2: (1,), 3: (1,), 4: (2,), 5: (1,), 6: (2, 3), 7: (1,), 8: (4,)}
+
     def __init__(self, value: str, low: str, plain: list[float]):
         self.low, self.plain = low, plain
         n = len(value)
@@ -269,9 +272,10 @@ class _Repeats:
             if self.since[k - 1][end] > i:
                 starts.clear()
                 continue
-            unit = self.plain[i + k] - self.plain[i]
-            if k >= 3:
-                unit = min(unit, words.get(self.low[i : i + k], math.inf))
+            unit, word = self.plain[i + k] - self.plain[i], words.get(self.low[i : i + k], math.inf) if k >= 3 else math.inf
+            if word == math.inf and any(self.since[p - 1][i + k] <= i for p in self.INNER[k]):
+                continue  # a unit that itself repeats a smaller one, which is cheaper to repeat
+            unit = min(unit, word)
             starts.add(best[i] + _SEGMENT + unit, i)
             found = min(found, starts.cheapest(end) - math.log2(k) + 1)
         return found
