@@ -165,6 +165,8 @@ def guess_bits(value: str) -> float:
     plain = [0.0]
     for c in value:
         plain.append(plain[-1] + _alphabet(c))
+    upper = [0, *accumulate(map(str.isupper, value))]
+    spelled = leet != low
     walks, sequences, repeats = _Walks(low), _Sequences(low), _Repeats(value, low, plain)
     # Brute force goes on from where it began: cheapest start so far, less what its characters up to there cost.
     brute = math.inf
@@ -174,19 +176,20 @@ def guess_bits(value: str) -> float:
         brute = min(brute, best[i] + _SEGMENT - plain[i])
         best[i + 1] = min(best[i + 1], brute + plain[i + 1])
         here = best[i] + _SEGMENT
-        straight = reads = True
+        straight, reads = True, spelled
         for j in range(i + 3, min(n, i + _LONGEST_WORD) + 1):
-            straight, reads = straight and low[i:j] in begins, reads and leet[i:j] in begins
+            part = low[i:j]
+            straight = straight and part in begins
+            reads = reads and leet[i:j] in begins
             if not (straight or reads):
                 break
-            part = low[i:j]
-            bits, more = words.get(part), 0.0
-            if bits is None:
+            bits, more = words.get(part) if straight else None, 0.0
+            if bits is None and straight:
                 bits, more = words.get(part[::-1]), 1.0
-            if bits is None and not part.isalpha():
+            if bits is None and reads and not part.isalpha():
                 bits, more = words.get(leet[i:j]), 2.0
             if bits is not None:
-                best[j] = min(best[j], here + bits + more + _capitals(value[i:j]))
+                best[j] = min(best[j], here + bits + more + (_capitals(value[i:j]) if upper[j] > upper[i] else 0.0))
         if value[i].isdigit() and (m := _DATE.match(value, i)):
             best[m.end()] = min(best[m.end()], here + (math.log2(150) if m.end() - i == 4 else math.log2(150 * 365)) + 1)
     return min(best[n], walks.cost(n, best), sequences.cost(n, best), repeats.cost(n, best)) if n else 0.0
