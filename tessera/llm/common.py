@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -21,10 +22,14 @@ SLICE = 1000
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it.
 
-    Where it is unset (tests on one machine) a temporary folder is made and set.
+    Where it is unset a temporary folder is made and set, but only in a session on one
+    machine; elsewhere executors would write where nobody else reads.
     """
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir has to name a folder that driver and executors of {master} share")
         at = "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("spark.checkpoint.dir", at)
         spark.sparkContext.setCheckpointDir(at)
@@ -65,13 +70,13 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(spaced, " "), "")
 
 
-def arrow_map(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[dict]], schema: str) -> DataFrame:
-    """``rows`` over each partition: takes column dicts (name to list), gives column dicts."""
+def arrow_map(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[dict]], schema: str, at_once: int = SLICE) -> DataFrame:
+    """``rows`` over each partition: takes column dicts (name to list) of ``at_once`` rows at most, gives column dicts."""
     names, kinds = df.columns, arrow_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A batch may be tens of megabytes of text; as Python objects, only a slice of it is there at a time.
-        slices = (b.slice(k, SLICE) for b in batches for k in range(0, b.num_rows, SLICE))
+        slices = (b.slice(k, at_once) for b in batches for k in range(0, b.num_rows, at_once))
         columns = ({n: s.column(i).to_pylist() for i, n in enumerate(names)} for s in slices)
         for out in rows(columns):
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in kinds], schema=kinds)

@@ -1,22 +1,24 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
-The index is cut by documents, as search engines cut theirs: a segment is one row
-with the posting lists of a few thousand documents, so building it and searching it
-need no shuffle and a very frequent term only ever lengthens lists within a segment.
-Positions count words through the whole segment, with a gap between documents that no
-phrase or proximity window can bridge. A phrase is found by its rarest term in the
-segment: that list, moved back by the term's place in the phrase, is intersected with
-the other terms' moved lists, rarest first, until it is empty or all have agreed.
+The index holds a posting for every word of the corpus and serves any query set. It is
+cut by documents, as search engines cut theirs: a segment is one row with the posting
+lists of a few thousand documents, so building it and searching it need no shuffle and
+a very frequent term only ever lengthens lists within a segment. Positions count words
+through the whole segment, with a gap between documents that no phrase or proximity
+window can bridge. Windows of the query set wait under their term that is rarest in the
+corpus; a segment tries those whose rarest term it has. That term's list, moved back by
+the term's place in the window, is intersected with the other terms' moved lists,
+rarest in the segment first, until it is empty or all have agreed.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import arrow_map, fresh, stored
@@ -31,10 +33,10 @@ _FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
 
-INDEX = (
-    "segment long, doc_id array<{id}>, first_position array<int>, n_words array<int>, "
-    "term array<binary>, n_postings array<int>, positions array<int>"
-)
+#: ``term`` are the segment's words, joined by blanks (no word holds one); ``n_postings`` the lengths of their lists, as
+#: little-endian int32; ``gaps`` the lists one after the other, each position less the one before it in its list, as the
+#: lowest bytes of all, then the second ones and so on, of which the higher ones are mostly zero and pack well.
+INDEX = "segment long, doc_id array<{id}>, first_position array<int>, n_words array<int>, term binary, n_postings binary, gaps binary"
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -45,19 +47,15 @@ def words(text: bytes | None) -> list[bytes]:
 # ---------------------------------------------------------------- index
 
 
-def build_index(docs: DataFrame, terms: Callable[[], set[bytes]] | None = None, gap: int = 64) -> DataFrame:
-    """Segments of positional postings for the words of ``docs`` (doc_id, text).
+def build_index(docs: DataFrame, gap: int = 64) -> DataFrame:
+    """Segments of positional postings for all words of ``docs`` (doc_id, text).
 
-    ``terms`` gives the words to index (called on the workers); None indexes all.
-    Words that no query holds can't be in a match, so a search of known queries may
-    leave their postings out; positions count them all the same. Null and empty texts
-    are documents without words. Repeated rows stay apart.
+    Null and empty texts are documents without words. Repeated rows stay apart.
     """
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
         from pyspark import TaskContext
 
-        wanted = terms() if terms else None
         base = TaskContext.get().partitionId() << 32
         held: list[tuple] = []
         n = made = 0
@@ -67,10 +65,10 @@ def build_index(docs: DataFrame, terms: Callable[[], set[bytes]] | None = None,
                 held.append((doc_id, w))
                 n += len(w) + gap
                 if n >= SEGMENT_WORDS:
-                    yield _segment(base + made, held, wanted, gap)
+                    yield _segment(base + made, held, gap)
                     held, n, made = [], 0, made + 1
         if held:
-            yield _segment(base + made, held, wanted, gap)
+            yield _segment(base + made, held, gap)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return arrow_map(
@@ -78,86 +76,114 @@ def build_index(docs: DataFrame, terms: Callable[[], set[bytes]] | None = None,
     )
 
 
-def _segment(number: int, held: list[tuple], wanted: set[bytes] | None, gap: int) -> dict:
+def _segment(number: int, held: list[tuple], gap: int) -> dict:
     ids: dict[bytes, int] = {}
-    if wanted is not None:
-        ids = dict(zip(wanted, range(len(wanted)), strict=True))
     n_words = np.array([len(w) for _, w in held], np.int64)
     first = np.concatenate([[0], np.cumsum(n_words + gap)[:-1]])
-    place, term = [], []
-    for (_, w), at in zip(held, first.tolist(), strict=True):
-        if wanted is None:
-            t = np.fromiter((ids.setdefault(x, len(ids)) for x in w), np.int64, len(w))
-        else:
-            t = np.fromiter((ids.get(x, -1) for x in w), np.int64, len(w))
-        p = np.flatnonzero(t >= 0)
-        place.append(p + at)
-        term.append(t[p])
-    place, term = np.concatenate(place), np.concatenate(term)
-    order = np.argsort(term, kind="stable")
+    total = int(n_words.sum())
+    term = np.fromiter((ids.setdefault(x, len(ids)) for _, w in held for x in w), np.int32, total)
+    place = np.arange(total) + np.repeat(first - np.cumsum(n_words) + n_words, n_words)
     counts = np.bincount(term, minlength=len(ids))
-    there = np.flatnonzero(counts)
-    names = list(ids)
+    positions = place[np.argsort(term, kind="stable")]
+    gaps = np.diff(positions, prepend=0)
+    starts = (np.cumsum(counts) - counts)[counts > 0]
+    gaps[starts] = positions[starts]
     return {
         "segment": [number],
         "doc_id": [[d for d, _ in held]],
         "first_position": [first.astype(np.int32)],
         "n_words": [n_words.astype(np.int32)],
-        "term": [[names[k] for k in there]],
-        "n_postings": [counts[there].astype(np.int32)],
-        "positions": [place[order].astype(np.int32)],
+        "term": [b" ".join(ids)],
+        "n_postings": [counts.astype("<i4").tobytes()],
+        "gaps": [gaps.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()],
     }
 
 
+def term_counts(index: DataFrame, terms: set[bytes]) -> dict[bytes, int]:
+    """Postings that each of ``terms`` has in the index; no more rows than terms come to the driver."""
+    sent = index.sparkSession.sparkContext.broadcast(terms)  # within BLOCK_BYTES
+
+    def rows(batches: Iterator[dict]) -> Iterator[dict]:
+        found: Counter = Counter()
+        for b in batches:
+            for term, n in zip(b["term"], b["n_postings"], strict=True):
+                for t, k in zip(term.split(), np.frombuffer(n, "<i4").tolist(), strict=True):
+                    if t in sent.value:
+                        found[t] += k
+        yield {"term": list(found), "n": list(found.values())}
+
+    per_task = arrow_map(index.select("term", "n_postings"), rows, "term binary, n long", at_once=1)
+    counts = {bytes(r["term"]): r["n"] for r in per_task.groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    sent.unpersist()
+    return counts
+
+
 # ---------------------------------------------------------------- search
 
 
 @dataclass
 class Segment:
-    """A row of the index with its posting lists in place."""
+    """A row of the index, of which lists are read as they are asked for."""
 
-    postings: dict[bytes, np.ndarray]
+    place: dict[bytes, tuple[int, int]]  # where in the gaps a term's list begins and ends
+    gaps: np.ndarray
     first: np.ndarray
     n_words: np.ndarray
 
     @classmethod
-    def of(cls, term: list[bytes], n_postings: list[int], positions: list[int], first: list[int], n_words: list[int]):
-        lists = np.split(np.array(positions, np.int64), np.cumsum(n_postings)[:-1]) if term else []
-        return cls(dict(zip(term, lists, strict=True)), np.array(first, np.int64), np.array(n_words, np.int64))
-
-    def phrase(self, terms: tuple[bytes, ...]) -> np.ndarray:
-        """Where ``terms`` stand one after the other."""
-        lists = [self.postings.get(t) for t in terms]
-        if any(x is None for x in lists):
-            return np.zeros(0, np.int64)
-        order = sorted(range(len(terms)), key=lambda k: len(lists[k]))
-        starts = lists[order[0]] - order[0]
-        for k in order[1:]:
-            if not len(starts):
-                break
-            at = np.searchsorted(lists[k], starts + k)
-            at[at == len(lists[k])] = 0
-            starts = starts[lists[k][at] == starts + k]
+    def of(cls, term: bytes, n_postings: bytes, gaps: bytes, first: list[int], n_words: list[int], wanted: Iterable[bytes] | None = None):
+        """``wanted``, if given, are the only terms that will be asked for."""
+        end = np.cumsum(np.frombuffer(n_postings, "<i4"), dtype=np.int64).tolist()
+        terms = term.split()
+        keep = range(len(terms)) if wanted is None else [k for k, t in enumerate(terms) if t in wanted]
+        place = {terms[k]: (end[k - 1] if k else 0, end[k]) for k in keep}
+        planes = np.frombuffer(gaps, np.uint8).reshape(4, -1)
+        return cls(place, planes, np.array(first, np.int64), np.array(n_words, np.int64))
+
+    def size(self, term: bytes) -> int:
+        a, b = self.place.get(term, (0, 0))
+        return b - a
+
+    def postings(self, term: bytes) -> np.ndarray:
+        a, b = self.place[term]
+        return np.cumsum(np.ascontiguousarray(self.gaps[:, a:b].T).view("<i4").ravel(), dtype=np.int64)
+
+    def phrase(self, terms: tuple[bytes, ...], lists: dict[bytes, np.ndarray]) -> np.ndarray:
+        """Where ``terms`` stand one after the other; ``lists`` keeps what has been read."""
+        starts = None
+        for k in sorted(range(len(terms)), key=lambda k: self.size(terms[k])):
+            p = self._list(terms[k], lists)
+            if starts is None:
+                starts = p - k
+            elif len(p):
+                at = np.searchsorted(p, starts + k)
+                at[at == len(p)] = 0
+                starts = starts[p[at] == starts + k]
+            if not len(p) or not len(starts):
+                return np.zeros(0, np.int64)
         return starts
 
-    def near(self, terms: tuple[bytes, ...], span: int) -> list[tuple[int, int]]:
+    def _list(self, term: bytes, lists: dict[bytes, np.ndarray]) -> np.ndarray:
+        if term not in lists:
+            lists[term] = self.postings(term) if term in self.place else np.zeros(0, np.int64)
+        return lists[term]
+
+    def near(self, terms: tuple[bytes, ...], span: int, lists: dict[bytes, np.ndarray]) -> list[tuple[int, int]]:
         """Shortest stretches (first, last position) of at most ``span`` words with every term of ``terms``, in any order."""
-        need = set(terms)
-        if not all(t in self.postings for t in need):
-            return []
-        rarest = min(need, key=lambda t: len(self.postings[t]))
-        anchors = self.postings[rarest]
-        merged = []
-        for t in need:
-            p = self.postings[t]
-            at = np.searchsorted(anchors, p)
-            reach = np.minimum(
-                np.abs(p - anchors[np.minimum(at, len(anchors) - 1)]), np.abs(p - anchors[np.maximum(at - 1, 0)])
-            )
-            p = p[reach < span]
-            if not len(p):
+        need = sorted(set(terms), key=lambda t: (self.size(t), t))
+        anchors = self._list(need[0], lists)
+        for t in need[1:]:  # anchors with each term within reach
+            p = self._list(t, lists)
+            if not len(anchors) or not len(p):
                 return []
-            merged += [(int(x), t) for x in p]
+            at = np.searchsorted(p, anchors)
+            reach = np.minimum(np.abs(p[np.minimum(at, len(p) - 1)] - anchors), np.abs(p[np.maximum(at - 1, 0)] - anchors))
+            anchors = anchors[reach < span]
+        merged = []
+        for t in need if len(anchors) else ():
+            p = self._list(t, lists)
+            low, high = np.searchsorted(p, anchors - span + 1), np.searchsorted(p, anchors + span - 1, side="right")
+            merged += [(int(x), t) for x in np.unique(np.concatenate([p[a:b] for a, b in zip(low, high, strict=True)]))]
         merged.sort()
         found, last = [], {}
         for p, t in merged:
@@ -196,50 +222,79 @@ def blocks(items: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tuple[st
         yield held
 
 
-HITS = "segment long, ordinal int, doc_id {id}, n_words long, hits array<struct<first:int,last:int>>, items array<string>"
+STRETCH = "struct<first:int,last:int>"
+HITS = (
+    "segment long, ordinal int, doc_id {id}, n_words long, "
+    f"hits array<{STRETCH}>, items array<string>, near array<{STRETCH}>, near_items array<string>"
+)
 
 
 def search(index: DataFrame, block: list[tuple[str, bytes]], width: int, span: int | None = None) -> DataFrame:
     """Per document of the index: its word count, the word stretches that matches cover, and the items that match.
 
-    Exact phrases of ``width`` words (see ``windows``); with ``span``, stretches of at
-    most so many words that hold all words of a window in any order.
+    ``hits`` and ``items`` are of exact phrases of ``width`` words (see ``windows``); with
+    ``span``, ``near`` and ``near_items`` are of stretches of at most so many words that
+    hold all words of a window in any order, else empty.
     """
-    spark = index.sparkSession
     by_window: dict[tuple[bytes, ...], set[str]] = {}
     for item_id, text in block:
         for w in windows(text, width):
             by_window.setdefault(w, set()).add(item_id)
-    sent = spark.sparkContext.broadcast([(w, sorted(x)) for w, x in by_window.items()])  # within BLOCK_BYTES of text
+    counts = term_counts(index, {t for w in by_window for t in w}) if by_window else {}
+    under: dict[bytes, list[tuple[tuple[bytes, ...], list[str]]]] = {}
+    for w, ids in by_window.items():
+        if all(t in counts for t in w):
+            under.setdefault(min(w, key=lambda t: (counts[t], t)), []).append((w, sorted(ids)))
+    sent = index.sparkSession.sparkContext.broadcast((set(counts), under))  # within BLOCK_BYTES of text
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
+        wanted, under = sent.value
         for b in batches:
             for k, number in enumerate(b["segment"]):
-                s = Segment.of(*(b[c][k] for c in ("term", "n_postings", "positions", "first_position", "n_words")))
-                hits: dict[int, list[tuple[int, int]]] = {}
-                items: dict[int, set[str]] = {}
-                for w, ids in sent.value:
-                    if span is None:
-                        found = [(p, p + len(w) - 1) for p in s.phrase(w).tolist()]
-                    else:
-                        found = s.near(w, span)
-                    for first, last in found:
-                        d = int(s.doc_of(np.array(first)))
-                        at = int(s.first[d])
-                        hits.setdefault(d, []).append((first - at, last - at))
-                        items.setdefault(d, set()).update(ids)
+                s = Segment.of(*(b[c][k] for c in ("term", "n_postings", "gaps", "first_position", "n_words")), wanted)
                 n = len(s.first)
+                exact, loose = _Found(s), _Found(s)
+                lists: dict[bytes, np.ndarray] = {}
+                for t in s.place:
+                    for w, ids in under.get(t, ()):
+                        for p in s.phrase(w, lists).tolist():
+                            exact.add(p, p + len(w) - 1, ids)
+                        for first, last in s.near(w, span, lists) if span else ():
+                            loose.add(first, last, ids)
                 yield {
                     "segment": [number] * n,
                     "ordinal": list(range(n)),
                     "doc_id": b["doc_id"][k],
                     "n_words": s.n_words,
-                    "hits": [[{"first": x, "last": y} for x, y in joined(hits.get(d, []))] for d in range(n)],
-                    "items": [sorted(items.get(d, ())) for d in range(n)],
+                    "hits": exact.stretches(),
+                    "items": exact.named(),
+                    "near": loose.stretches(),
+                    "near_items": loose.named(),
                 }
 
     kind = index.schema["doc_id"].dataType.elementType.simpleString()
-    return arrow_map(index, rows, HITS.format(id=kind))
+    return arrow_map(index, rows, HITS.format(id=kind), at_once=1)
+
+
+class _Found:
+    """Matches of a segment by document."""
+
+    def __init__(self, segment: Segment):
+        self.segment = segment
+        self.at: dict[int, list[tuple[int, int]]] = {}
+        self.items: dict[int, set[str]] = {}
+
+    def add(self, first: int, last: int, ids: list[str]) -> None:
+        d = int(self.segment.doc_of(np.array(first)))
+        start = int(self.segment.first[d])
+        self.at.setdefault(d, []).append((first - start, last - start))
+        self.items.setdefault(d, set()).update(ids)
+
+    def stretches(self) -> list[list[dict]]:
+        return [[{"first": x, "last": y} for x, y in joined(self.at.get(d, []))] for d in range(len(self.segment.first))]
+
+    def named(self) -> list[list[str]]:
+        return [sorted(self.items.get(d, ())) for d in range(len(self.segment.first))]
 
 
 def joined(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -256,19 +311,21 @@ def joined(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10, span: int | None = None) -> DataFrame:
     """How far each document of ``docs`` (doc_id, text) is covered by windows of ``items`` (item_id, text).
 
-    One row per input row: doc_id, n_words, n_hit (words inside any match), n_items,
+    One row per input row: doc_id, n_words, n_hit (words inside any exact match), n_items,
     items_sha256 (of the matching item_ids, as sorted strings, comma-joined; of nothing
-    where there are none), contaminated, hits (stretches of word numbers), items.
+    where there are none), contaminated, hits (stretches of word numbers), items; and of
+    proximity matches (see ``search``; none without ``span``) near and near_items.
     Null and empty texts have no words and no matches; items without words match
     nothing; a null item_id reads as an empty string; items with the same id count once.
-    Other columns are not looked at.
+    Repeated rows stay. Other columns are not looked at.
     """
-    index = stored(build_index(docs, _vocabulary(docs, items), max(64, width, span or 0)), "postings")
-    found = None
+    index = stored(build_index(docs, max(64, width, span or 0)), "postings")
+    found: list[DataFrame] = []
     for block in blocks(items):
-        found = _merge(found, search(index, block, width, span))
-    if found is None:
-        found = search(index, [], width, span)
+        if found:  # before the next block is sent, this one's matches are stored
+            found[-1] = stored(found[-1], "found")
+        found.append(search(index, block, width, span))
+    found = _merged(found or [search(index, [], width, span)])
     n_hit = F.coalesce(
         F.aggregate("hits", F.lit(0).cast("long"), lambda s, h: s + (h["last"] - h["first"] + 1)), F.lit(0)
     )
@@ -281,11 +338,17 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10, span: int
         (n_hit > 0).alias("contaminated"),
         "hits",
         "items",
+        "near",
+        "near_items",
     )
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text and any others) that hold no window of ``items``."""
+    """The rows of ``docs`` (doc_id, text and any others) that hold no exact window of ``items``.
+
+    Null and empty texts hold none and stay; a row with a null id is known by its text;
+    repeated rows stay or go together; all columns, whatever their names, go through.
+    """
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
     found = decontaminate(docs.select(key.alias("doc_id"), "text"), items, width)
     name = fresh(docs, "key_of_row")
@@ -293,43 +356,35 @@ def keep_clean(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
     return docs.join(hit, key == F.col(name), "left_anti")
 
 
-def _vocabulary(docs: DataFrame, items: DataFrame) -> Callable[[], set[bytes]] | None:
-    """The items' words for the workers; None, which indexes all words, if the items are more than one block."""
-    found: set[bytes] = set()
-    for k, block in enumerate(blocks(items)):
-        if k:
-            return None
-        found.update(w for _, t in block for w in words(t))
-    sent = docs.sparkSession.sparkContext.broadcast(found)  # within BLOCK_BYTES
-    return lambda: sent.value
-
-
-def _merge(a: DataFrame | None, b: DataFrame) -> DataFrame:
-    """Matches of two blocks in one stored index, where a row is known by segment and ordinal."""
-    if a is None:
-        return b
-    both = a.unionByName(b).groupBy("segment", "ordinal").agg(
-        F.first("doc_id").alias("doc_id"),
-        F.first("n_words").alias("n_words"),
-        F.sort_array(F.flatten(F.collect_list("hits"))).alias("hits"),
-        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+def _merged(found: list[DataFrame]) -> DataFrame:
+    """Matches of several blocks in one stored index, where a row is known by segment and ordinal."""
+    if len(found) == 1:
+        return found[0]
+    every = found[0]
+    for one in found[1:]:
+        every = every.unionByName(one)
+    names = [n for n in every.columns if n not in ("segment", "ordinal")]
+    first = [F.first(n).alias(n) for n in ("doc_id", "n_words")]
+    lists = [F.flatten(F.collect_list(n)).alias(n) for n in names[2:]]
+    both = every.groupBy("segment", "ordinal").agg(*first, *lists)
+    return both.withColumns(
+        {n: _one_by_one(F.sort_array(n)) if n in ("hits", "near") else F.array_distinct(n) for n in names[2:]}
     )
-    one = "struct<first:int,last:int>"
-    empty = F.array().cast(f"array<{one}>")
-    whole = F.aggregate(  # sorted stretches, overlapping and touching ones made one
-        "hits",
-        empty,
+
+
+def _one_by_one(stretches: Column) -> Column:
+    """Sorted stretches, overlapping and touching ones made one."""
+    last = lambda done: F.try_element_at(done, F.lit(-1))
+    return F.aggregate(
+        stretches,
+        F.array().cast(f"array<{STRETCH}>"),
         lambda done, h: F.when(
-            (F.size(done) > 0) & (h["first"] <= F.try_element_at(done, F.lit(-1))["last"] + 1),
+            (F.size(done) > 0) & (h["first"] <= last(done)["last"] + 1),
             F.concat(
                 F.slice(done, 1, F.size(done) - 1),
                 F.array(
-                    F.struct(
-                        F.try_element_at(done, F.lit(-1))["first"].alias("first"),
-                        F.greatest(F.try_element_at(done, F.lit(-1))["last"], h["last"]).alias("last"),
-                    )
+                    F.struct(last(done)["first"].alias("first"), F.greatest(last(done)["last"], h["last"]).alias("last"))
                 ),
             ),
         ).otherwise(F.concat(done, F.array(h))),
     )
-    return both.withColumn("hits", whole)

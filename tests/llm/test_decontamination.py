@@ -75,13 +75,61 @@ def test_keep_clean(spark, awkward, awkward_docs):
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "one two x three"), (2, "three filler two one"), (3, "one a b c d e f g two three"), (4, "one two")], "doc_id long, text string")
     q = spark.createDataFrame([(9, "one two three")], "item_id long, text string")
-    found = {r["doc_id"]: [tuple(h) for h in r["hits"]] for r in D.decontaminate(docs, q, width=3, span=5).collect()}
-    assert found == {1: [(0, 3)], 2: [(0, 3)], 3: [], 4: []}
+    rows = D.decontaminate(docs, q, width=3, span=5).collect()
+    assert {r["doc_id"]: [tuple(h) for h in r["near"]] for r in rows} == {1: [(0, 3)], 2: [(0, 3)], 3: [], 4: []}
+    assert {r["doc_id"]: r["near_items"] for r in rows} == {1: ["9"], 2: ["9"], 3: [], 4: []}
+    assert not any(r["hits"] for r in rows)
 
 
-def test_segments_are_cut(spark, awkward, awkward_docs, monkeypatch):
-    held = [(k, w) for k, w in enumerate([[b"a", b"b"], [], [b"b", b"a", b"b"]])]
-    s = D._segment(0, held, None, 10)
-    seg = D.Segment.of(s["term"][0], s["n_postings"][0], s["positions"][0], s["first_position"][0], s["n_words"][0])
-    assert seg.phrase((b"a", b"b")).tolist() == [0, 23]
-    assert seg.doc_of(seg.phrase((b"b", b"a"))).tolist() == [2]
+def covered_near(docs, items, width, span):
+    out = Counter()
+    for doc_id, t in docs:
+        w, found, hit = words(t), set(), set()
+        for i, x in items:
+            y = words(x)
+            for k in range(max(1, len(y) - width + 1) if y else 0):
+                need = set(y[k : k + width])
+                for a in range(len(w)):
+                    for b in range(a + len(need) - 1, min(len(w), a + span)):
+                        if need <= set(w[a : b + 1]):
+                            found.add(str(i))
+                            break
+        out[doc_id, tuple(sorted(found))] += 1
+    return out
+
+
+def test_proximity_against_brute_force(spark):
+    import random
+
+    rng = random.Random(6)
+    docs = [(k, " ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(40)))) for k in range(40)]
+    q = [(k, " ".join(rng.choice("abcdefghi") for _ in range(rng.randrange(8)))) for k in range(12)]
+    found = D.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(q, "item_id long, text string"), width=4, span=6)
+    assert Counter((r["doc_id"], tuple(r["near_items"])) for r in found.collect()) == covered_near(docs, q, 4, 6)
+    assert digest(found) == brute(docs, q, 4)
+
+
+def test_segments_hold_every_posting():
+    held = [(k, w) for k, w in enumerate([[b"a", b"b"], [], [b"b", b"a", b"b"], [b"c"]])]
+    s = {k: v[0] for k, v in D._segment(0, held, 10).items()}
+    seg = D.Segment.of(s["term"], s["n_postings"], s["gaps"], s["first_position"], s["n_words"])
+    assert {t: seg.postings(t).tolist() for t in (b"a", b"b", b"c")} == {b"a": [0, 23], b"b": [1, 22, 24], b"c": [35]}
+    assert seg.phrase((b"a", b"b"), {}).tolist() == [0, 23]
+    assert seg.doc_of(seg.phrase((b"b", b"a"), {})).tolist() == [2]
+    assert seg.phrase((b"a", b"missing"), {}).tolist() == [] == seg.near((b"a", b"missing"), 5, {})
+    empty = {k: v[0] for k, v in D._segment(0, [(1, [])], 10).items()}
+    assert D.Segment.of(empty["term"], empty["n_postings"], empty["gaps"], empty["first_position"], empty["n_words"]).place == {}
+
+
+def test_long_lists_are_read_back():
+    import random
+
+    rng = random.Random(1)
+    held = [(k, [rng.choice([b"x", b"y", b"%d" % rng.randrange(3000)]) for _ in range(rng.randrange(3000))]) for k in range(120)]
+    s = {k: v[0] for k, v in D._segment(0, held, 64).items()}
+    seg = D.Segment.of(s["term"], s["n_postings"], s["gaps"], s["first_position"], s["n_words"])
+    want = {}
+    for (_, w), at in zip(held, s["first_position"].tolist()):
+        for k, t in enumerate(w):
+            want.setdefault(t, []).append(at + k)
+    assert {t: seg.postings(t).tolist() for t in seg.place} == want
