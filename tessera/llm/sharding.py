@@ -5,10 +5,11 @@ row), so equal texts lie together and yet any group can be cut. Candidate bounda
 split the key range evenly; the exact bytes below each are counted across all
 partitions, the intervals that hold a splitter are probed anew, 4096-fold finer, and so
 on until each splitter is within tolerance or its interval is a single row. Only then
-are rows exchanged, once.
+are rows exchanged, once, in cells: ranges of keys that hold few enough rows to be
+sorted by a task, cut by further bits where a text is very frequent.
 
 Everything is a DataFrame expression; the driver sees at most 4096 counts for each
-splitter and round.
+splitter and round, and one for each cell.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ from tessera.llm.common import stored
 SHARDS = 24
 WORDS = ("k1", "k2", "k3")
 WORD_BITS, KEY_BITS, STEP = 64, 192, 12
-#: Parts of a first-round interval that holds more than its share of rows.
-PARTS = 256
+#: Rows that are sorted at a time, at most.
+MOST_ROWS = 1 << 20
 
 
 @dataclass
@@ -145,36 +146,127 @@ def splitters(rows: DataFrame, shares: int, tolerance: float) -> list[int]:
     return [found[k] for k in sorted(found)]
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, tolerance: float = 1e-6) -> DataFrame:
+@dataclass
+class Cut:
+    """A cell that is cut further: by ``bits`` bits of the key from ``depth`` on, into the cells ``inner`` (bits to cell)."""
+
+    cell: int
+    depth: int
+    bits: int
+    inner: dict[int, int]
+
+
+def cells(rows: DataFrame, limit: int) -> tuple[list[Cut], list[int]]:
+    """Cuts that lead each row to its cell, round after round, and the cells' numbers in the order of their keys.
+
+    A cell has at most ``limit`` rows unless all of its rows share every bit of the key,
+    which the number of the row rules out. The first cut is by STEP bits; a cell with
+    more rows is cut by as many bits as its rows ask for, after those that they all
+    share. So the number of cells, all that the driver sees, is within some multiples of
+    4096 and of rows / limit.
+    """
+    cuts: list[Cut] = []
+    final: list[tuple[int, int]] = []  # (first key of the cell, cell)
+    active = {0: (Interval(), STEP)}
+    made = 1
+    while active:
+        cell, (inside, bits) = next(iter(active.items()))
+        level = {c: x for c, x in active.items() if (x[0].depth, x[1]) == (inside.depth, bits)}
+        counts = _bins(led(rows, cuts), level, inside.depth, bits)
+        for c, (i, _) in level.items():
+            del active[c]
+            cut = Cut(c, i.depth, bits, {})
+            cuts.append(cut)
+            for value, n, low, high in counts.get(c, []):
+                cut.inner[value] = made
+                inner = Interval((i.prefix << bits) | value, i.depth + bits)
+                if n <= limit or inner.depth >= KEY_BITS:
+                    final.append((inner.start, made))
+                else:
+                    inner = _shared(inner, low, high)
+                    word_left = WORD_BITS - inner.depth % WORD_BITS
+                    if inner.depth >= KEY_BITS:
+                        final.append((inner.start, made))
+                    else:
+                        active[made] = (inner, min(STEP, word_left, (2 * n // limit).bit_length()))
+                made += 1
+    return cuts, [c for _, c in sorted(final)]
+
+
+def _shared(i: Interval, low: list[int], high: list[int]) -> Interval:
+    """The interval within ``i`` of the bits that all keys between the words ``low`` and ``high`` share."""
+    for k in range(i.depth // WORD_BITS, len(WORDS)):
+        rest = WORD_BITS * (k + 1) - i.depth
+        a, b = ((x[k] + (1 << 63)) & ((1 << rest) - 1) for x in (low, high))
+        same = rest - (a ^ b).bit_length()
+        i = Interval((i.prefix << same) | (a >> (rest - same)), i.depth + same, i.below)
+        if same < rest:
+            break
+    return i
+
+
+def led(rows: DataFrame, cuts: list[Cut]) -> DataFrame:
+    """``rows`` with their ``cell``: one look-up for each depth and number of bits that cuts have."""
+    spark = rows.sparkSession
+    out = rows.withColumn("cell", F.lit(0))
+    rounds: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+    for c in cuts:
+        rounds.setdefault((c.depth, c.bits), []).extend((c.cell, value, inner) for value, inner in c.inner.items())
+    for depth, bits in sorted(rounds):  # a cell is cut deeper than the one that it lies in
+        known = spark.createDataFrame(rounds[depth, bits], "cell int, value long, inner int")
+        out = (
+            out.withColumn("value", _bits(depth, bits).cast("long"))
+            .join(F.broadcast(known), ["cell", "value"], "left")  # no more rows than cells
+            .withColumn("cell", F.coalesce("inner", "cell"))
+            .drop("value", "inner")
+        )
+    return out
+
+
+def _bins(rows: DataFrame, level: dict[int, tuple[Interval, int]], depth: int, bits: int) -> dict[int, list[tuple]]:
+    """For each cell of ``level``: (next bits, rows, least and greatest of each word), in order."""
+    found = (
+        rows.where(F.col("cell").isin(list(level)))
+        .groupBy("cell", _bits(depth, bits).alias("bin"))
+        .agg(
+            F.count("*").alias("n"),
+            *(f(w).alias(f"{f.__name__}_{w}") for f in (F.min, F.max) for w in WORDS),
+        )
+    )
+    out: dict[int, list[tuple]] = {}
+    for r in found.collect():  # see cells() for how many
+        low, high = ([r[f"{f}_{w}"] for w in WORDS] for f in ("min", "max"))
+        out.setdefault(r["cell"], []).append((r["bin"], r["n"], low, high))
+    return {c: sorted(v) for c, v in out.items()}
+
+
+def shard(docs: DataFrame, shards: int = SHARDS, tolerance: float = 1e-6, least_cell: int = 256) -> DataFrame:
     """Every row of ``docs`` (doc_id, text) in a shard and a slot there, shards nearly equal in bytes.
 
     Gives doc_id, size (UTF-8 bytes of the text and 8; null has none), text_crc32, law
-    ("bytes"), shard, slot (gapless from 0 in each shard), grown_shard (null). Equal
-    texts are neighbours, in as few shards as equal sizes allow. Repeated rows, and rows
-    with null ids, have keys of their own by their number. Fewer rows than shards leave
-    some shards empty. Other columns are not looked at.
+    ("bytes"), shard, slot (gapless from 0 in each shard, in the order of the keys),
+    grown_shard (null). Equal texts are neighbours, in as few shards as equal sizes
+    allow, however many they are. Repeated rows, and rows with null ids, have keys of
+    their own by their number. Fewer rows than shards leave some shards empty; no rows
+    give none. Other columns are not looked at. Slots are counted in cells of at most
+    four shares of 4096 (but ``least_cell``) and 2**20 rows.
     """
     rows = stored(keyed(docs), "keys")
     at = splitters(rows, shards, tolerance)
     which = F.lit(0)
     for key in at:
         which = which + _at_or_after(key).cast("int")
-    bins = rows.groupBy(_bits(0, STEP).alias("bin")).agg(F.count("*").alias("n")).collect()  # at most 4096
-    share = 4 * sum(r["n"] for r in bins) / (1 << STEP)
-    crowded = [r["bin"] for r in bins if r["n"] > max(share, PARTS)]
-    part = F.when(F.col("bin").isin(crowded), F.pmod(F.xxhash64("k2", "k3"), F.lit(PARTS))) if crowded else F.lit(None)
-    placed = (
-        rows.withColumn("shard", which.cast("int"))
-        .withColumn("bin", _bits(0, STEP))
-        .withColumn("part", F.coalesce(part.cast("int"), F.lit(0)))
-    )
-    cells = placed.groupBy("shard", "bin", "part").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("shard").orderBy("bin", "part").rowsBetween(Window.unboundedPreceding, -1)
-    first = cells.select("shard", "bin", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_slot"))
-    within = Window.partitionBy("shard", "bin", "part").orderBy(*WORDS)
+    limit = min(max(4 * rows.count() >> STEP, least_cell), MOST_ROWS)
+    cuts, order = cells(rows, limit)
+    ranks = rows.sparkSession.createDataFrame([(c, k) for k, c in enumerate(order)], "cell int, nth_cell int")
+    placed = led(rows.withColumn("shard", which.cast("int")), cuts).join(F.broadcast(ranks), "cell")  # a row for each cell
+    sizes = placed.groupBy("shard", "nth_cell").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("shard").orderBy("nth_cell").rowsBetween(Window.unboundedPreceding, -1)
+    first = sizes.select("shard", "nth_cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_slot"))
+    within = Window.partitionBy("shard", "nth_cell").orderBy(*WORDS)
     ranked = placed.withColumn("nth", F.row_number().over(within))
     return (
-        ranked.join(F.broadcast(first), ["shard", "bin", "part"])  # at most 4096 bins, a 1024th of them in 256 parts
+        ranked.join(F.broadcast(first), ["shard", "nth_cell"])  # a row for each cell and one more for each splitter
         .select(
             "doc_id",
             "size",

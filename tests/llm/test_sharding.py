@@ -1,3 +1,4 @@
+import random
 import re
 import zlib
 from collections import Counter
@@ -30,6 +31,42 @@ def test_one_text_holds_most_rows(spark):
     assert len(same[0]) <= 18  # neighbours: two thirds of the shards and their edges
 
 
+def by_plain_sort(spark, docs, shards, **options):
+    """Rows by shard and slot next to all rows in the order of their keys."""
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((r["shard"], r["slot"], r["doc_id"], r["text_crc32"]) for r in S.shard(df, shards, **options).collect())
+    keys = sorted((r["k1"], r["k2"], r["k3"], r["doc_id"], r["text_crc32"]) for r in S.keyed(df).collect())
+    return [x[2:] for x in got], [x[3:] for x in keys]
+
+
+def test_the_order_is_that_of_the_keys(spark):
+    rng = random.Random(3)
+    docs = [(k, "the same" if k % 3 else f"other {k}") for k in range(3000)]
+    docs += [(7, "twice")] * 700 + [(None, "x")] * 300 + [(k, None) for k in range(200)]
+    rng.shuffle(docs)
+    for shards in (1, 5, 24):
+        got, want = by_plain_sort(spark, docs, shards)
+        assert got == want
+    got, want = by_plain_sort(spark, docs, 5, least_cell=3)
+    assert got == want
+
+
+def test_equal_texts_are_neighbours(spark):
+    docs = [(k, "the same" if k % 3 else f"other {k}") for k in range(3000)]
+    got, _ = by_plain_sort(spark, docs, 24)
+    at = [k for k, (_, crc) in enumerate(got) if crc == zlib.crc32(b"the same")]
+    assert at == list(range(at[0], at[0] + 2000))
+
+
+def test_cells_hold_few_rows(spark):
+    docs = [(k, "the same" if k % 3 else f"other {k}") for k in range(3000)] + [(7, "twice")] * 500
+    rows = S.keyed(spark.createDataFrame(docs, "doc_id long, text string")).cache()
+    cuts, order = S.cells(rows, 20)
+    n = Counter(r["cell"] for r in S.led(rows, cuts).collect())
+    assert max(n.values()) <= 20 and set(n) == set(order) and len(order) < 4096
+    rows.unpersist()
+
+
 def test_identical_rows(spark):
     docs = [(1, "x")] * 500
     rows = S.shard(spark.createDataFrame(docs, "doc_id long, text string"), 24).collect()
