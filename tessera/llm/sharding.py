@@ -205,21 +205,32 @@ def _shared(i: Interval, low: list[int], high: list[int]) -> Interval:
     return i
 
 
+def _listed(numbers: list[int]) -> Column:
+    """A constant array, without an expression for each of its elements."""
+    return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<bigint>")
+
+
 def led(rows: DataFrame, cuts: list[Cut]) -> DataFrame:
-    """``rows`` with their ``cell``: one look-up for each depth and number of bits that cuts have."""
-    spark = rows.sparkSession
-    out = rows.withColumn("cell", F.lit(0))
-    rounds: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+    """``rows`` with their ``cell``, looked up cut by cut in constant arrays of as many numbers as there are cells."""
+    index = {c.cell: -k - 1 for k, c in enumerate(cuts)}  # a cell that is cut stands as its cut, below zero
+    flat: list[int] = []
+    offset, word, shift, mask, depth_of = [], [], [], [], {0: 0}
     for c in cuts:
-        rounds.setdefault((c.depth, c.bits), []).extend((c.cell, value, inner) for value, inner in c.inner.items())
-    for depth, bits in sorted(rounds):  # a cell is cut deeper than the one that it lies in
-        known = spark.createDataFrame(rounds[depth, bits], "cell int, value long, inner int")
-        out = (
-            out.withColumn("value", _bits(depth, bits).cast("long"))
-            .join(F.broadcast(known), ["cell", "value"], "left")  # no more rows than cells
-            .withColumn("cell", F.coalesce("inner", "cell"))
-            .drop("value", "inner")
-        )
+        w, at = divmod(c.depth, WORD_BITS)
+        offset.append(len(flat))
+        word.append(w)
+        shift.append(WORD_BITS - at - c.bits)
+        mask.append((1 << c.bits) - 1)
+        flat += [index.get(c.inner.get(v, 0), c.inner.get(v, 0)) if v in c.inner else 0 for v in range(1 << c.bits)]
+        depth_of |= {x: depth_of[c.cell] + 1 for x in c.inner.values()}
+    out = rows.withColumn("cell", F.lit(index.get(0, 0)).cast("bigint"))
+    key = F.array(*(F.col(w).bitwiseXOR(F.lit(-(1 << 63))) for w in WORDS))
+    for _ in range(max(depth_of[c.cell] for c in cuts) + 1 if cuts else 0):
+        out = out.withColumn("cut", (-F.col("cell") - 1).cast("int"))
+        at = lambda numbers: F.get(_listed(numbers), F.col("cut"))
+        value = F.call_function("shiftrightunsigned", F.get(key, at(word).cast("int")), at(shift).cast("int")).bitwiseAND(at(mask))
+        inner = F.get(_listed(flat), (at(offset) + value).cast("int"))
+        out = out.withColumn("cell", F.when(F.col("cell") < 0, inner).otherwise(F.col("cell"))).drop("cut")
     return out
 
 
@@ -258,8 +269,9 @@ def shard(docs: DataFrame, shards: int = SHARDS, tolerance: float = 1e-6, least_
         which = which + _at_or_after(key).cast("int")
     limit = min(max(4 * rows.count() >> STEP, least_cell), MOST_ROWS)
     cuts, order = cells(rows, limit)
-    ranks = rows.sparkSession.createDataFrame([(c, k) for k, c in enumerate(order)], "cell int, nth_cell int")
-    placed = led(rows.withColumn("shard", which.cast("int")), cuts).join(F.broadcast(ranks), "cell")  # a row for each cell
+    rank = {c: k for k, c in enumerate(order)}
+    nth_cell = F.get(_listed([rank.get(c, 0) for c in range(max(rank, default=0) + 1)]), F.col("cell").cast("int"))
+    placed = led(rows.withColumn("shard", which.cast("int")), cuts).withColumn("nth_cell", nth_cell)
     sizes = placed.groupBy("shard", "nth_cell").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("nth_cell").rowsBetween(Window.unboundedPreceding, -1)
     first = sizes.select("shard", "nth_cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_slot"))

@@ -81,4 +81,5 @@ def test_no_rows(no_docs):
 
 def test_no_python_in_the_plan(awkward_docs):
     assert not re.search("Python|Pandas|Arrow", S.shard(awkward_docs)._jdf.queryExecution().toString())
+    assert not re.search("ExistingRDD", S.shard(awkward_docs)._jdf.queryExecution().toString())
     assert not re.search("Python|Pandas|Arrow", S.keyed(awkward_docs)._jdf.queryExecution().toString())
