@@ -5,16 +5,18 @@ row), so equal texts lie together and yet any group can be cut. Candidate bounda
 split the key range evenly; the exact bytes below each are counted across all
 partitions, the intervals that hold a splitter are probed anew, 4096-fold finer, and so
 on until each splitter is within tolerance or its interval is a single row. Only then
-are rows exchanged, once, in cells: ranges of keys that hold few enough rows to be
-sorted by a task, cut by further bits where a text is very frequent.
+are rows exchanged, once, in cells: ranges of keys with nearly as many rows each, which
+are found the same way and cut through a very frequent text as through any other.
 
 Everything is a DataFrame expression; the driver sees at most 4096 counts for each
-splitter and round, and one for each cell.
+splitter and round.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,8 +26,8 @@ from tessera.llm.common import stored
 SHARDS = 24
 WORDS = ("k1", "k2", "k3")
 WORD_BITS, KEY_BITS, STEP = 64, 192, 12
-#: Rows that are sorted at a time, at most.
-MOST_ROWS = 1 << 20
+#: Ranges of keys that are sorted each on its own, and the rows from which there are more of them.
+CELLS, MOST_ROWS = 1024, 1 << 20
 
 
 @dataclass
@@ -92,46 +94,51 @@ def _at_or_after(key: int) -> Column:
     return (a > words[0]) | ((a == words[0]) & ((b > words[1]) | ((b == words[1]) & (c >= words[2]))))
 
 
-def _counts(rows: DataFrame, intervals: list[Interval]) -> dict[int, list[tuple[int, int, int, int, int]]]:
-    """For each interval: (next bits, bytes, rows, least and greatest value of the word they are in), in order."""
+def _step(depth: int, first: int) -> int:
+    """Bits of the next round: ``first`` in the first one, else STEP, within a word."""
+    return min(first if not depth else STEP, WORD_BITS - depth % WORD_BITS)
+
+
+def _counts(rows: DataFrame, intervals: list[Interval], weight: Column, n: int) -> list[list[tuple[int, int, int, int, int]]]:
+    """For each interval: (next ``n`` bits, weight, rows, least and greatest value of the word they are in), in order."""
     depth = intervals[0].depth
-    n = min(STEP, WORD_BITS - depth % WORD_BITS)
     which = F.lit(None).cast("int")
     for k, i in enumerate(intervals):
         which = F.when(_within(i), k).otherwise(which)
     word = F.col(WORDS[depth // WORD_BITS])
     found = (
-        rows.select(which.alias("i"), _bits(depth, n).alias("bin"), "size", word.alias("word"))
+        rows.select(which.alias("i"), _bits(depth, n).alias("bin"), weight.alias("weight"), word.alias("word"))
         .where("i is not null")
         .groupBy("i", "bin")
-        .agg(F.sum("size").alias("size"), F.count("*").alias("n"), F.min("word").alias("low"), F.max("word").alias("high"))
+        .agg(F.sum("weight").alias("size"), F.count("*").alias("n"), F.min("word").alias("low"), F.max("word").alias("high"))
     )
-    out: dict[int, list] = {}
-    for r in found.collect():  # at most 4096 for each interval
-        out.setdefault(r["i"], []).append((r["bin"], r["size"], r["n"], r["low"], r["high"]))
-    return {k: sorted(v) for k, v in out.items()}
+    out: list[list] = [[] for _ in intervals]
+    for r in found.collect():  # at most 4096 for each interval, in the first round four for each share
+        out[r["i"]].append((r["bin"], r["size"], r["n"], r["low"], r["high"]))
+    return [sorted(v) for v in out]
 
 
-def splitters(rows: DataFrame, shares: int, tolerance: float) -> list[int]:
-    """Keys from which each further share begins, with bytes as equal as whole rows allow or ``tolerance`` asks."""
-    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"]
+def splitters(rows: DataFrame, shares: int, tolerance: float, weight: Column | None = None) -> list[int]:
+    """Keys from which each further share begins, with bytes (or ``weight``) as equal as whole rows allow or ``tolerance`` asks."""
+    weight = F.col("size") if weight is None else weight
+    total = rows.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("n")).first()["n"]
     targets = [total * k / shares for k in range(1, shares)]
     allowed = tolerance * total / shares
+    first = max(STEP, (4 * shares - 1).bit_length())
     found: dict[int, int] = {}
     active = {k: Interval() for k in range(len(targets))} if total else {}
     while active:
         depth = min(i.depth for i in active.values())
         level = {k: i for k, i in active.items() if i.depth == depth}
-        intervals = {(i.prefix, i.depth): i for i in level.values()}
-        order = list(intervals)
-        counts = _counts(rows, list(intervals.values()))
-        n = min(STEP, WORD_BITS - depth % WORD_BITS)
+        order = {i.prefix: n for n, i in enumerate({i.prefix: i for i in level.values()}.values())}
+        n = _step(depth, first)
+        counts = _counts(rows, [Interval(p, depth) for p in order], weight, n)
+        sums = [list(accumulate(size for _, size, *_ in c)) for c in counts]
         for k, i in level.items():
-            below = i.below
-            for value, size, count, low, high in counts[order.index((i.prefix, i.depth))]:
-                if below + size > targets[k] or below + size == total:
-                    break
-                below += size
+            at = order[i.prefix]
+            j = min(bisect_right(sums[at], targets[k] - i.below), len(sums[at]) - 1)
+            value, size, count, low, high = counts[at][j]
+            below = i.below + sums[at][j] - size
             inner = Interval((i.prefix << n) | value, i.depth + n, below)
             to_start, to_end = abs(targets[k] - below), abs(below + size - targets[k])
             if count == 1 or min(to_start, to_end) <= allowed or inner.depth == KEY_BITS:
@@ -146,109 +153,33 @@ def splitters(rows: DataFrame, shares: int, tolerance: float) -> list[int]:
     return [found[k] for k in sorted(found)]
 
 
-@dataclass
-class Cut:
-    """A cell that is cut further: by ``bits`` bits of the key from ``depth`` on, into the cells ``inner`` (bits to cell)."""
-
-    cell: int
-    depth: int
-    bits: int
-    inner: dict[int, int]
+def _listed(numbers: list[int]) -> Column:
+    """A constant array, without an expression for each of its elements."""
+    return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<bigint>")
 
 
-def cells(rows: DataFrame, limit: int) -> tuple[list[Cut], list[int]]:
-    """Cuts that lead each row to its cell, round after round, and the cells' numbers in the order of their keys.
+def cell_of(starts: list[int]) -> Column:
+    """How many of the keys ``starts``, which are in order, are at or below a row's key.
 
-    A cell has at most ``limit`` rows unless all of its rows share every bit of the key,
-    which the number of the row rules out. The first cut is by STEP bits; a cell with
-    more rows is cut by as many bits as its rows ask for, after those that they all
-    share. So the number of cells, all that the driver sees, is within some multiples of
-    4096 and of rows / limit.
+    The key's first bits say how many lie below all keys that begin so; only keys that
+    begin like a very frequent text have starts among them, which are then compared.
     """
-    cuts: list[Cut] = []
-    final: list[tuple[int, int]] = []  # (first key of the cell, cell)
-    active = {0: (Interval(), STEP)}
-    made = 1
-    while active:
-        cell, (inside, bits) = next(iter(active.items()))
-        level = {c: x for c, x in active.items() if (x[0].depth, x[1]) == (inside.depth, bits)}
-        counts = _bins(led(rows, cuts), level, inside.depth, bits)
-        for c, (i, _) in level.items():
-            del active[c]
-            cut = Cut(c, i.depth, bits, {})
-            cuts.append(cut)
-            for value, n, low, high in counts.get(c, []):
-                cut.inner[value] = made
-                inner = Interval((i.prefix << bits) | value, i.depth + bits)
-                if n <= limit or inner.depth >= KEY_BITS:
-                    final.append((inner.start, made))
-                else:
-                    inner = _shared(inner, low, high)
-                    word_left = WORD_BITS - inner.depth % WORD_BITS
-                    if inner.depth >= KEY_BITS:
-                        final.append((inner.start, made))
-                    else:
-                        active[made] = (inner, min(STEP, word_left, (2 * n // limit).bit_length()))
-                made += 1
-    return cuts, [c for _, c in sorted(final)]
-
-
-def _shared(i: Interval, low: list[int], high: list[int]) -> Interval:
-    """The interval within ``i`` of the bits that all keys between the words ``low`` and ``high`` share."""
-    for k in range(i.depth // WORD_BITS, len(WORDS)):
-        rest = WORD_BITS * (k + 1) - i.depth
-        a, b = ((x[k] + (1 << 63)) & ((1 << rest) - 1) for x in (low, high))
-        same = rest - (a ^ b).bit_length()
-        i = Interval((i.prefix << same) | (a >> (rest - same)), i.depth + same, i.below)
-        if same < rest:
-            break
-    return i
+    bits = max(STEP, (4 * len(starts)).bit_length())
+    shift = KEY_BITS - bits
+    first = [bisect_left(starts, b << shift) for b in range((1 << bits) + 1)]
+    first = [n + (n < len(starts) and starts[n] == b << shift) for b, n in enumerate(first)]  # a start at the bin's edge is below all of it
+    within = [bisect_left(starts, (b + 1) << shift) for b in range(1 << bits)]
+    words = [_listed([_signed((x >> (KEY_BITS - (k + 1) * WORD_BITS)) & ((1 << WORD_BITS) - 1)) for x in starts] or [0]) for k in range(3)]
+    a, b, c = (F.col(w) for w in WORDS)
 
+    def reached(i: Column) -> Column:
+        x, y, z = (F.get(w, i) for w in words)
+        return (a > x) | ((a == x) & ((b > y) | ((b == y) & (c >= z))))
 
-def _listed(numbers: list[int]) -> Column:
-    """A constant array, without an expression for each of its elements."""
-    return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<bigint>")
-
-
-def led(rows: DataFrame, cuts: list[Cut]) -> DataFrame:
-    """``rows`` with their ``cell``, looked up cut by cut in constant arrays of as many numbers as there are cells."""
-    index = {c.cell: -k - 1 for k, c in enumerate(cuts)}  # a cell that is cut stands as its cut, below zero
-    flat: list[int] = []
-    offset, word, shift, mask, depth_of = [], [], [], [], {0: 0}
-    for c in cuts:
-        w, at = divmod(c.depth, WORD_BITS)
-        offset.append(len(flat))
-        word.append(w)
-        shift.append(WORD_BITS - at - c.bits)
-        mask.append((1 << c.bits) - 1)
-        flat += [index.get(c.inner.get(v, 0), c.inner.get(v, 0)) if v in c.inner else 0 for v in range(1 << c.bits)]
-        depth_of |= {x: depth_of[c.cell] + 1 for x in c.inner.values()}
-    out = rows.withColumn("cell", F.lit(index.get(0, 0)).cast("bigint"))
-    key = F.array(*(F.col(w).bitwiseXOR(F.lit(-(1 << 63))) for w in WORDS))
-    for _ in range(max(depth_of[c.cell] for c in cuts) + 1 if cuts else 0):
-        out = out.withColumn("cut", (-F.col("cell") - 1).cast("int"))
-        at = lambda numbers: F.get(_listed(numbers), F.col("cut"))
-        value = F.call_function("shiftrightunsigned", F.get(key, at(word).cast("int")), at(shift).cast("int")).bitwiseAND(at(mask))
-        inner = F.get(_listed(flat), (at(offset) + value).cast("int"))
-        out = out.withColumn("cell", F.when(F.col("cell") < 0, inner).otherwise(F.col("cell"))).drop("cut")
-    return out
-
-
-def _bins(rows: DataFrame, level: dict[int, tuple[Interval, int]], depth: int, bits: int) -> dict[int, list[tuple]]:
-    """For each cell of ``level``: (next bits, rows, least and greatest of each word), in order."""
-    found = (
-        rows.where(F.col("cell").isin(list(level)))
-        .groupBy("cell", _bits(depth, bits).alias("bin"))
-        .agg(
-            F.count("*").alias("n"),
-            *(f(w).alias(f"{f.__name__}_{w}") for f in (F.min, F.max) for w in WORDS),
-        )
-    )
-    out: dict[int, list[tuple]] = {}
-    for r in found.collect():  # see cells() for how many
-        low, high = ([r[f"{f}_{w}"] for w in WORDS] for f in ("min", "max"))
-        out.setdefault(r["cell"], []).append((r["bin"], r["n"], low, high))
-    return {c: sorted(v) for c, v in out.items()}
+    bin_ = _bits(0, bits).cast("int")
+    low, high = F.get(_listed(first[:-1]), bin_).cast("int"), F.get(_listed(within), bin_).cast("int")
+    inside = F.size(F.filter(F.sequence(low, high - 1), reached))
+    return F.when(high > low, low + inside).otherwise(low)
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, tolerance: float = 1e-6, least_cell: int = 256) -> DataFrame:
@@ -259,26 +190,24 @@ def shard(docs: DataFrame, shards: int = SHARDS, tolerance: float = 1e-6, least_
     grown_shard (null). Equal texts are neighbours, in as few shards as equal sizes
     allow, however many they are. Repeated rows, and rows with null ids, have keys of
     their own by their number. Fewer rows than shards leave some shards empty; no rows
-    give none. Other columns are not looked at. Slots are counted in cells of at most
-    four shares of 4096 (but ``least_cell``) and 2**20 rows.
+    give none. Other columns are not looked at. Slots are counted in 1024 cells of
+    nearly as many rows each, more where those would hold over 2**20 rows and fewer
+    where they would hold under ``least_cell``.
     """
     rows = stored(keyed(docs), "keys")
-    at = splitters(rows, shards, tolerance)
     which = F.lit(0)
-    for key in at:
+    for key in splitters(rows, shards, tolerance):
         which = which + _at_or_after(key).cast("int")
-    limit = min(max(4 * rows.count() >> STEP, least_cell), MOST_ROWS)
-    cuts, order = cells(rows, limit)
-    rank = {c: k for k, c in enumerate(order)}
-    nth_cell = F.get(_listed([rank.get(c, 0) for c in range(max(rank, default=0) + 1)]), F.col("cell").cast("int"))
-    placed = led(rows.withColumn("shard", which.cast("int")), cuts).withColumn("nth_cell", nth_cell)
-    sizes = placed.groupBy("shard", "nth_cell").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("shard").orderBy("nth_cell").rowsBetween(Window.unboundedPreceding, -1)
-    first = sizes.select("shard", "nth_cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_slot"))
-    within = Window.partitionBy("shard", "nth_cell").orderBy(*WORDS)
+    n = rows.count()
+    starts = splitters(rows, max(1, min(n // least_cell, max(CELLS, n // MOST_ROWS))), 0.5, F.lit(1))
+    placed = rows.withColumn("shard", which.cast("int")).withColumn("cell", cell_of(sorted(set(starts))))
+    sizes = placed.groupBy("shard", "cell").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    first = sizes.select("shard", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_slot"))
+    within = Window.partitionBy("shard", "cell").orderBy(*WORDS)
     ranked = placed.withColumn("nth", F.row_number().over(within))
     return (
-        ranked.join(F.broadcast(first), ["shard", "nth_cell"])  # a row for each cell and one more for each splitter
+        ranked.join(F.broadcast(first), ["shard", "cell"])  # a row for each cell and one more for each splitter
         .select(
             "doc_id",
             "size",
