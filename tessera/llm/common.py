@@ -6,6 +6,8 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,22 +38,49 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+#: Folders that ``stored`` has written while a list was here.
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again.
 
     Lineage ends here: a lost executor costs a reread, not a recomputation, and a
     value that depends on how a task met its rows (a rank within a partition, say)
-    is fixed from then on. The files go when the driver's JVM ends.
+    is fixed from then on. The files go when the driver's JVM ends, if not before (``noted``).
     """
     spark = df.sparkSession
     to = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if (written := _WRITTEN.get()) is not None:
+        written.append(to)
     df.write.parquet(to)
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(to)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    path, files = _hadoop(spark, to)
+    files.deleteOnExit(path)
     return spark.read.schema(df.schema).parquet(to)
 
 
+@contextmanager
+def noted(folders: list[str]) -> Iterator[None]:
+    """Adds to ``folders`` what ``stored`` writes meanwhile, for ``removed`` once nothing reads it any more."""
+    token = _WRITTEN.set(folders)
+    try:
+        yield
+    finally:
+        _WRITTEN.reset(token)
+
+
+def removed(spark: SparkSession, folders: list[str]) -> None:
+    """Deletes the folders and empties the list."""
+    while folders:
+        path, files = _hadoop(spark, folders.pop())
+        files.delete(path, True)
+
+
+def _hadoop(spark: SparkSession, to: str) -> tuple:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or a longer one that no column of ``df`` has."""
     taken = {c.lower() for c in df.columns}

@@ -2,7 +2,7 @@
 
 Alternates large-star and small-star (each node links its larger, then its smaller
 neighbours to the smallest node it knows); the number of rounds grows with the
-logarithm of the longest chain. Each round ends in a checkpoint.
+logarithm of the longest chain. Each round is stored and the one before it deleted.
 """
 
 from __future__ import annotations
@@ -10,27 +10,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import shared_dir
+from tessera.llm.common import noted, removed, stored
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node with a link; root is the smallest node it can reach.
 
-    Links count both ways; self-links, repeated links and links with a null end are
-    ignored. Nothing is ever grouped whole under a node: the smallest neighbour is an
-    aggregate that sums up before it is shuffled, and joins back to the links.
+    Nodes are of any type that has an order. Links count both ways; self-links, repeated
+    links and links with a null end are ignored. The smallest neighbour of a node is an
+    aggregate that sums up before it is shuffled. It is joined back to the links, never
+    to a group of them: rows of a hub with very many links are dealt to several tasks by
+    Spark's splitting of skewed joins, as the other side has one row a node.
     """
-    shared_dir(links.sparkSession)
     x, y = F.col(a), F.col(b)
-    pairs = links.where(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct().checkpoint()
-    state = None
+    spark, before, state = links.sparkSession, [], None
+    with noted(before):
+        pairs = stored(links.where(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct(), "links")
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pairs = small.unionByName(low.select("u", F.col("m").alias("v"))).distinct().checkpoint()
+        folders: list[str] = []
+        with noted(folders):
+            pairs = stored(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "links")
+        removed(spark, before)
+        before = folders
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == state:
             break

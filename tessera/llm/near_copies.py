@@ -1,36 +1,56 @@
-"""Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
-
-Candidates are texts that agree in one of ``BANDS`` keys, each made of ``ROWS`` least
-hashes of the set; a pair of similarity s agrees in none with probability
-(1 - s**ROWS)**BANDS, 3e-6 at 0.8. Every candidate is then held against the exact sets.
-Equal sets are one entry, whatever the number of their texts. The members of a key are
-first held against its smallest one; pairs follow only where that leaves a key with
-several components. Keys that very many share are searched in blocks, which give links
-in proportion to their members.
+"""SimHash near-duplicates at a similarity of texts: Jaccard of their sets of five-word shingles, 0.8 or more.
+
+Four bits of 64 hold only closest copies; texts of similarity 0.8 lie some ten bits
+apart, beyond any ball that can be enumerated. So fingerprints here are longer: WORDS of
+64 bits, cut into segments of 21 bits, of which two such texts share one up to a bit
+nearly always (``recall``). As in ``simhash``, a table of segment values is asked for the
+Hamming balls around one's own and complete distances are verified; then exact sets
+decide, so that links are right whatever the fingerprints say. Equal sets are one entry,
+whatever the number of their texts. Members of a value that very many share are first
+held against its smallest one; what that leaves in several components is searched in blocks.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import arrow_map, arrow_schema, fresh, stored
 from tessera.llm.components import components
+from tessera.llm.simhash import probes
 
 SHINGLE, LEAST, SEED = 5, 0.8, 42
-BANDS, ROWS = 24, 4
-#: A key with more members is searched in blocks.
+#: Words of a fingerprint, segments of a word and their bits.
+WORDS, PER_WORD, BITS = 5, 3, 21
+#: A segment value with more members is searched in blocks.
 CROWDED = 64
-#: Shingles of a block.
-BLOCK = 1 << 20
+#: Shingles of a block of sets, and entries of a block of fingerprints.
+BLOCK, ENTRIES = 1 << 20, 8192
 
-_rng = np.random.default_rng(SEED)
-_XOR = _rng.integers(0, 1 << 64, BANDS * ROWS, np.uint64)
-_ODD = _rng.integers(0, 1 << 64, BANDS * ROWS, np.uint64) | np.uint64(1)
+_GOLDEN, _MIX = np.uint64(0x9E3779B97F4A7C15), (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
+
+
+def differing(least: float) -> float:
+    """Share of bits in which two sets of the same size and this Jaccard similarity differ: their angle over pi."""
+    return math.acos(2 * least / (1 + least)) / math.pi
+
+
+def recall(least: float, words: int = WORDS) -> float:
+    """How likely such sets meet: some segment differs in a bit at most."""
+    p = differing(least)
+    meet = (1 - p) ** BITS + BITS * p * (1 - p) ** (BITS - 1)
+    return 1 - (1 - meet) ** (words * PER_WORD)
+
+
+def radius(least: float, bits: int) -> int:
+    """The complete distance that sets of this similarity keep within, but for one in a thousand."""
+    p = differing(least)
+    return math.ceil(bits * p + 3.1 * math.sqrt(bits * p * (1 - p)))
 
 
 def shingles(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -50,20 +70,18 @@ def shingles(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(np.fromiter((digest(line[s:e], SEED) for s, e in zip(starts, stops, strict=True)), np.uint64, n))
 
 
-def band_keys(hashes: np.ndarray) -> list[int]:
-    """The keys of a set, signed; none for an empty one."""
-    import xxhash
-
-    if not len(hashes):
-        return []
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for k in range(0, len(hashes), 4096):  # bounded memory for very long texts
-        mixed = (hashes[k : k + 4096, None] ^ _XOR) * _ODD
-        least = np.minimum(least, (mixed ^ (mixed >> np.uint64(32))).min(0))
-    each = least.astype("<u8").tobytes()
-    size = 8 * ROWS
-    keys = [xxhash.xxh64_intdigest(each[b * size : (b + 1) * size], b) for b in range(BANDS)]
-    return np.array(keys, np.uint64).view(np.int64).tolist()
+def fingerprint(hashes: np.ndarray, words: int = WORDS) -> list[int]:
+    """Signed words of the SimHash of a set: a bit is set if more than half of the hashes, mixed anew for each word, have it."""
+    ones = np.zeros(64 * words, np.int64)
+    steps = (np.arange(1, words + 1, dtype=np.uint64) * _GOLDEN)[None, :]
+    for k in range(0, len(hashes), 255):  # so many ones fit a byte
+        x = hashes[k : k + 255, None] + steps
+        x = (x ^ (x >> np.uint64(30))) * _MIX[0]
+        x = (x ^ (x >> np.uint64(27))) * _MIX[1]
+        x ^= x >> np.uint64(31)
+        bits = np.unpackbits(x.astype("<u8").view(np.uint8), axis=1, bitorder="little")
+        ones += np.add.reduce(bits.view(np.uint64), axis=0).view(np.uint8)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8").tolist()
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -109,11 +127,12 @@ def _forest(nodes: list[int], trees: list[int], sets: list[np.ndarray], least: f
     starts = np.cumsum(sizes) - sizes
     _, at = np.unique(np.concatenate(sets), return_inverse=True)
     mine = np.zeros(at.max() + 1, np.int64)
-    out = []
+    out, several = [], False
     for k in range(1, len(nodes)):
         stop = starts[k]
-        if all(find(t) == find(trees[k]) for t in set(trees[:k])):
+        if not several and find(trees[k]) == find(trees[0]):
             continue
+        several = True
         own = at[stop : stop + sizes[k]]
         mine[own] = 1
         shared = np.add.reduceat(mine[at[:stop]], starts[:k])
@@ -122,11 +141,52 @@ def _forest(nodes: list[int], trees: list[int], sets: list[np.ndarray], least: f
             if find(trees[j]) != find(trees[k]):
                 out.append((nodes[j], nodes[k]))
                 root[find(trees[j])] = find(trees[k])
+        if len(out) and len({find(t) for t in root}) == 1:
+            break
     return out
 
 
-def _crowded(members: DataFrame, texts: DataFrame, least: float, shingle: int, block: int) -> DataFrame:
-    """Forests of the ``members`` (key, node, n, tree, total) of each key, by pairs of blocks."""
+def _distance(a: Column, b: Column) -> Column:
+    """Differing bits of two arrays of words."""
+    each = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int"))
+    return F.aggregate(each, F.lit(0), lambda s, x: s + x)
+
+
+def _dealt(members: DataFrame, size: Column) -> DataFrame:
+    """``members`` of each key in pairs of ``size`` blocks (i, j): a member is in all pairs that its block is in."""
+    mine = F.pmod(F.xxhash64("node"), size)
+    return (
+        members.withColumn("mine", mine)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), size - 1)))
+        .withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")})
+        .drop("mine", "other")
+    )
+
+
+def _undecided(members: DataFrame, least: float, entries: int) -> DataFrame:
+    """Those of ``members`` (key, node, tree, w) that a member of another tree is near."""
+    most, kinds = radius(least, 64 * WORDS), arrow_schema(members.sparkSession, "key long, node long")
+
+    def run(table: pa.Table) -> pa.Table:
+        tree = table.column("tree").to_numpy()
+        w = np.array(table.column("w").to_pylist(), np.int64).view(np.uint64).reshape(len(tree), -1)
+        near = np.zeros(len(tree), bool)
+        for k in range(len(tree)):
+            far = np.bitwise_count(w[k + 1 :] ^ w[k]).sum(1, dtype=np.int64)
+            others = np.flatnonzero((far <= most) & (tree[k + 1 :] != tree[k])) + k + 1
+            near[others] = True
+            near[k] |= len(others) > 0
+        rows = table.select(["key", "node"]).filter(pa.array(near))
+        return rows.cast(kinds)
+
+    count = members.groupBy("key").agg(F.count("*").alias("members"))
+    sized = members.join(count, "key")
+    dealt = _dealt(sized, F.ceil(F.col("members") / entries)).select("key", "i", "j", "node", "tree", "w")
+    return dealt.groupBy("key", "i", "j").applyInArrow(run, "key long, node long").distinct()
+
+
+def _blocks(members: DataFrame, texts: DataFrame, least: float, shingle: int, block: int) -> DataFrame:
+    """Forests of the ``members`` (key, node, n, tree) of each key, by pairs of blocks of ``block`` shingles."""
     kinds = arrow_schema(members.sparkSession, "a long, b long")
 
     def run(table: pa.Table) -> pa.Table:
@@ -134,40 +194,64 @@ def _crowded(members: DataFrame, texts: DataFrame, least: float, shingle: int, b
         found = _forest(table.column("node").to_pylist(), table.column("tree").to_pylist(), sets, least)
         return pa.table([[a for a, _ in found], [b for _, b in found]], schema=kinds)
 
-    size = F.ceil(F.col("total") / block)
-    mine = F.pmod(F.xxhash64("node"), size)
-    dealt = (
-        members.select("node", "key", "tree", mine.alias("mine"), F.explode(F.sequence(F.lit(0), size - 1)).alias("other"))
-        .select("node", "key", "tree", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-    )
+    total = members.groupBy("key").agg(F.sum("n").alias("total"))
+    dealt = _dealt(members.join(total, "key"), F.ceil(F.col("total") / block)).select("key", "i", "j", "node", "tree")
     return dealt.join(texts, "node").groupBy("key", "i", "j").applyInArrow(run, "a long, b long")
 
 
-def links(sets: DataFrame, texts: DataFrame, least: float = LEAST, shingle: int = SHINGLE, crowded: int = CROWDED, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) among ``sets`` (node, n, keys), whose texts are in ``texts`` (node, text): all that connect what is connected."""
-    table = sets.select("node", "n", F.explode("keys").alias("key"))
-    sums = table.groupBy("key").agg(F.count("*").alias("members"), F.sum("n").alias("total"), F.min("node").alias("low")).where("members > 1")
-    shared = stored(table.join(sums, "key"), "shared_keys")
-    needed = stored(shared.select("node").distinct(), "candidates")
+def links(
+    sets: DataFrame, texts: DataFrame, least: float = LEAST, shingle: int = SHINGLE, crowded: int = CROWDED, block: int = BLOCK, entries: int = ENTRIES
+) -> DataFrame:
+    """Links (a, b) among ``sets`` (node, n, w), whose texts are in ``texts`` (node, text): all that connect what is connected."""
+    words = [(F.get("w", k), BITS * j, BITS) for k in range(WORDS) for j in range(PER_WORD)]
+    # Only a fingerprint's first word goes to the table, for a first look; the others are joined to what passes.
+    table, asked = probes(sets.withColumn("w0", F.get("w", 0)), ["node", "w0", "w"], words, 1)
+    table, asked = table.drop("w"), asked.drop("w")
+    crowds = stored(table.groupBy("key").agg(F.count("*").alias("members")).where(F.col("members") > crowded).select("key"), "crowded")
+    known = table.join(crowds, "key", "left_anti").select("key", F.col("node").alias("b"), F.col("w0").alias("w0b"))
+    met = (
+        asked.select("key", "own", F.col("node").alias("a"), "w0")
+        .join(known, "key")
+        .where((~F.col("own") | (F.col("a") < F.col("b"))) & (F.bit_count(F.col("w0").bitwiseXOR(F.col("w0b"))) <= radius(least, 64)))
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct()
+    )
+    met = stored(_near(met, sets, least), "near_pairs")
+    members = stored(asked.join(crowds, "key").select("key", "node"), "members")
+    lows = members.groupBy("key").agg(F.min("node").alias("a"))
+    crowd_stars = members.join(lows, "key").where("a != node").select("a", F.col("node").alias("b")).distinct()
+    stars = met.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").unionByName(_near(crowd_stars, sets, least)).distinct()
+    needed = met.select(F.col("a").alias("node")).unionByName(met.select(F.col("b").alias("node"))).unionByName(members.select("node")).distinct()
     texts = stored(texts.join(needed, "node", "left_semi"), "candidate_texts")
-    stars = shared.where("node != low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
     first = stored(_alike(stars, texts, least, shingle), "star_links")
-    trees = components(first).select("node", F.col("root").alias("tree"))
-    grown = shared.join(trees, "node", "left").withColumn("tree", F.coalesce("tree", "node"))
-    open_keys = grown.groupBy("key").agg(F.min("tree").alias("t0"), F.max("tree").alias("t1")).where("t0 != t1").select("key")
-    left = stored(grown.join(open_keys, "key"), "open_keys")
-    few = left.where(F.col("members") <= crowded)
-    sides = [few.select("key", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("tree").alias(f"t{x}"), "low") for x in "ab"]
-    fits = F.least("na", "nb") >= F.greatest("na", "nb") * least - 1e-9
-    pairs = sides[0].join(sides[1].drop("low"), "key").where((F.col("a") < F.col("b")) & (F.col("a") != F.col("low")) & (F.col("ta") != F.col("tb")) & fits)
-    rest = _alike(pairs.select("a", "b").distinct(), texts, least, shingle)
-    return first.unionByName(rest).unionByName(_crowded(left.where(F.col("members") > crowded), texts, least, shingle, block))
-
-
-def keep_first(docs: DataFrame, least: float = LEAST, shingle: int = SHINGLE, crowded: int = CROWDED, block: int = BLOCK) -> DataFrame:
+    trees = stored(components(first).select("node", F.col("root").alias("tree")), "trees")
+    left = met
+    for end in "ab":
+        tree = trees.select(F.col("node").alias(end), F.col("tree").alias(f"tree_{end}"))
+        left = left.join(tree, end, "left").withColumn(f"tree_{end}", F.coalesce(f"tree_{end}", end))
+    rest = _alike(left.where("tree_a != tree_b").select("a", "b"), texts, least, shingle)
+    grown = members.join(trees, "node", "left").withColumn("tree", F.coalesce("tree", "node"))
+    several = grown.groupBy("key").agg(F.min("tree").alias("t0"), F.max("tree").alias("t1")).where("t0 != t1").select("key")
+    held = stored(grown.join(several, "key").join(sets, "node").select("key", "node", "tree", "n", "w"), "open_values")
+    undecided = held.join(_undecided(held, least, entries), ["key", "node"], "left_semi")
+    return first.unionByName(rest).unionByName(_blocks(undecided, texts, least, shingle, block))
+
+
+def _near(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose complete distance is small enough."""
+    for end in "ab":
+        pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("w").alias(f"w_{end}")), end)
+    return pairs.where(_distance(F.col("w_a"), F.col("w_b")) <= radius(least, 64 * WORDS)).select("a", "b")
+
+
+def keep_first(
+    docs: DataFrame, least: float = LEAST, shingle: int = SHINGLE, crowded: int = CROWDED, block: int = BLOCK, entries: int = ENTRIES
+) -> DataFrame:
     """``docs`` with one row of each component of near copies: the one with the smallest doc_id (of repeated such rows, one).
 
-    A component whose doc_ids are all null keeps one of its rows. Null and empty texts are copies of each other.
+    A component whose doc_ids are all null keeps one of its rows. Null and empty texts
+    are copies of each other. An empty table gives no rows. Other columns, whatever
+    their names, go through.
     """
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
@@ -179,7 +263,7 @@ def keep_first(docs: DataFrame, least: float = LEAST, shingle: int = SHINGLE, cr
                 "doc_id": b["doc_id"],
                 "digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
                 "n": list(map(len, sets)),
-                "keys": list(map(band_keys, sets)),
+                "w": list(map(fingerprint, sets)),
             }
 
     row = fresh(docs, "row_of_table")
@@ -187,11 +271,11 @@ def keep_first(docs: DataFrame, least: float = LEAST, shingle: int = SHINGLE, cr
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
     input_ = numbered.select(key.alias("doc_id"), F.col("text").cast("binary").alias("text"))
     kind = input_.schema["doc_id"].dataType.simpleString()
-    marked = stored(arrow_map(input_, rows, f"doc_id {kind}, digest binary, n long, keys array<long>"), "marked")
-    sets = marked.groupBy("digest").agg(F.min_by(F.struct("doc_id", "n", "keys"), "doc_id").alias("s")).select("s.*")
-    sets = stored(sets.select("doc_id", F.col("doc_id.row").alias("node"), "n", "keys"), "sets")
+    marked = stored(arrow_map(input_, rows, f"doc_id {kind}, digest binary, n long, w array<long>"), "marked")
+    sets = marked.groupBy("digest").agg(F.min_by(F.struct("doc_id", "n", "w"), "doc_id").alias("s")).select("s.*")
+    sets = stored(sets.select("doc_id", F.col("doc_id.row").alias("node"), "n", "w"), "sets")
     texts = numbered.select(F.col(row).alias("node"), F.col("text").cast("binary").alias("text"))
-    roots = components(links(sets, texts, least, shingle, crowded, block))
+    roots = components(links(sets.where("n > 0"), texts, least, shingle, crowded, block, entries))
     rooted = sets.select("doc_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = rooted.groupBy("root").agg(F.min("doc_id").alias("doc_id")).select(F.col("doc_id.row").alias(row))
     gone = stored(marked.select(F.col("doc_id.row").alias(row)).join(first, row, "left_anti"), "gone")

@@ -17,7 +17,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import arrow_map, arrow_schema, fresh, stored
@@ -97,35 +97,45 @@ def _linked(members: np.ndarray, radius: int) -> list[tuple[int, int]]:
     return out
 
 
-def links(fps: DataFrame, radius: int = RADIUS, n_segments: int = 3, crowded: int = CROWDED, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) between distinct fingerprints ``fps`` (fp): all that connect what is connected.
+def probes(fps: DataFrame, keep: list[str], layout: list[tuple[Column, int, int]], radius: int) -> tuple[DataFrame, DataFrame]:
+    """The table of segment values and what is asked of it, both ``keep`` and ``key``.
 
-    Values that are not crowded give every link; crowded ones a forest of theirs.
+    ``layout`` gives each segment's word, shift and bits. A pair a ball apart would be
+    met from both sides, so only values above one's own are asked for, and one's own
+    (``own``).
     """
-    each = []
-    for k, (shift, bits) in enumerate(segments(n_segments)):
-        value = F.shiftrightunsigned("fp", shift).bitwiseAND((1 << bits) - 1)
-        masks = F.array(*map(F.lit, balls(bits, radius // n_segments)))
+    n, each = len(layout), []
+    for k, (word, shift, bits) in enumerate(layout):
+        value = F.shiftrightunsigned(word, shift).bitwiseAND((1 << bits) - 1)
+        masks = F.array(*map(F.lit, balls(bits, radius)))
         each.append(F.struct(F.lit(k).alias("segment"), value.alias("value"), masks.alias("masks")))
-    key = F.col("s.value") * n_segments + F.col("s.segment")
-    cut = fps.select("fp", F.explode(F.array(*each)).alias("s"))
-    table = cut.select("fp", key.alias("key"))
-    # A pair a ball apart would be met from both sides; only values above one's own are asked for, and one's own.
-    asked = cut.select("fp", key.alias("key"), F.lit(True).alias("own")).unionByName(
-        cut.select("fp", "s.segment", "s.value", F.explode("s.masks").alias("mask"))
+    key = F.col("s.value") * n + F.col("s.segment")
+    cut = fps.select(*keep, F.explode(F.array(*each)).alias("s"))
+    table = cut.select(*keep, key.alias("key"))
+    asked = cut.select(*keep, key.alias("key"), F.lit(True).alias("own")).unionByName(
+        cut.select(*keep, "s.segment", "s.value", F.explode("s.masks").alias("mask"))
         .withColumn("to", F.col("value").bitwiseXOR(F.col("mask").cast("long")))
         .where("to > value")
-        .select("fp", (F.col("to") * n_segments + F.col("segment")).alias("key"), F.lit(False).alias("own"))
+        .select(*keep, (F.col("to") * n + F.col("segment")).alias("key"), F.lit(False).alias("own"))
     )
-    crowds = table.groupBy("key").agg(F.count("*").alias("n"))
-    known = table.join(crowds, "key")
+    return table, asked
+
+
+def links(fps: DataFrame, radius: int = RADIUS, n_segments: int = 3, crowded: int = CROWDED, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between distinct fingerprints ``fps`` (fp): all that connect what is connected.
+
+    Values that are not crowded give every link; crowded ones a forest of theirs.
+    """
+    table, asked = probes(fps, ["fp"], [(F.col("fp"), *x) for x in segments(n_segments)], radius // n_segments)
+    crowds = stored(table.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > crowded), "crowded")
+    known = table.join(crowds.select("key"), "key", "left_anti")
     met = (
         asked.withColumnRenamed("fp", "a")
-        .join(known.where(F.col("n") <= crowded).select("key", F.col("fp").alias("b")), "key")
+        .join(known.select("key", F.col("fp").alias("b")), "key")
         .where((~F.col("own") | (F.col("a") < F.col("b"))) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius))
         .select("a", "b")
     )
-    return met.unionByName(_crowded(asked, crowds.where(F.col("n") > crowded), radius, block))
+    return met.unionByName(_crowded(asked, crowds, radius, block))
 
 
 def _crowded(asked: DataFrame, crowds: DataFrame, radius: int, block: int) -> DataFrame:
@@ -157,10 +167,17 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     """
     marked = stored(fingerprints(docs, shingle), "fingerprints")
     distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
-    roots = components(links(distinct.select("fp"), radius, n_segments)).withColumnRenamed("node", "fp")
-    rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_fp = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
+    # A node is named by its smallest doc_id, nulls last, so that the smallest node of a component holds the component's id.
+    name = F.struct(F.col("first_id").isNull().alias("none"), F.col("first_id").alias("id"), "fp")
+    named = distinct.select("fp", name.alias("name"))
+    ends = links(distinct.select("fp"), radius, n_segments)
+    for end in "ab":
+        ends = ends.join(named.select(F.col("fp").alias(end), F.col("name").alias(f"node_{end}")), end)
+    roots = components(ends, "node_a", "node_b").select(F.col("node.fp").alias("fp"), F.col("root.id").alias("root_id"), F.lit(True).alias("linked"))
+    by_fp = distinct.join(roots, "fp", "left").select(
+        "fp", F.when(F.col("linked"), F.col("root_id")).otherwise(F.col("first_id")).alias("component_id")
+    )
+    # Rows of one fingerprint, such as empty texts, may be very many: by_fp has one row of it, so that Spark can split them.
     return marked.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 

@@ -10,7 +10,7 @@ from tessera.llm import secrets
 from tessera.llm.common import stored
 from tessera.llm.queries import QUERIES
 from tests.llm import test_decontamination as D
-from tests.llm import test_simhash as H
+from tests.llm import test_near_copies as N
 
 
 @pytest.fixture(scope="module")
@@ -40,8 +40,9 @@ def test_quality(spark, sf, staged):
 
 def test_near_duplicates(staged):
     _, before, after = staged[1]
-    firsts = {c for _, _, c in H.brute(rows(before))}
-    assert Counter(d for d, _ in rows(after)) == Counter(firsts)
+    all_, firsts, got = Counter(d for d, _ in rows(before)), N.firsts(rows(before)), Counter(d for d, _ in rows(after))
+    assert not firsts - got  # nothing goes that has no copy
+    assert (got - firsts).total() <= 0.1 * (all_ - firsts).total()  # copies that stay; see the README
 
 
 def test_decontamination(spark, sf, staged):
@@ -62,6 +63,34 @@ def test_packing(staged):
     assert Counter(r["doc_id"] for r in after.where("piece = 0").collect()) == Counter(d for d, _ in rows(before))
 
 
+def test_awkward_tables(spark, sf, awkward, awkward_docs, no_docs):
+    """Nulls, empties, repeated rows, clashing columns, no rows: stages take them, and columns go through."""
+    for table, n in ((awkward_docs, len(awkward)), (no_docs, 0)):
+        docs = table
+        for name, f in corpus_pipeline.STAGES[:-1]:
+            after = stored(f(spark, docs, sf), name)
+            assert after.columns == table.columns and after.count() <= docs.count() <= n
+            docs = after
+        packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
+        assert sum(r["piece"] == 0 for r in packed) == docs.count()
+
+
+def test_each_stage_alone_takes_awkward_rows(spark, sf, awkward, awkward_docs):
+    for _, f in corpus_pipeline.STAGES[1:-1]:
+        ids = Counter(r["doc_id"] for r in f(spark, awkward_docs, sf).collect())
+        assert ids and not ids - Counter(d for d, *_ in awkward)
+
+
+def test_the_shared_folder_is_asked_for_off_one_machine():
+    from types import SimpleNamespace
+
+    from tessera.llm.common import shared_dir
+
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://far:7077"))
+    with pytest.raises(ValueError):
+        shared_dir(bare)
+
+
 def test_run_is_the_stages(spark, sf, staged):
     key = lambda df: Counter((r["doc_id"], r["piece"], r["length"], r["ids_crc32"]) for r in df.collect())
     assert key(corpus_pipeline.run(spark, sf)) == key(staged[-1][2])
