@@ -5,8 +5,8 @@ returns a DataFrame; every stage but the last returns the columns of ``documents
 Each sees exactly what the stage before it kept:
 
 1. quality_classifier: documents that the quadratic discriminant rejects go.
-2. near_duplicates: of each group of near copies (five-word shingles, similarity 0.8 or more), the document with the
-   smallest id stays.
+2. near_duplicates: of each group of near copies (SimHash of five-word shingles, similarity 0.8 or more), the document
+   with the smallest id stays.
 3. decontamination: documents that hold a window of a benchmark item go.
 4. secrets: secrets in texts are replaced by a mark; n_chars follows.
 5. packing: what is left is cut and packed into sequences of 2048 tokens.
@@ -14,33 +14,80 @@ Each sees exactly what the stage before it kept:
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import decontamination, near_copies, packing, quality_classifier, secrets
-from tessera.llm.common import stored
+from tessera.llm.common import noted, removed, stored
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: What each stage has written for itself, in the shared folder.
+_scratch: dict[str, list[str]] = defaultdict(list)
+
+
+def _stage(after: str | None = None) -> Callable[[Stage], Stage]:
+    """A stage; the output of the one before it has been written by now, so what that one wrote for itself goes."""
+
+    def of(f: Stage) -> Stage:
+        @wraps(f)
+        def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            if after:
+                removed(spark, _scratch[after])
+            with noted(_scratch[f.__name__]):
+                return f(spark, docs, sf_dir)
+
+        return run
+
+    return of
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_stage()
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows that the classifier, fitted on ``labels``, predicts to be good.
+
+    Null and empty texts are scored like any other; repeated rows get the same verdict;
+    without labels nothing is rejected for want of a model; no rows give none; all
+    columns go through.
+    """
     return quality_classifier.keep_good(docs, _table(spark, sf_dir, "labels"))
 
 
+@_stage(after="quality")
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the row with the smallest doc_id.
+
+    Null and empty texts are one group; of repeated rows one stays; null doc_ids come
+    last; no rows give none; all columns go through.
+    """
     return near_copies.keep_first(docs)
 
 
+@_stage(after="near_duplicates")
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows without a window of ten words of any ``benchmark`` item.
+
+    Null and empty texts stay; repeated rows stay or go together; items without words
+    match nothing; no rows give none; all columns go through.
+    """
     return decontamination.keep_clean(docs, _table(spark, sf_dir, "benchmark"))
 
 
+@_stage(after="decontaminate")
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row, secrets in its text replaced; n_chars follows. Null texts stay null; no rows give none."""
     return secrets.redact(docs)
 
 
+@_stage(after="redact_secrets")
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces with their sequence and offset; a null or empty text is a document of one id; no rows give none."""
     return packing.pack(docs)
 
 
