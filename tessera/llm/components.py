@@ -13,14 +13,23 @@ from pyspark.sql import functions as F
 from tessera.llm.common import noted, removed, stored
 
 
+#: Tasks over which the links of one node are dealt.
+SALTS = 8
+
+
+def _joined(links: DataFrame, low: DataFrame) -> DataFrame:
+    """``links`` (u, v) with the ``m`` of their ``u``."""
+    salted = low.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    return links.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS))).join(salted, ["u", "salt"])
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node with a link; root is the smallest node it can reach.
 
     Nodes are of any type that has an order. Links count both ways; self-links, repeated
     links and links with a null end are ignored. The smallest neighbour of a node is an
-    aggregate that sums up before it is shuffled. It is joined back to the links, never
-    to a group of them: rows of a hub with very many links are dealt to several tasks by
-    Spark's splitting of skewed joins, as the other side has one row a node.
+    aggregate that sums up before it is shuffled, and joined back to the links, never to a
+    group of them; the links of a hub are dealt over SALTS keys.
     """
     x, y = F.col(a), F.col(b)
     spark, before, state = links.sparkSession, [], None
@@ -29,9 +38,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        large = _joined(both.where("v > u"), low).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = _joined(large, low).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         folders: list[str] = []
         with noted(folders):
             pairs = stored(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "links")

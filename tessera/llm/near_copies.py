@@ -28,7 +28,7 @@ SHINGLE, LEAST, SEED = 5, 0.8, 42
 #: Words of a fingerprint, segments of a word and their bits.
 WORDS, PER_WORD, BITS = 5, 3, 21
 #: A segment value with more members is searched in blocks.
-CROWDED = 64
+CROWDED = 2
 #: Shingles of a block of sets, and entries of a block of fingerprints.
 BLOCK, ENTRIES = 1 << 20, 8192
 
@@ -204,20 +204,21 @@ def links(
 ) -> DataFrame:
     """Links (a, b) among ``sets`` (node, n, w), whose texts are in ``texts`` (node, text): all that connect what is connected."""
     words = [(F.get("w", k), BITS * j, BITS) for k in range(WORDS) for j in range(PER_WORD)]
-    # Only a fingerprint's first word goes to the table, for a first look; the others are joined to what passes.
-    table, asked = probes(sets.withColumn("w0", F.get("w", 0)), ["node", "w0", "w"], words, 1)
-    table, asked = table.drop("w"), asked.drop("w")
+    # Only the word behind the segment's goes to the table, for a first look; the others are joined to what passes.
+    table, asked = probes(sets, ["node", "w"], words, 1)
+    behind = ((F.col("key") % len(words) / PER_WORD).cast("int") + 1) % WORDS
+    table, asked = (x.select("key", "node", F.get("w", behind).alias("look")) for x in (table, asked))
     crowds = stored(table.groupBy("key").agg(F.count("*").alias("members")).where(F.col("members") > crowded).select("key"), "crowded")
-    known = table.join(crowds, "key", "left_anti").select("key", F.col("node").alias("b"), F.col("w0").alias("w0b"))
-    met = (
-        asked.select("key", "own", F.col("node").alias("a"), "w0")
-        .join(known, "key")
-        .where((~F.col("own") | (F.col("a") < F.col("b"))) & (F.bit_count(F.col("w0").bitwiseXOR(F.col("w0b"))) <= radius(least, 64)))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
+    # What asks for a crowded value meets a single row of it, without a node, and becomes one of its members.
+    known = table.join(crowds, "key", "left_anti").select("key", F.col("node").alias("b"), F.col("look").alias("look_b"))
+    known = known.unionByName(crowds.select("key", F.lit(None).cast("bigint").alias("b"), F.lit(None).cast("bigint").alias("look_b")))
+    alike = (F.col("node") != F.col("b")) & (F.bit_count(F.col("look").bitwiseXOR(F.col("look_b"))) <= radius(least, 64))
+    found = stored(
+        asked.join(known, "key").where(F.col("b").isNull() | alike).select(F.when(F.col("b").isNull(), F.col("key")).alias("key"), "node", "b"), "met"
     )
+    members = found.where("b is null").select("key", "node")
+    met = found.where("b is not null").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
     met = stored(_near(met, sets, least), "near_pairs")
-    members = stored(asked.join(crowds, "key").select("key", "node"), "members")
     lows = members.groupBy("key").agg(F.min("node").alias("a"))
     crowd_stars = members.join(lows, "key").where("a != node").select("a", F.col("node").alias("b")).distinct()
     stars = met.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").unionByName(_near(crowd_stars, sets, least)).distinct()

@@ -28,6 +28,8 @@ SHINGLE, RADIUS, SEED = 4, 4, 42
 CROWDED = 64
 #: Fingerprints of a block.
 BLOCK = 8192
+#: Tasks over which the rows of one fingerprint are dealt.
+SALTS = 8
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -177,8 +179,10 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     by_fp = distinct.join(roots, "fp", "left").select(
         "fp", F.when(F.col("linked"), F.col("root_id")).otherwise(F.col("first_id")).alias("component_id")
     )
-    # Rows of one fingerprint, such as empty texts, may be very many: by_fp has one row of it, so that Spark can split them.
-    return marked.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    # Rows of one fingerprint, such as empty texts, may be very many.
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))
+    salted = by_fp.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    return marked.withColumn("salt", salt).join(salted, ["fp", "salt"]).select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, n_segments: int = 3) -> DataFrame:
