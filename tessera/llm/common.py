@@ -18,7 +18,7 @@ WHITE = " \t\n\x0b\x0c\r"
 
 
 #: Rows that a Python operator has as objects at a time.
-SLICE = 1000
+SLICE = 500
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -99,6 +99,42 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(spaced, " "), "")
 
 
+#: Words of 64 bits of the bitmap that stands for a set of keys, however many they are.
+BITMAP_WORDS = 1 << 20
+
+
+def _told(df: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, str, str]:
+    """``df`` with ``key`` and whether the one column of ``keys`` may hold it, by a bitmap of hashes of bounded size, and the names of both."""
+    name, flag, word, bits = (fresh(df, n) for n in ("key_", "may_be_", "word_", "bits_"))
+    one = F.lit(1).cast("bigint")
+    at = lambda x: F.pmod(F.xxhash64(x), F.lit(64 * BITMAP_WORDS))
+    of = F.col(keys.columns[0])
+    bitmap = keys.groupBy(F.shiftright(at(of), 6).alias(word)).agg(
+        F.bit_or(F.call_function("shiftleft", one, (at(of) % 64).cast("int"))).alias(bits)
+    )
+    known = df.withColumn(name, key).withColumn(word, F.shiftright(at(F.col(name)), 6))
+    told = known.join(F.broadcast(stored(bitmap, "bitmap")), word, "left")  # BITMAP_WORDS rows at most
+    bit = F.call_function("shiftrightunsigned", F.col(bits), (at(F.col(name)) % 64).cast("int")).bitwiseAND(1)
+    return told.withColumn(flag, F.coalesce(bit == 1, F.lit(False))).drop(word, bits), name, flag
+
+
+def only(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is in the one column of ``keys``; few others are shuffled, unless the keys are very many."""
+    told, name, flag = _told(df, key, keys)
+    return told.where(flag).join(keys.withColumnRenamed(keys.columns[0], name), name, "left_semi").select(*_own(df))
+
+
+def without(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is null or not in the one column of ``keys``; few of those that stay are shuffled, unless the keys are very many."""
+    told, name, flag = _told(df, key, keys)
+    left = told.where(flag).join(keys.withColumnRenamed(keys.columns[0], name), name, "left_anti")
+    return told.where(~F.col(flag)).select(*_own(df)).unionAll(left.select(*_own(df)))
+
+
+def _own(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
 def arrow_map(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[dict]], schema: str, at_once: int = SLICE) -> DataFrame:
     """``rows`` over each partition: takes column dicts (name to list) of ``at_once`` rows at most, gives column dicts."""
     names, kinds = df.columns, arrow_schema(df.sparkSession, schema)

@@ -21,10 +21,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_map, fresh, stored
+from tessera.llm.common import arrow_map, stored, without
 
 #: Words of a segment: bounds the memory of a task whatever a partition holds (a longer document is a segment of its own).
-SEGMENT_WORDS = 500_000
+SEGMENT_WORDS = 300_000
 #: Bytes of query text that one search carries to every worker; more text goes in blocks.
 BLOCK_BYTES = 16 << 20
 
@@ -351,9 +351,7 @@ def keep_clean(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
     """
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
     found = decontaminate(docs.select(key.alias("doc_id"), "text"), items, width)
-    name = fresh(docs, "key_of_row")
-    hit = found.where("contaminated").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(hit, key == F.col(name), "left_anti")
+    return without(docs, key, stored(found.where("contaminated").select("doc_id").distinct(), "contaminated"))
 
 
 def _merged(found: list[DataFrame]) -> DataFrame:

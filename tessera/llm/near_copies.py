@@ -4,8 +4,9 @@ Four bits of 64 hold only closest copies; texts of similarity 0.8 lie some ten b
 apart, beyond any ball that can be enumerated. So fingerprints here are longer: WORDS of
 64 bits, cut into segments of 21 bits, of which two such texts share one up to a bit
 nearly always (``recall``). As in ``simhash``, a table of segment values is asked for the
-Hamming balls around one's own and complete distances are verified; then exact sets
-decide, so that links are right whatever the fingerprints say. Equal sets are one entry,
+Hamming balls around one's own and complete distances are verified. Of a ball, the
+values are asked for that change a bit whose vote was close (FLIPS of them): a bit in
+which two like texts differ is a close one in either. Then exact sets decide, so that links are right whatever the fingerprints say. Equal sets are one entry,
 whatever the number of their texts. Members of a value that very many share are first
 held against its smallest one; what that leaves in several components is searched in blocks.
 """
@@ -20,17 +21,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_map, arrow_schema, fresh, stored
+from tessera.llm.common import arrow_map, arrow_schema, fresh, only, stored, without
 from tessera.llm.components import components
-from tessera.llm.simhash import probes
 
 SHINGLE, LEAST, SEED = 5, 0.8, 42
 #: Words of a fingerprint, segments of a word and their bits.
 WORDS, PER_WORD, BITS = 5, 3, 21
+#: Bits of a segment, those with the closest votes, that are changed one at a time.
+FLIPS = 5
 #: A segment value with more members is searched in blocks.
 CROWDED = 2
 #: Shingles of a block of sets, and entries of a block of fingerprints.
-BLOCK, ENTRIES = 1 << 20, 8192
+BLOCK, ENTRIES = 1 << 18, 4096
 
 _GOLDEN, _MIX = np.uint64(0x9E3779B97F4A7C15), (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -41,7 +43,7 @@ def differing(least: float) -> float:
 
 
 def recall(least: float, words: int = WORDS) -> float:
-    """How likely such sets meet: some segment differs in a bit at most."""
+    """How likely such sets meet at least: some segment differs in a bit at most."""
     p = differing(least)
     meet = (1 - p) ** BITS + BITS * p * (1 - p) ** (BITS - 1)
     return 1 - (1 - meet) ** (words * PER_WORD)
@@ -70,8 +72,11 @@ def shingles(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(np.fromiter((digest(line[s:e], SEED) for s, e in zip(starts, stops, strict=True)), np.uint64, n))
 
 
-def fingerprint(hashes: np.ndarray, words: int = WORDS) -> list[int]:
-    """Signed words of the SimHash of a set: a bit is set if more than half of the hashes, mixed anew for each word, have it."""
+def fingerprint(hashes: np.ndarray, words: int = WORDS) -> tuple[list[int], list[int]]:
+    """Signed words of the SimHash of a set: a bit is set if more than half of the hashes, mixed anew for each word, have it.
+
+    And for each segment the masks of the FLIPS bits with the closest votes.
+    """
     ones = np.zeros(64 * words, np.int64)
     steps = (np.arange(1, words + 1, dtype=np.uint64) * _GOLDEN)[None, :]
     for k in range(0, len(hashes), 255):  # so many ones fit a byte
@@ -81,7 +86,9 @@ def fingerprint(hashes: np.ndarray, words: int = WORDS) -> list[int]:
         x ^= x >> np.uint64(31)
         bits = np.unpackbits(x.astype("<u8").view(np.uint8), axis=1, bitorder="little")
         ones += np.add.reduce(bits.view(np.uint64), axis=0).view(np.uint8)
-    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8").tolist()
+    margin = np.abs(2 * ones - len(hashes)).reshape(words, 64)[:, : PER_WORD * BITS].reshape(words * PER_WORD, BITS)
+    close = np.argsort(margin, axis=1, kind="stable")[:, :FLIPS]
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8").tolist(), (1 << close).ravel().tolist()
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -202,12 +209,18 @@ def _blocks(members: DataFrame, texts: DataFrame, least: float, shingle: int, bl
 def links(
     sets: DataFrame, texts: DataFrame, least: float = LEAST, shingle: int = SHINGLE, crowded: int = CROWDED, block: int = BLOCK, entries: int = ENTRIES
 ) -> DataFrame:
-    """Links (a, b) among ``sets`` (node, n, w), whose texts are in ``texts`` (node, text): all that connect what is connected."""
-    words = [(F.get("w", k), BITS * j, BITS) for k in range(WORDS) for j in range(PER_WORD)]
-    # Only the word behind the segment's goes to the table, for a first look; the others are joined to what passes.
-    table, asked = probes(sets, ["node", "w"], words, 1)
-    behind = ((F.col("key") % len(words) / PER_WORD).cast("int") + 1) % WORDS
-    table, asked = (x.select("key", "node", F.get("w", behind).alias("look")) for x in (table, asked))
+    """Links (a, b) among ``sets`` (node, n, w, flips), whose texts are in ``texts`` (node, text): all that connect what is connected."""
+    each = []
+    for k in range(WORDS * PER_WORD):
+        word, part = divmod(k, PER_WORD)
+        value = F.shiftrightunsigned(F.get("w", word), BITS * part).bitwiseAND((1 << BITS) - 1)
+        masks = F.concat(F.array(F.lit(0).cast("bigint")), F.slice("flips", FLIPS * k + 1, FLIPS))
+        # Only the word behind the segment's goes to the table, for a first look; the others are joined to what passes.
+        each.append(F.struct(F.lit(k).alias("segment"), value.alias("value"), masks.alias("masks"), F.get("w", (word + 1) % WORDS).alias("look")))
+    cut = sets.select("node", F.explode(F.array(*each)).alias("s"))
+    key = lambda value: (value * len(each) + F.col("s.segment")).alias("key")
+    table = cut.select(key(F.col("s.value")), "node", "s.look")
+    asked = cut.select("node", "s", F.explode("s.masks").alias("mask")).select(key(F.col("s.value").bitwiseXOR(F.col("mask"))), "node", "s.look")
     crowds = stored(table.groupBy("key").agg(F.count("*").alias("members")).where(F.col("members") > crowded).select("key"), "crowded")
     # What asks for a crowded value meets a single row of it, without a node, and becomes one of its members.
     known = table.join(crowds, "key", "left_anti").select("key", F.col("node").alias("b"), F.col("look").alias("look_b"))
@@ -223,7 +236,7 @@ def links(
     crowd_stars = members.join(lows, "key").where("a != node").select("a", F.col("node").alias("b")).distinct()
     stars = met.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").unionByName(_near(crowd_stars, sets, least)).distinct()
     needed = met.select(F.col("a").alias("node")).unionByName(met.select(F.col("b").alias("node"))).unionByName(members.select("node")).distinct()
-    texts = stored(texts.join(needed, "node", "left_semi"), "candidate_texts")
+    texts = stored(only(texts, F.col("node"), stored(needed, "candidates")), "candidate_texts")
     first = stored(_alike(stars, texts, least, shingle), "star_links")
     trees = stored(components(first).select("node", F.col("root").alias("tree")), "trees")
     left = met
@@ -259,25 +272,25 @@ def keep_first(
         import xxhash
 
         for b in batches:
-            sets = [shingles(t, shingle) for t in b["text"]]
-            yield {
-                "doc_id": b["doc_id"],
-                "digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
-                "n": list(map(len, sets)),
-                "w": list(map(fingerprint, sets)),
-            }
+            out: dict[str, list] = {"doc_id": b["doc_id"], "digest": [], "n": [], "w": [], "flips": []}
+            for t in b["text"]:
+                s = shingles(t, shingle)
+                w, flips = fingerprint(s)
+                for c, v in (("digest", xxhash.xxh3_128_digest(s.tobytes())), ("n", len(s)), ("w", w), ("flips", flips)):
+                    out[c].append(v)
+            yield out
 
     row = fresh(docs, "row_of_table")
     numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
     input_ = numbered.select(key.alias("doc_id"), F.col("text").cast("binary").alias("text"))
     kind = input_.schema["doc_id"].dataType.simpleString()
-    marked = stored(arrow_map(input_, rows, f"doc_id {kind}, digest binary, n long, w array<long>"), "marked")
-    sets = marked.groupBy("digest").agg(F.min_by(F.struct("doc_id", "n", "w"), "doc_id").alias("s")).select("s.*")
-    sets = stored(sets.select("doc_id", F.col("doc_id.row").alias("node"), "n", "w"), "sets")
+    marked = stored(arrow_map(input_, rows, f"doc_id {kind}, digest binary, n long, w array<long>, flips array<long>"), "marked")
+    sets = marked.groupBy("digest").agg(F.min_by(F.struct("doc_id", "n", "w", "flips"), "doc_id").alias("s")).select("s.*")
+    sets = stored(sets.select("doc_id", F.col("doc_id.row").alias("node"), "n", "w", "flips"), "sets")
     texts = numbered.select(F.col(row).alias("node"), F.col("text").cast("binary").alias("text"))
     roots = components(links(sets.where("n > 0"), texts, least, shingle, crowded, block, entries))
     rooted = sets.select("doc_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = rooted.groupBy("root").agg(F.min("doc_id").alias("doc_id")).select(F.col("doc_id.row").alias(row))
     gone = stored(marked.select(F.col("doc_id.row").alias(row)).join(first, row, "left_anti"), "gone")
-    return numbered.join(gone, row, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return without(numbered, F.col(row), gone).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -87,7 +87,10 @@ def test_fingerprints():
         x = (x ^ (x >> np.uint64(27))) * N._MIX[1]
         mixed.append([int(v) for v in x ^ (x >> np.uint64(31))])
     want = [sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in word) > len(h)) for word in mixed]
-    assert [x % (1 << 64) for x in N.fingerprint(h)] == want
+    w, flips = N.fingerprint(h)
+    assert [x % (1 << 64) for x in w] == want
+    votes = [abs(2 * sum(v >> b & 1 for v in mixed[0]) - len(h)) for b in range(N.BITS)]
+    assert sorted(votes[m.bit_length() - 1] for m in flips[: N.FLIPS]) == sorted(votes)[: N.FLIPS]
 
 
 def test_crowds_and_chains(spark):
