@@ -260,6 +260,31 @@ def test_decisions_of_a_sitting(spark, store):
     assert placed["sub_item_id"] == "s" and placed["drucksache_number"] == "21/7"
 
 
+def test_decisions_across_sittings(spark):
+    said = [
+        ("21/9", "21/9/1", 1, 1, "Ich eröffne die namentliche Abstimmung über den Antrag auf Drucksache 21/3."),
+        ("21/10", "21/10/1", 1, 1, "Das Ergebnis der namentlichen Abstimmung von gestern: Mit Ja haben gestimmt 20, mit Nein haben gestimmt 30. Der Antrag auf Drucksache 21/3 ist abgelehnt."),
+        ("21/10", "21/10/1", 2, 2, "Zusatzpunkt 4. Wer stimmt für den Antrag auf Drucksache 21/5? – Die SPD. Der Antrag ist angenommen."),
+        ("21/10", "21/10/2", 3, 1, "Ich rufe auf."),
+    ]
+    chair = spark.createDataFrame(said, "sitting_id string, agenda_item_id string, paragraph int, at int, text string")
+    items = make(spark, "agenda_item", *({"id": i, "top_id": t, "drucksache_numbers": d} for i, t, d in (("21/10/1", "Tagesordnungspunkt 1", []), ("21/10/2", "Zusatzpunkt 4", ["21/5"]))))
+    votes = make(spark, "roll_call_vote", {"id": "v", "sitting_id": "21/9", "number": 1, "yes": 20, "no": 31})
+    found = steps.decisions(chair, votes, 21, items).orderBy("sitting_id").collect()
+    assert [(r["sitting_id"], r["agenda_item_id"], r["kind"], r["result"], r["roll_call_vote_id"]) for r in found] == [
+        ("21/10", "21/10/2", "handzeichen", "angenommen", None), ("21/9", "21/9/1", "namentlich", "abgelehnt", "v"),
+    ]
+
+
+def test_call_ups(spark):
+    texts = ["Tagesordnungspunkt 8", "Ich rufe jetzt auf den Zusatzpunkt 9 a:", "TOP 7b", "Wir kommen zum Tagesordnungspunkt 8 und der Debatte", "Tagesordnungspunkt 8.", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(steps.call_up(F.col("t"))).collect()] == ["8", "ZP9a", "7b", None, None, None]
+    texts = ["Eine Aussprache ist nicht vorgesehen.", "Wir stimmen ohne Debatte ab. Danke.", "Zur ersten Beratung ist keine Aussprache geplant.", "Die Aussprache beginnt."]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(steps.no_debate(F.col("t"))).collect()] == [True, True, False, False]
+
+
 def test_records(spark):
     r = [("1", "v", "2025-01-01", "Beratung", "BT", {"anfangsseite": 10, "endseite": 12}, [{"ausschuss": "A", "federfuehrung": False}, {"ausschuss": "A", "federfuehrung": True}], "2025-02-01", "f1"), ("1", "v", "2025-01-01", "Alt", "BT", None, None, "2025-01-01", "f2")]
     schema = ("id string, vorgang_id string, datum string, vorgangsposition string, zuordnung string, fundstelle struct<dokumentart:string,dokumentnummer:string,drucksachetyp:string,pdf_url:string,anfangsseite:int,endseite:int>, "
