@@ -75,7 +75,7 @@ def shingles(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
 def fingerprint(hashes: np.ndarray, words: int = WORDS) -> tuple[list[int], list[int]]:
     """Signed words of the SimHash of a set: a bit is set if more than half of the hashes, mixed anew for each word, have it.
 
-    And for each segment the masks of the FLIPS bits with the closest votes.
+    And for each segment the places of the FLIPS bits with the closest votes, five bits each.
     """
     ones = np.zeros(64 * words, np.int64)
     steps = (np.arange(1, words + 1, dtype=np.uint64) * _GOLDEN)[None, :]
@@ -88,7 +88,8 @@ def fingerprint(hashes: np.ndarray, words: int = WORDS) -> tuple[list[int], list
         ones += np.add.reduce(bits.view(np.uint64), axis=0).view(np.uint8)
     margin = np.abs(2 * ones - len(hashes)).reshape(words, 64)[:, : PER_WORD * BITS].reshape(words * PER_WORD, BITS)
     close = np.argsort(margin, axis=1, kind="stable")[:, :FLIPS]
-    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8").tolist(), (1 << close).ravel().tolist()
+    packed = (close << (5 * np.arange(FLIPS))).sum(1)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8").tolist(), packed.tolist()
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -115,9 +116,10 @@ def _alike(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) -> Da
                     found["b"].append(b)
             yield found
 
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
-    both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
-    return arrow_map(both.select("a", "b", "x", "y"), rows, "a long, b long")
+    # The texts are not renamed before they are joined, so that both joins read the same exchange.
+    both = pairs.join(texts.alias("of_a"), F.col("a") == F.col("of_a.node")).select("a", "b", F.col("of_a.text").alias("x"))
+    both = both.join(texts.alias("of_b"), F.col("b") == F.col("of_b.node")).select("a", "b", "x", F.col("of_b.text").alias("y"))
+    return arrow_map(both, rows, "a long, b long")
 
 
 def _forest(nodes: list[int], trees: list[int], sets: list[np.ndarray], least: float) -> list[tuple[int, int]]:
@@ -203,7 +205,8 @@ def _blocks(members: DataFrame, texts: DataFrame, least: float, shingle: int, bl
 
     total = members.groupBy("key").agg(F.sum("n").alias("total"))
     dealt = _dealt(members.join(total, "key"), F.ceil(F.col("total") / block)).select("key", "i", "j", "node", "tree")
-    return dealt.join(texts, "node").groupBy("key", "i", "j").applyInArrow(run, "a long, b long")
+    held = dealt.withColumnRenamed("node", "of_member").join(texts, F.col("of_member") == F.col("node"))
+    return held.select("key", "i", "j", "node", "tree", "text").groupBy("key", "i", "j").applyInArrow(run, "a long, b long")
 
 
 def links(
@@ -214,20 +217,25 @@ def links(
     for k in range(WORDS * PER_WORD):
         word, part = divmod(k, PER_WORD)
         value = F.shiftrightunsigned(F.get("w", word), BITS * part).bitwiseAND((1 << BITS) - 1)
-        masks = F.concat(F.array(F.lit(0).cast("bigint")), F.slice("flips", FLIPS * k + 1, FLIPS))
+        one = F.lit(1).cast("bigint")
+        place = lambda i, k=k: F.shiftrightunsigned(F.get("flips", k), 5 * i).bitwiseAND(31).cast("int")
+        masks = F.array(F.lit(0).cast("bigint"), *(F.call_function("shiftleft", one, place(i)) for i in range(FLIPS)))
         # Only the word behind the segment's goes to the table, for a first look; the others are joined to what passes.
         each.append(F.struct(F.lit(k).alias("segment"), value.alias("value"), masks.alias("masks"), F.get("w", (word + 1) % WORDS).alias("look")))
     cut = sets.select("node", F.explode(F.array(*each)).alias("s"))
     key = lambda value: (value * len(each) + F.col("s.segment")).alias("key")
     table = cut.select(key(F.col("s.value")), "node", "s.look")
-    asked = cut.select("node", "s", F.explode("s.masks").alias("mask")).select(key(F.col("s.value").bitwiseXOR(F.col("mask"))), "node", "s.look")
+    # Who asks for the own value shows by the sign, which costs no room: of two who do, one is heard.
+    by = F.when(F.col("mask") == 0, F.bitwise_not("node")).otherwise(F.col("node")).alias("by")
+    asked = cut.select("node", "s", F.explode("s.masks").alias("mask")).select(key(F.col("s.value").bitwiseXOR(F.col("mask"))), by, "s.look")
     crowds = stored(table.groupBy("key").agg(F.count("*").alias("members")).where(F.col("members") > crowded).select("key"), "crowded")
     # What asks for a crowded value meets a single row of it, without a node, and becomes one of its members.
     known = table.join(crowds, "key", "left_anti").select("key", F.col("node").alias("b"), F.col("look").alias("look_b"))
     known = known.unionByName(crowds.select("key", F.lit(None).cast("bigint").alias("b"), F.lit(None).cast("bigint").alias("look_b")))
-    alike = (F.col("node") != F.col("b")) & (F.bit_count(F.col("look").bitwiseXOR(F.col("look_b"))) <= radius(least, 64))
+    node = F.when(F.col("by") < 0, F.bitwise_not("by")).otherwise(F.col("by"))
+    alike = (node != F.col("b")) & ((F.col("by") >= 0) | (node < F.col("b"))) & (F.bit_count(F.col("look").bitwiseXOR(F.col("look_b"))) <= radius(least, 64))
     found = stored(
-        asked.join(known, "key").where(F.col("b").isNull() | alike).select(F.when(F.col("b").isNull(), F.col("key")).alias("key"), "node", "b"), "met"
+        asked.join(known, "key").where(F.col("b").isNull() | alike).select(F.when(F.col("b").isNull(), F.col("key")).alias("key"), node.alias("node"), "b"), "met"
     )
     members = found.where("b is null").select("key", "node")
     met = found.where("b is not null").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
