@@ -99,6 +99,16 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(spaced, " "), "")
 
 
+#: Bytes of an Arrow batch where the session sets none: tasks hold few of them, and their buffers stay with the executor.
+BATCH_BYTES = 8 << 20
+_BATCH_CONF, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", ("67108864b", "64MB", "64m")
+
+
+def small_batches(spark: SparkSession) -> None:
+    if spark.conf.get(_BATCH_CONF, _BATCH_DEFAULT[0]) in _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_CONF, f"{BATCH_BYTES}b")
+
+
 #: Words of 64 bits of the bitmap that stands for a set of keys, however many they are.
 BITMAP_WORDS = 1 << 20
 
@@ -138,6 +148,7 @@ def _own(df: DataFrame) -> list[Column]:
 def arrow_map(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[dict]], schema: str, at_once: int = SLICE) -> DataFrame:
     """``rows`` over each partition: takes column dicts (name to list) of ``at_once`` rows at most, gives column dicts."""
     names, kinds = df.columns, arrow_schema(df.sparkSession, schema)
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A batch may be tens of megabytes of text; as Python objects, only a slice of it is there at a time.
