@@ -173,7 +173,7 @@ def _dealt(members: DataFrame, size: Column) -> DataFrame:
 
 
 def _undecided(members: DataFrame, least: float, entries: int) -> DataFrame:
-    """Those of ``members`` (key, node, tree, w) that a member of another tree is near."""
+    """Those of ``members`` (key, node, tree, w, and how many ``members`` the key has) that a member of another tree is near."""
     most, kinds = radius(least, 64 * WORDS), arrow_schema(members.sparkSession, "key long, node long")
 
     def run(table: pa.Table) -> pa.Table:
@@ -188,9 +188,7 @@ def _undecided(members: DataFrame, least: float, entries: int) -> DataFrame:
         rows = table.select(["key", "node"]).filter(pa.array(near))
         return rows.cast(kinds)
 
-    count = members.groupBy("key").agg(F.count("*").alias("members"))
-    sized = members.join(count, "key")
-    dealt = _dealt(sized, F.ceil(F.col("members") / entries)).select("key", "i", "j", "node", "tree", "w")
+    dealt = _dealt(members, F.ceil(F.col("members") / entries)).select("key", "i", "j", "node", "tree", "w")
     return dealt.groupBy("key", "i", "j").applyInArrow(run, "key long, node long").distinct()
 
 
@@ -253,8 +251,9 @@ def links(
         left = left.join(tree, end, "left").withColumn(f"tree_{end}", F.coalesce(f"tree_{end}", end))
     rest = _alike(left.where("tree_a != tree_b").select("a", "b"), texts, least, shingle)
     grown = members.join(trees, "node", "left").withColumn("tree", F.coalesce("tree", "node"))
-    several = grown.groupBy("key").agg(F.min("tree").alias("t0"), F.max("tree").alias("t1")).where("t0 != t1").select("key")
-    held = stored(grown.join(several, "key").join(sets, "node").select("key", "node", "tree", "n", "w"), "open_values")
+    several = grown.groupBy("key").agg(F.min("tree").alias("t0"), F.max("tree").alias("t1"), F.count("*").alias("members"))
+    several = several.where("t0 != t1").select("key", "members")
+    held = stored(grown.join(several, "key").join(sets, "node").select("key", "members", "node", "tree", "n", "w"), "open_values")
     undecided = held.join(_undecided(held, least, entries), ["key", "node"], "left_semi")
     return first.unionByName(rest).unionByName(_blocks(undecided, texts, least, shingle, block))
 
