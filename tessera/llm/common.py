@@ -76,6 +76,11 @@ def removed(spark: SparkSession, folders: list[str]) -> None:
         files.delete(path, True)
 
 
+def swept(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished queries, which it does when the driver collects garbage."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def _hadoop(spark: SparkSession, to: str) -> tuple:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

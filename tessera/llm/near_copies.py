@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_map, arrow_schema, fresh, only, stored, without
+from tessera.llm.common import arrow_map, arrow_schema, fresh, only, stored, swept, without
 from tessera.llm.components import components
 
 SHINGLE, LEAST, SEED = 5, 0.8, 42
@@ -235,6 +235,7 @@ def links(
     found = stored(
         asked.join(known, "key").where(F.col("b").isNull() | alike).select(F.when(F.col("b").isNull(), F.col("key")).alias("key"), node.alias("node"), "b"), "met"
     )
+    swept(sets.sparkSession)
     members = found.where("b is null").select("key", "node")
     met = found.where("b is not null").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
     met = stored(_near(met, sets, least), "near_pairs")
