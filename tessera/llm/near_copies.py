@@ -43,7 +43,7 @@ def differing(least: float) -> float:
 
 
 def recall(least: float, words: int = WORDS) -> float:
-    """How likely such sets meet at least: some segment differs in a bit at most."""
+    """How likely such sets meet if whole balls are asked for: some segment differs in a bit at most."""
     p = differing(least)
     meet = (1 - p) ** BITS + BITS * p * (1 - p) ** (BITS - 1)
     return 1 - (1 - meet) ** (words * PER_WORD)
