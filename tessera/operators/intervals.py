@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.aggregates import open_end
@@ -49,21 +49,30 @@ def merge_by_rank(df: DataFrame, keys: Sequence[str], source: str, order: Sequen
 def close_by_successor(rows: DataFrame, later: DataFrame, office: Sequence[str], holder: str, start: str, end: str) -> DataFrame:
     """Open intervals end the day before another holder of the same office first appears after their start.
 
-    ``later`` has the appearances: office, holder, start. Adds ``successor`` (null if none).
+    ``later`` has the appearances: office, holder, start. Adds ``successor`` (null if none, or
+    if the interval has an end). One pass over each office from its last day to its first,
+    in which an interval meets the appearances after it; an office's rows are sorted once,
+    and no interval is paired with all appearances of its office.
     """
-    l = later.select(*office, F.col(holder).alias("_who"), F.col(start).alias("_from"))
-    met = (
-        rows.where(F.col(end).isNull())
-        .select(*office, holder, start)
-        .join(l, list(office))
-        .where((F.col("_who") != F.col(holder)) & (F.col("_from") > F.col(start)))
-        .groupBy(*office, holder, start)
-        .agg(F.min(F.struct("_from", "_who")).alias("_next"))
-    )
-    return rows.join(met, [*office, holder, start], "left").select(
+    appearance = F.struct(F.col(start).alias("from"), F.col(holder).alias("who"))
+    given = F.lit(True)
+    for c in (*office, holder, start):
+        given = given & F.col(c).isNotNull()
+    seen = later.where(given).select(*office, F.col(start).alias("_day"), appearance.alias("_seen"))
+    all_rows = rows.withColumns({"_day": F.col(start), "_interval": F.lit(True)}).unionByName(seen, allowMissingColumns=True)
+    # Of one day the intervals come first, so that only later days have been passed.
+    back = Window.partitionBy(*office).orderBy(F.col("_day").desc_nulls_last(), F.col("_interval").desc_nulls_last(), F.col("_seen.who").desc())
+    passed, here = back.rowsBetween(Window.unboundedPreceding, -1), back.rowsBetween(Window.unboundedPreceding, 0)
+    met = all_rows.withColumn("_next", F.last("_seen", ignorenulls=True).over(passed))
+    # Where the holder changes, the appearance behind the change is the next one of somebody else.
+    change = F.when(F.col("_seen").isNotNull() & (F.col("_next.who") != F.col("_seen.who")), F.col("_next"))
+    met = met.withColumn("_other", F.last(change, ignorenulls=True).over(here)).where("_interval")
+    known = F.col(end).isNull() & F.col(start).isNotNull() & F.col(holder).isNotNull()
+    of_another = F.when(F.col("_next.who") == F.col(holder), F.col("_other")).otherwise(F.col("_next"))
+    return met.withColumn("_next", F.when(known, of_another)).select(
         *(c for c in rows.columns if c != end),
-        F.coalesce(F.col(end), F.date_sub(F.col("_next._from"), 1)).alias(end),
-        F.when(F.col(end).isNull(), F.col("_next._who")).alias("successor"),
+        F.coalesce(F.col(end), F.date_sub(F.col("_next.from"), 1)).alias(end),
+        F.col("_next.who").alias("successor"),
     )
 
 

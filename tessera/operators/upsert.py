@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.dedup import best_row
 
@@ -14,11 +15,14 @@ def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str], last: Seq
     """``target`` with ``changes`` merged in by key (K1).
 
     Only columns that ``changes`` has are touched; a new key has null in the others.
-    Of changes with the same key the first in the order ``last`` counts. Changes that have
-    nothing but the key insert what is missing and touch nothing.
+    Of changes with the same key the first in the order ``last`` counts; without one, and among
+    equals in it, the one with the greatest values, column by column, so that a rerun gives the
+    same rows. Changes that have nothing but the key insert what is missing and touch nothing.
     """
     given = [c for c in target.columns if c in changes.columns and c not in keys]
-    source = best_row(changes, keys, last) if last else changes.dropDuplicates(list(keys))
+    orderable = [F.to_json(c) if isinstance(changes.schema[c].dataType, T.MapType) else F.col(c) for c in given]
+    order = [*last, *(c.desc_nulls_last() for c in orderable)]
+    source = best_row(changes, keys, order) if order else changes.dropDuplicates(list(keys))
     s = source.select(*keys, F.lit(True).alias("_there"), *(F.col(c).alias(f"_new_{c}") for c in given))
     joined = target.join(s, list(keys), "full_outer")
     return joined.select(

@@ -653,6 +653,71 @@ def first_and_last_wins(spark, d):
     return first.join(last, w)
 
 
+@query
+def dates_in_text(spark, d):
+    """Days out of numeric and of German dates in words, null where there is none."""
+    o = _orders(spark, d)
+    month = F.element_at(F.array(*(F.lit(m.capitalize()) for m in X.MONTHS)), F.month("o_orderdate"))
+    words = F.concat(F.lit("Sitzung am "), F.dayofmonth("o_orderdate").cast("string"), F.lit(". "), month, F.lit(" "), F.year("o_orderdate").cast("string"), F.lit(" in Berlin"))
+    numeric = F.date_format("o_orderdate", "dd.MM.yyyy")
+    none = F.col("o_orderkey") % 5 == 0
+    return o.select(
+        "o_orderkey",
+        X.iso_date(F.when(none, F.lit("")).otherwise(F.concat(F.lit(" "), numeric))).alias("numeric_day"),
+        X.german_date(F.when(none, F.lit("ohne Datum")).otherwise(words)).alias("worded_day"),
+        X.german_date(F.concat(F.lit("vom "), numeric, F.lit(" bis 3. Mai 1999"))).alias("first_day"),
+    )
+
+
+@query
+def numbers_in_text(spark, d):
+    """Document numbers found in a sentence; one of seven digits is none."""
+    o = table(spark, d, "orders")
+    number = F.concat((F.col("o_custkey") % 100).cast("string"), F.lit("/"), F.col("o_orderkey").cast("string"))
+    text = F.concat(F.lit("Drucksachen "), number, F.lit(", 3/7 und 12/1234567"))
+    found = X.document_numbers(text)
+    return o.select("o_orderkey", F.array_join(found, ",").alias("numbers"), F.size(found).alias("n_numbers"))
+
+
+@query
+def event_histogram(spark, d):
+    """How many events of each type a day has."""
+    return A.value_counts(_events(spark, d), ["day"], "event_type")
+
+
+@query
+def bare_column(spark, d):
+    """Per customer the status that stands beside the earliest order, chosen openly rather than left to the engine."""
+    earliest = F.struct("o_orderdate", "o_orderkey")
+    return _orders(spark, d).groupBy("o_custkey").agg(F.count("*").alias("n"), F.min_by("o_orderstatus", earliest).alias("first_status"))
+
+
+@query
+def first_match_in_order(spark, d):
+    """The first event of a user, in order, whose value passes 50; null if none does."""
+    at = F.when(F.col("value") > 50, F.struct("ts", "event_id"))
+    return _events(spark, d).groupBy("user_id").agg(_text(F.min_by("event_id", at)).alias("first_over"))
+
+
+@query
+def distinct_in_order(spark, d):
+    """The return flags and the statuses of an order's lines without repetitions, as they first occur."""
+    listed = lambda c: F.array_join(dedup.distinct_in_order(F.sort_array(F.collect_list(F.struct("l_linenumber", c)))[c]), ",")
+    return table(spark, d, "lineitem").groupBy("l_orderkey").agg(listed("l_returnflag").alias("flags"), listed("l_linestatus").alias("statuses"))
+
+
+@query
+def word_sets_and_prefixes(spark, d):
+    """parts whose name has a word of a set, and those whose type begins with one of some words."""
+    p = table(spark, d, "part")
+    words = F.split(F.lower("p_name"), " ")
+    begins = F.lit(False)
+    for x in ("ECO", "PROMO"):
+        begins = begins | F.startswith("p_type", F.lit(x))
+    held = F.arrays_overlap(words, F.array(F.lit("ring"), F.lit("widget")))
+    return p.select("p_partkey", held.alias("has_word"), begins.alias("begins"))
+
+
 # ---------------------------------------------------------------- sequential by nature: no SQL
 
 

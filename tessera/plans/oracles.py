@@ -238,4 +238,22 @@ SELECT o_orderkey, round(o_totalprice, 2) AS price, CASE WHEN o_custkey % 3 = 0
     ),
     "first_and_last_wins": f"""
 SELECT user_id, day, event_type, arg_min(event_id, (ts, event_id)) AS first_id, arg_max(event_id, (ts, event_id)) AS last_id FROM {_E} GROUP BY ALL""",
+    "dates_in_text": f"""
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderdate END AS numeric_day,
+       CASE WHEN o_orderkey % 5 <> 0 THEN o_orderdate END AS worded_day, o_orderdate AS first_day FROM {_O}""",
+    "numbers_in_text": r"""
+SELECT o_orderkey, array_to_string(found, ',') AS numbers, CAST(len(found) AS INTEGER) AS n_numbers
+FROM (SELECT o_orderkey, regexp_extract_all('Drucksachen ' || o_custkey % 100 || '/' || o_orderkey || ', 3/7 und 12/1234567', '\b(\d{1,2}/\d{1,6})\b', 1) AS found FROM orders)""",
+    "event_histogram": f"SELECT day, event_type, count(*) AS n FROM {_E} GROUP BY ALL",
+    "bare_column": f"SELECT o_custkey, count(*) AS n, arg_min(o_orderstatus, (o_orderdate, o_orderkey)) AS first_status FROM {_O} GROUP BY ALL",
+    "first_match_in_order": f"""
+SELECT user_id, CAST(arg_min(event_id, (ts, event_id)) FILTER (WHERE value > 50) AS VARCHAR) AS first_over FROM {_E} GROUP BY ALL""",
+    "distinct_in_order": """
+WITH f AS (SELECT l_orderkey, l_returnflag AS v, min(l_linenumber) AS n FROM lineitem GROUP BY ALL),
+s AS (SELECT l_orderkey, l_linestatus AS v, min(l_linenumber) AS n FROM lineitem GROUP BY ALL)
+SELECT l_orderkey, flags, statuses FROM (SELECT l_orderkey, string_agg(v, ',' ORDER BY n, v) AS flags FROM f GROUP BY ALL)
+JOIN (SELECT l_orderkey, string_agg(v, ',' ORDER BY n, v) AS statuses FROM s GROUP BY ALL) USING (l_orderkey)""",
+    "word_sets_and_prefixes": """
+SELECT p_partkey, list_has_any(string_split(lower(p_name), ' '), ['ring', 'widget']) AS has_word,
+       starts_with(p_type, 'ECO') OR starts_with(p_type, 'PROMO') AS begins FROM part""",
 }

@@ -1,4 +1,5 @@
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -146,6 +147,23 @@ def test_intervals(spark):
     assert closed == {"a": (D(2020, 5, 1), "b"), "b": (D(2020, 7, 1), None)}
 
 
+def test_successors_against_all_pairs(spark):
+    rng = random.Random(7)
+    day = lambda: rng.choice([None, *(D(2020, 1, k) for k in range(1, 9))])
+    some = lambda n: [(rng.choice(["o", "p", None]), rng.choice(["a", "b", "c", None]), day()) for _ in range(n)]
+    held = [(*x, k, D(2021, 1, 1) if k % 5 == 0 else None) for k, x in enumerate(some(120))]
+    later = some(25)
+    want = {}
+    for o, who, f, k, t in held:
+        met = [(g, w) for p, w, g in later if None not in (o, who, f, p, w, g) and (p, g > f, w != who) == (o, True, True)]
+        g, w = min(met) if met and t is None else (None, None)
+        want[k] = (t or (g - datetime.timedelta(1) if g else None), w)
+    h = spark.createDataFrame(held, "o string, who string, f date, k int, t date")
+    got = intervals.close_by_successor(h, spark.createDataFrame(later, "o string, who string, f date"), ["o"], "who", "f", "t")
+    assert {r["k"]: (r["t"], r["successor"]) for r in got.collect()} == want and got.columns == ["o", "who", "f", "k", "t", "successor"]
+    assert intervals.close_by_successor(h.limit(0), h.select("o", "who", "f"), ["o"], "who", "f", "t").count() == 0
+
+
 @pytest.mark.parametrize("on, want", [("2020-02-15", {"1", "2", "4"}), ("2020-04-15", {"1", "3"}), ("2019-01-01", set())])
 def test_held_on(spark, on, want):
     """A sighting counts on until the same person, or the next holder of a single office, contradicts it."""
@@ -168,6 +186,7 @@ def test_upsert_touches_given_columns_only(spark):
     assert rows(upsert.upsert(once, c, ["id"], [F.col("seq").desc()])) == rows(once)
     keys = spark.createDataFrame([(1,), (9,)], "id int")
     assert rows(upsert.upsert(t, keys, ["id"])) == [(1, "a", "keep"), (2, "b", "keep"), (9, None, None)]
+    assert rows(upsert.upsert(t, c, ["id"])) == rows(upsert.upsert(t, c.orderBy(F.rand(1)).repartition(3), ["id"]))
 
 
 def test_stale_rows_and_first_times(spark):
