@@ -86,6 +86,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_words(_table(spark, sf_dir, "documents"), width=35)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.whitening import whiten
+
+    return whiten(_table(spark, sf_dir, "embeddings"), components=8)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -99,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_token_counts,
         op10_substring_dedup,
+        op11_embedding_whitening,
     )
 }
 
