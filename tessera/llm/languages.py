@@ -227,8 +227,12 @@ def featured(texts: DataFrame, languages: list[str], bits: int = BITS) -> DataFr
 
 
 def _texts(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    for r in table.sort_by("hash").to_pylist():
-        yield r["label"], np.array(r["features"], np.int64), np.array(r["counts"], np.int64)
+    """(label, features, counts) of each text, in the order of their hashes."""
+    columns = {c: table.column(c).combine_chunks() for c in ("label", "hash", "features", "counts")}
+    lists = {c: (np.asarray(columns[c].offsets), np.asarray(columns[c].values)) for c in ("features", "counts")}
+    labels = columns["label"].to_pylist()
+    for k in np.argsort(np.asarray(columns["hash"]), kind="stable"):
+        yield labels[k], *(values[at[k] : at[k + 1]] for at, values in lists.values())
 
 
 def _pass(sent: Broadcast, kinds: pa.Schema) -> Callable[[pa.Table], pa.Table]:
@@ -251,7 +255,8 @@ def train(sampled: DataFrame, languages: list[str], idf: np.ndarray, passes: int
     leader = Leader.new(len(idf), len(languages))
     for _ in range(passes):
         sent = spark.sparkContext.broadcast((leader, idf))  # features * languages of bounded number
-        states = sampled.where(F.col("shard").isNotNull()).groupBy("shard").applyInArrow(_pass(sent, kinds), ddl).toLocalIterator()
+        dealt = sampled.where(F.col("shard").isNotNull()).repartition(max(SHARDS, len(languages)), "shard")
+        states = stored(dealt.groupBy("shard").applyInArrow(_pass(sent, kinds), ddl), "states").toLocalIterator()  # one at a time
         z, n, shards = np.zeros_like(leader.z), np.zeros_like(leader.n), 0
         for r in states:
             z += np.frombuffer(r["z"]).reshape(z.shape)
