@@ -26,6 +26,15 @@ def majority(df: DataFrame, keys: Sequence[str], value: str, to: str, counts_to:
     return n.groupBy(*keys).agg(*out)
 
 
+def most_common(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[Column], to: str) -> DataFrame:
+    """The most frequent ``value`` of each key; of equals the one that is met first in ``order``.
+
+    Two aggregations that both sum up before their shuffles, as in ``majority``.
+    """
+    n = df.groupBy(*keys, value).agg(F.count("*").alias("_n"), F.min(F.struct(*order)).alias("_first"))
+    return n.groupBy(*keys).agg(F.min_by(F.col(value), F.struct(-F.col("_n"), F.col("_first"))).alias(to))
+
+
 def pivot_counts(df: DataFrame, keys: Sequence[str], value: str, values: Sequence[str], prefix: str = "n_") -> DataFrame:
     """One count column for each of ``values`` (A10): conditional counts in one pass, no pivot job."""
     return df.groupBy(*keys).agg(*(F.count_if(F.col(value) == v).alias(f"{prefix}{v}") for v in values))

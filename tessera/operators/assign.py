@@ -1,16 +1,16 @@
-"""One-to-one assignments within small groups: exact, greedy by distance, greedy by order.
-
-Each is sequential within its group (a document, a sitting, a day), so the groups go to
-``applyInPandas``; groups are small by their nature, and their number is what grows.
-"""
+"""One-to-one assignments: the best one of small groups, and greedy by distance."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations, permutations
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tessera.operators.rounds import cut
 
 
 def _ddl(df: DataFrame, columns: Sequence[str]) -> str:
@@ -23,7 +23,7 @@ def best_assignment(pairs: DataFrame, keys: Sequence[str], a: str, b: str, score
     ``pairs`` has every pair of a group with its score. Document order (k-th with k-th)
     stays unless another assignment beats it by more than ``margin``; of equal ones the
     first by places counts. Groups of more than ``most`` on a side keep document order
-    as far as both go.
+    as far as both go. A group is one asker's questions of a document: small by its nature.
     """
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
@@ -45,15 +45,29 @@ def best_assignment(pairs: DataFrame, keys: Sequence[str], a: str, b: str, score
 
 
 def greedy(pairs: DataFrame, keys: Sequence[str], a: str, b: str, distance: str) -> DataFrame:
-    """Pairs taken by growing distance, each side once; ties by ``a``, then ``b``."""
+    """Pairs taken by growing distance, each side once; ties by ``a``, then ``b``.
 
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        used_a, used_b, keep = set(), set(), []
-        for i, x, y in g.sort_values([distance, a, b])[[a, b]].itertuples():
-            if x not in used_a and y not in used_b:
-                used_a.add(x)
-                used_b.add(y)
-                keep.append(i)
-        return g.loc[keep, [*keys, a, b, distance]]
-
-    return pairs.groupBy(*keys).applyInPandas(run, _ddl(pairs, [*keys, a, b, distance]))
+    In each round every pair goes that is the least of both its ends: no other pair could have taken either end
+    before it. What its ends had besides goes with it. That gives what taking pairs one after the other would
+    give, whatever the number of rows of a key; rounds are as many as the longest run of pairs
+    that hang on each other. Ends are summed up before they are shuffled. Pairs with a null distance are never taken.
+    """
+    left = cut(pairs.select(*keys, a, b, distance).where(F.col(distance).isNotNull()).distinct())
+    taken = None
+    while not left.isEmpty():
+        of_a = left.groupBy(*keys, a).agg(F.min(F.struct(F.col(distance), F.col(b))).alias("_least"))
+        of_b = left.groupBy(*keys, b).agg(F.min(F.struct(F.col(distance), F.col(a))).alias("_least"))
+        of_a = of_a.select(*keys, a, F.col("_least")[b].alias(b), F.col("_least")[distance].alias(distance))
+        of_b = of_b.select(*keys, F.col("_least")[a].alias(a), b)
+        now = cut(_same(of_a, of_b, [*keys, a, b]))
+        taken = now if taken is None else taken.unionByName(now)
+        rest = _same(left, now.select(*keys, a).distinct(), [*keys, a], "left_anti")
+        left = cut(_same(rest, now.select(*keys, b).distinct(), [*keys, b], "left_anti"))
+    return left if taken is None else taken
+
+
+def _same(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Rows of ``left`` with (or without) a row of ``right`` that has the same ``columns``, nulls included."""
+    x, y = left.alias("x"), right.alias("y")
+    on = reduce(lambda p, q: p & q, [F.col(f"x.`{c}`").eqNullSafe(F.col(f"y.`{c}`")) for c in columns])
+    return x.join(y, on, how)

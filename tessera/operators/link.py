@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -76,10 +76,45 @@ def nearest(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, rig
     return both.select(*left.columns, best["id"].alias(right_id), best["distance"].alias("distance"))
 
 
+#: A span of days is cut into blocks of 1, BASE, BASE**2 … days; LEVELS of them reach beyond the last of all days.
+BASE, LEVELS, LAST_DAY = 16, 6, "9999-12-31"
+
+
+def _floor(x: Column, width: int) -> Column:
+    return F.floor(x / F.lit(width)).cast("long")
+
+
+def _at_level(level: int, block: Column) -> Column:
+    return F.struct(F.lit(level).alias("level"), block.alias("block"))
+
+
+def day_blocks(first: Column, last: Column) -> Column:
+    """The fewest whole blocks that make up the days from ``first`` to ``last``, as (level, block); fewer than 2 * BASE a level."""
+    ranges = []
+    for k in range(LEVELS):
+        width, above = BASE**k, BASE ** (k + 1)
+        a, b = -_floor(-first, width), _floor(last + 1, width)
+        upper_a, upper_b = -_floor(-first, above) * BASE, _floor(last + 1, above) * BASE
+        inner = (upper_a < upper_b) & F.lit(k + 1 < LEVELS)  # what larger blocks cover
+        for start, end in ((a, F.when(inner, upper_a).otherwise(b)), (F.when(inner, upper_b).otherwise(b), b)):
+            blocks = F.when(start < end, F.sequence(start, F.greatest(end - 1, start))).otherwise(F.array().cast("array<bigint>"))
+            ranges.append(F.transform(blocks, partial(_at_level, k)))
+    return F.concat(*ranges)
+
+
 def covering(facts: DataFrame, intervals: DataFrame, keys: Sequence[str], on: str, start: str, end: str) -> DataFrame:
-    """Facts with each interval of their key that covers ``on``; a null end is open."""
-    inside = (F.col(start) <= F.col(on)) & (F.col(end).isNull() | (F.col(on) <= F.col(end)))
-    return facts.join(intervals, list(keys)).where(inside)
+    """Facts with each interval of their key that covers ``on``, dates or moments; a null end is open.
+
+    An interval becomes the few blocks of days, of several widths, that make it up, a fact the
+    one block of each width that holds its day; they meet by equality, so a key's facts meet
+    only intervals of their day, and a key with many rows is dealt by its blocks. Moments are compared after that.
+    """
+    day = lambda c: F.unix_date(F.to_date(c)).cast("long")
+    last = F.coalesce(day(F.col(end)), F.unix_date(F.lit(LAST_DAY).cast("date")).cast("long"))
+    cut = intervals.withColumn("_at", F.explode(day_blocks(day(F.col(start)), last)))
+    held = [_at_level(k, _floor(day(F.col(on)), BASE**k)) for k in range(LEVELS)]
+    met = facts.withColumn("_at", F.explode(F.array(*held))).join(cut, [*keys, "_at"]).drop("_at")
+    return met.where((F.col(start) <= F.col(on)) & (F.col(end).isNull() | (F.col(on) <= F.col(end))))
 
 
 def latest_covering(facts: DataFrame, intervals: DataFrame, keys: Sequence[str], fact_id: Sequence[str], on: str, start: str, end: str) -> DataFrame:
@@ -169,16 +204,52 @@ def without_shared(links: DataFrame, key: str, other: str, most: int) -> DataFra
     return pairs.join(crowd, key, "left_anti")
 
 
-def overlapping(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_items: str, right_items: str) -> DataFrame:
-    """Pairs whose arrays share an element, with how many they share (J15's counts, J21): explode and equi-join."""
-    a = left.select(left_id, F.explode(F.array_distinct(left_items)).alias("_item"))
-    b = right.select(right_id, F.explode(F.array_distinct(right_items)).alias("_item"))
-    return a.join(b, "_item").groupBy(left_id, right_id).agg(F.count("*").alias("n_shared"))
+def _prefixes(left: DataFrame, right: DataFrame, least: int, ratio: float) -> tuple[DataFrame, DataFrame]:
+    """Both sides' (_id, _item, _size, _early): an item is early if, counted from the rarest, it is among the first of its
+    set that a pair cannot do without, should the set be the smaller one."""
+    items = left.unionByName(right)
+    seen = items.groupBy("_item").agg(F.count("*").alias("_n"))
+
+    def ranked(side: DataFrame) -> DataFrame:
+        rarest = F.sort_array(F.collect_list(F.struct("_n", "_item")))  # a set
+        sets = side.join(seen, "_item").groupBy("_id").agg(rarest.alias("_all")).withColumn("_size", F.size("_all"))
+        wanted = F.greatest(F.lit(least), F.ceil(F.lit(ratio) * F.col("_size")).cast("int"))
+        return sets.select("_id", "_size", F.posexplode("_all").alias("_k", "_one"), wanted.alias("_wanted")).select(
+            "_id", "_size", F.col("_one._item").alias("_item"), (F.col("_k") <= F.col("_size") - F.col("_wanted")).alias("_early")
+        )
+
+    return ranked(left), ranked(right)
+
+
+def candidates(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_items: str, right_items: str, least: int, ratio: float) -> DataFrame:
+    """Distinct pairs that may share ``least`` items and ``ratio`` of the smaller set (prefix filter).
+
+    A pair shares so many items of the smaller set that one is among its early ones, so these meet all items of the
+    larger sets: an item that every row holds is late in nearly every set and joins little.
+    """
+    of = lambda d, i, c: d.select(F.col(i).alias("_id"), F.explode(F.array_distinct(c)).alias("_item")).where("_item IS NOT NULL")
+    a, b = _prefixes(of(left, left_id, left_items), of(right, right_id, right_items), least, ratio)
+    a, b = a.withColumnsRenamed({"_id": left_id, "_size": "_a", "_early": "_early_a"}), b.withColumnsRenamed({"_id": right_id, "_size": "_b", "_early": "_early_b"})
+    small_left = a.where("_early_a").join(b, "_item").where("_a <= _b")
+    small_right = a.join(b.where("_early_b"), "_item").where("_a > _b")
+    return small_left.select(left_id, right_id).unionByName(small_right.select(left_id, right_id)).distinct()
+
+
+def overlapping(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_items: str, right_items: str, least: int = 1, ratio: float = 0.0) -> DataFrame:
+    """Pairs whose arrays share at least ``least`` different elements and ``ratio`` of the smaller set (J15's counts, J21).
+
+    Gives both ids, n_shared and ratio, shared elements over the smaller set's size. Ids are unique; null elements and
+    arrays are in no pair. Pairs come from a prefix filter and are verified on the sets. Where one common element is
+    enough, an element of many rows makes as many pairs as rows hold it on either side: that is the result asked for.
+    """
+    found = candidates(left, right, left_id, right_id, left_items, right_items, least, ratio)
+    of = lambda d, i, c, to: d.select(i, F.array_compact(F.array_distinct(c)).alias(to))
+    both = found.join(of(left, left_id, left_items, "_a"), left_id).join(of(right, right_id, right_items, "_b"), right_id)
+    shared = F.size(F.array_intersect("_a", "_b")).cast("long")
+    counted = both.withColumn("n_shared", shared).withColumn("ratio", F.col("n_shared") / F.greatest(F.lit(1), F.least(F.size("_a"), F.size("_b"))))
+    return counted.where((F.col("n_shared") >= least) & (F.col("ratio") >= ratio)).select(left_id, right_id, "n_shared", "ratio")
 
 
-def token_overlap(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_items: str, right_items: str) -> DataFrame:
-    """Overlap of two token sets: shared tokens over the smaller set's size, at least 1."""
-    size = lambda d, i, c, to: d.select(i, F.size(F.array_distinct(c)).alias(to))
-    shared = overlapping(left, right, left_id, right_id, left_items, right_items)
-    sized = shared.join(size(left, left_id, left_items, "_a"), left_id).join(size(right, right_id, right_items, "_b"), right_id)
-    return sized.withColumn("ratio", F.col("n_shared") / F.greatest(F.lit(1), F.least("_a", "_b"))).drop("_a", "_b")
+def token_overlap(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_items: str, right_items: str, least: int = 1, ratio: float = 0.0) -> DataFrame:
+    """Overlap of two token sets: shared tokens over the smaller set's size, at least 1 (J15, X29); see ``overlapping``."""
+    return overlapping(left, right, left_id, right_id, left_items, right_items, least, ratio)

@@ -1,10 +1,9 @@
-"""Operators over ordered rows: islands, carried values, running counts, blocks, state machines."""
+"""Operators over ordered rows: islands, clusters, carried values, running counts, blocks, interruptions."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +19,14 @@ def islands(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str
     return df.withColumn("_starts", starts).withColumn(to, F.sum("_starts").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_starts")
 
 
+def chained(df: DataFrame, keys: Sequence[str], value: str, gap: Column, to: str) -> DataFrame:
+    """Numbers the clusters of ``value``, from 1: a gap of more than ``gap`` to the next smaller value begins one."""
+    w = _ordered(keys, [value])
+    # Rows of one value begin no cluster of their own, in whatever order they come.
+    starts = F.coalesce(F.col(value) - F.lag(value).over(w) > gap, F.lit(True)).cast("long")
+    return df.withColumn("_starts", starts).withColumn(to, F.sum("_starts").over(w.rangeBetween(Window.unboundedPreceding, 0))).drop("_starts")
+
+
 def carried(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, to: str) -> DataFrame:
     """The last value that is not null, up to the row itself."""
     w = _ordered(keys, order).rowsBetween(Window.unboundedPreceding, 0)
@@ -72,31 +79,27 @@ def interruptions(parts: DataFrame, speech: str, order: str, speaker: str, part_
     since said ``least_words`` words; else it goes on with the person's last one. Its kind
     depends on ``announced``, whether the part before it announces a short intervention. A
     part right after another interruption goes on with the person's own or is a question.
-    Adds interruption and interruption_start, null on the main speaker's parts. Parts of a
-    speech are few, so each speech is one group.
+    Adds interruption and interruption_start, null on the main speaker's parts. Parts at one place are taken by their ids.
+
+    The words that count are those of the main speaker's parts right before, so running
+    sums, islands and the last beginning of the same person say it all: windows over one order.
     """
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema)
-
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(order)
-        main, said, before, telling = g[speaker].iloc[0], 0, None, False
-        own: dict = {}
-        kinds, starts = [], []
-        for who, part, n, tells in zip(g[speaker], g[part_id], g[words], g[announced], strict=True):
-            if who == main:
-                said += int(n)
-                kinds.append(None)
-                starts.append(None)
-            else:
-                after_main = before == main
-                if after_main and (who not in own or said >= least_words):
-                    own[who] = ("kurzintervention" if telling else "zwischenfrage", part)
-                kind, start = own.setdefault(who, ("zwischenfrage", part))
-                said = 0 if after_main else said
-                kinds.append(kind)
-                starts.append(start)
-            before, telling = who, bool(tells)
-        return g.assign(interruption=kinds, interruption_start=starts)
-
-    kind = parts.schema[part_id].dataType.simpleString()
-    return parts.groupBy(speech).applyInPandas(run, f"{schema}, interruption string, interruption_start {kind}")
+    by = [order, part_id]
+    w = _ordered([speech], by)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    mains = F.first(speaker).over(upto)
+    df = parts.withColumn("_main", F.col(speaker).eqNullSafe(mains))
+    df = df.withColumn("_said", F.sum(F.when(F.col("_main"), F.coalesce(F.col(words).cast("long"), F.lit(0))).otherwise(0)).over(upto))
+    # Said up to the last part of someone else: what came after it is the main speaker's run.
+    df = df.withColumn("_before", F.coalesce(F.last(F.when(~F.col("_main"), F.col("_said")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    df = df.withColumns({
+        "_after_main": F.lag("_main").over(w),
+        "_told": F.coalesce(F.lag(F.col(announced).cast("boolean")).over(w), F.lit(False)),
+        "_known": F.row_number().over(_ordered([speech, speaker], by)) > 1,
+    })
+    begins = ~F.col("_main") & (~F.col("_known") | (F.col("_after_main") & (F.col("_said") - F.col("_before") >= least_words)))
+    kind = F.when(F.col("_after_main") & F.col("_told"), "kurzintervention").otherwise("zwischenfrage")
+    df = df.withColumn("_begun", F.when(begins, F.struct(kind.alias("kind"), F.col(part_id).alias("start"))))
+    own = F.last("_begun", ignorenulls=True).over(_ordered([speech, speaker], by).rowsBetween(Window.unboundedPreceding, 0))
+    df = df.withColumn("_own", F.when(~F.col("_main"), own))
+    return df.select(*parts.columns, F.col("_own.kind").alias("interruption"), F.col("_own.start").alias("interruption_start"))

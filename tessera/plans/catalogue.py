@@ -303,7 +303,7 @@ def token_overlap(spark, d):
     words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("[a-z]{5,}"), F.lit(0)))
     t = table(spark, d, "documents").select("doc_id", words("text").alias("a"))
     i = table(spark, d, "benchmark").select("item_id", words("text").alias("b"))
-    return link.token_overlap(t, i, "doc_id", "item_id", "a", "b").where("ratio >= 0.5 AND n_shared >= 3")
+    return link.token_overlap(t, i, "doc_id", "item_id", "a", "b", least=3, ratio=0.5)
 
 
 @query
@@ -718,7 +718,45 @@ def word_sets_and_prefixes(spark, d):
     return p.select("p_partkey", held.alias("has_word"), begins.alias("begins"))
 
 
-# ---------------------------------------------------------------- sequential by nature: no SQL
+@query
+def interruption_machine(spark, d):
+    """Of a user's day, which types of events cut into the one that opened it, and from which event on."""
+    e = _events(spark, d).withColumns({"speech": F.concat_ws("/", "user_id", "day"), "words": F.col("value").cast("int"), "announced": F.col("event_type") == "signup"})
+    slim = e.select("speech", "ts", "event_type", "event_id", "words", "announced")
+    return sequence.interruptions(slim, "speech", "ts", "event_type", "event_id", "words", "announced").select("speech", "event_id", "interruption", _text("interruption_start").alias("interruption_start"))
+
+
+@query
+def most_common_first(spark, d):
+    """The quantity that a supplier sends most often, of equals the one sent first."""
+    order = [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")]
+    return A.most_common(table(spark, d, "lineitem"), ["l_suppkey"], "l_quantity", order, "quantity")
+
+
+def _set_on_pages(c: DataFrame) -> DataFrame:
+    """Conversations as placed characters: twenty turns a page, a turn a line; half of the blanks are gaps, digits stand raised."""
+    said = c.select(F.col("conv_id").alias("document"), (F.col("turn") / 20).cast("int").alias("page"), (F.col("turn") % 20).alias("slot"), "role", F.regexp_replace("text", "[ \t\r\n]+", " ").alias("text"))
+    one = said.select("document", "page", "slot", "role", F.posexplode(F.split("text", "")).alias("k", "text"))
+    digit = F.col("text").rlike("^[0-9]$")
+    bottom = 90.0 + 30 * F.col("slot")
+    return one.where("text != '' AND (text != ' ' OR k % 2 = 0)").select(
+        "document", "page", "text", (60.0 + 5 * F.col("k")).alias("x0"), (65.0 + 5 * F.col("k")).alias("x1"),
+        F.when(digit, bottom - 9.0).otherwise(bottom - 10.0).alias("top"), F.when(digit, bottom - 3.0).otherwise(bottom).alias("bottom"),
+        F.when(digit, 6.0).otherwise(10.0).alias("size"), F.when(F.col("role") == "assistant", "Times-Bold").otherwise("Times").alias("font"),
+        F.lit(True).alias("upright"), F.lit(595.0).alias("width"), F.lit(842.0).alias("height"),
+    )
+
+
+@query
+def lines_of_characters(spark, d):
+    """Conversations set on pages character by character, and put together again line by line."""
+    from tessera.sources import layout
+
+    found = layout.lines(_set_on_pages(table(spark, d, "conversations")))
+    return found.select(F.col("document").alias("conv_id"), F.col("page").cast("long").alias("page"), "line", "bold", F.trim("text").alias("text"))
+
+
+# ---------------------------------------------------------------- one step depends on the one before: no SQL
 
 
 @query
@@ -730,14 +768,6 @@ def greedy_pairs(spark, d):
     return assign.greedy(pairs, ["s_nationkey"], "a_key", "b_key", "difference")
 
 
-@query
-def interruption_machine(spark, d):
-    """Of a user's day, which types of events cut into the one that opened it, and from which event on."""
-    e = _events(spark, d).withColumns({"speech": F.concat_ws("/", "user_id", "day"), "words": F.col("value").cast("int"), "announced": F.col("event_type") == "signup"})
-    slim = e.select("speech", "ts", "event_type", "event_id", "words", "announced")
-    return sequence.interruptions(slim, "speech", "ts", "event_type", "event_id", "words", "announced").select("speech", "event_id", "interruption", "interruption_start")
-
-
 @query
 def best_assignment(spark, d):
     """Of each conversation, the user's turns with the assistant's whose words overlap them most."""

@@ -256,4 +256,22 @@ JOIN (SELECT l_orderkey, string_agg(v, ',' ORDER BY n, v) AS statuses FROM s GRO
     "word_sets_and_prefixes": """
 SELECT p_partkey, list_has_any(string_split(lower(p_name), ' '), ['ring', 'widget']) AS has_word,
        starts_with(p_type, 'ECO') OR starts_with(p_type, 'PROMO') AS begins FROM part""",
+    "most_common_first": """
+WITH n AS (SELECT l_suppkey, l_quantity, count(*) AS n, min(row(l_orderkey, l_linenumber, l_partkey, l_extendedprice)) AS f FROM lineitem GROUP BY ALL)
+SELECT l_suppkey, l_quantity AS quantity FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY n DESC, f) AS r FROM n) WHERE r = 1""",
+    "lines_of_characters": r"""
+SELECT conv_id, turn // 20 AS page, row_number() OVER (PARTITION BY conv_id, turn // 20 ORDER BY turn) AS line, role = 'assistant' AS bold,
+       trim(regexp_replace(text, '[ \t\r\n]+', ' ', 'g')) AS text FROM conversations WHERE trim(regexp_replace(text, '[ \t\r\n]+', ' ', 'g')) <> ''""",
+    "interruption_machine": f"""
+WITH e AS (SELECT CAST(user_id AS VARCHAR) || '/' || CAST(day AS VARCHAR) AS speech, ts, event_type, event_id, CAST(trunc(value) AS BIGINT) AS words, event_type = 'signup' AS announced FROM {_E}),
+m AS (SELECT *, event_type = first_value(event_type) OVER w AS main FROM e WINDOW w AS (PARTITION BY speech ORDER BY ts, event_id)),
+r AS (SELECT *, lag(main) OVER w AS after_main, coalesce(lag(announced) OVER w, false) AS told,
+      sum(CASE WHEN main THEN words ELSE 0 END) OVER w AS said, row_number() OVER (PARTITION BY speech, event_type ORDER BY ts, event_id) AS nth FROM m
+      WINDOW w AS (PARTITION BY speech ORDER BY ts, event_id)),
+b AS (SELECT *, coalesce(max(CASE WHEN NOT main THEN said END) OVER (PARTITION BY speech ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM r),
+g AS (SELECT *, CASE WHEN NOT main AND (nth = 1 OR (after_main AND said - before >= 30)) THEN event_id END AS start_id,
+      CASE WHEN after_main AND told THEN 'kurzintervention' ELSE 'zwischenfrage' END AS kind FROM b)
+SELECT speech, event_id, CASE WHEN NOT main THEN last_value(CASE WHEN start_id IS NOT NULL THEN kind END IGNORE NULLS) OVER p END AS interruption,
+       CAST(CASE WHEN NOT main THEN last_value(start_id IGNORE NULLS) OVER p END AS VARCHAR) AS interruption_start
+FROM g WINDOW p AS (PARTITION BY speech, event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
 }
