@@ -76,9 +76,20 @@ def removed(spark: SparkSession, folders: list[str]) -> None:
         files.delete(path, True)
 
 
-def swept(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished queries, which it does when the driver collects garbage."""
-    spark.sparkContext._jvm.System.gc()
+def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``make`` gives, stored; what it has stored on the way, which nothing else reads, is deleted."""
+    folders: list[str] = []
+    with noted(folders):
+        made = make()
+    out = stored(made, name)
+    removed(spark, folders)
+    return out
+
+
+def handed_on(folders: list[str]) -> None:
+    """Leaves ``folders`` to whoever notes what is written, if anyone does."""
+    if (written := _WRITTEN.get()) is not None:
+        written += folders
 
 
 def _hadoop(spark: SparkSession, to: str) -> tuple:
@@ -146,6 +157,11 @@ def without(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
     return told.where(~F.col(flag)).select(*_own(df)).unionAll(left.select(*_own(df)))
 
 
+def row_key(docs: DataFrame) -> Column:
+    """A row by its doc_id and text: rows that agree in both cannot be told apart by it."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.md5(F.coalesce(F.concat(F.lit("t"), "text"), F.lit("")).cast("binary")).alias("text"))
+
+
 def _own(df: DataFrame) -> list[Column]:
     return [F.col(f"`{c}`") for c in df.columns]
 

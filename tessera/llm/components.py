@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import noted, removed, stored
+from tessera.llm.common import handed_on, noted, removed, stored
 
 
 #: Tasks over which the links of one node are dealt.
@@ -50,5 +50,6 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if now == state:
             break
         state = now
+    handed_on(before)
     roots = pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

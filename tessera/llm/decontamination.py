@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_map, stored, without
+from tessera.llm.common import arrow_map, row_key, settled, stored, without
 
 #: Words of a segment: bounds the memory of a task whatever a partition holds (a longer document is a segment of its own).
 SEGMENT_WORDS = 300_000
@@ -349,9 +349,12 @@ def keep_clean(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
     Null and empty texts hold none and stay; a row with a null id is known by its text;
     repeated rows stay or go together; all columns, whatever their names, go through.
     """
-    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
-    found = decontaminate(docs.select(key.alias("doc_id"), "text"), items, width)
-    return without(docs, key, stored(found.where("contaminated").select("doc_id").distinct(), "contaminated"))
+    key = row_key(docs)
+
+    def hit() -> DataFrame:
+        return decontaminate(docs.select(key.alias("doc_id"), "text"), items, width).where("contaminated").select("doc_id").distinct()
+
+    return without(docs, key, settled(docs.sparkSession, hit, "contaminated"))
 
 
 def _merged(found: list[DataFrame]) -> DataFrame:

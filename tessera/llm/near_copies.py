@@ -14,14 +14,14 @@ held against its smallest one; what that leaves in several components is searche
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_map, arrow_schema, fresh, only, stored, swept, without
+from tessera.llm.common import arrow_map, arrow_schema, fresh, only, row_key, settled, stored, without
 from tessera.llm.components import components
 
 SHINGLE, LEAST, SEED = 5, 0.8, 42
@@ -208,9 +208,9 @@ def _blocks(members: DataFrame, texts: DataFrame, least: float, shingle: int, bl
 
 
 def links(
-    sets: DataFrame, texts: DataFrame, least: float = LEAST, shingle: int = SHINGLE, crowded: int = CROWDED, block: int = BLOCK, entries: int = ENTRIES
+    sets: DataFrame, texts_of: Callable[[DataFrame], DataFrame], least: float = LEAST, shingle: int = SHINGLE, crowded: int = CROWDED, block: int = BLOCK, entries: int = ENTRIES
 ) -> DataFrame:
-    """Links (a, b) among ``sets`` (node, n, w, flips), whose texts are in ``texts`` (node, text): all that connect what is connected."""
+    """Links (a, b) among ``sets`` (node, n, w, flips), whose texts (node, text) ``texts_of`` gives for nodes: all that connect what is connected."""
     each = []
     for k in range(WORDS * PER_WORD):
         word, part = divmod(k, PER_WORD)
@@ -235,7 +235,6 @@ def links(
     found = stored(
         asked.join(known, "key").where(F.col("b").isNull() | alike).select(F.when(F.col("b").isNull(), F.col("key")).alias("key"), node.alias("node"), "b"), "met"
     )
-    swept(sets.sparkSession)
     members = found.where("b is null").select("key", "node")
     met = found.where("b is not null").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
     met = stored(_near(met, sets, least), "near_pairs")
@@ -243,7 +242,7 @@ def links(
     crowd_stars = members.join(lows, "key").where("a != node").select("a", F.col("node").alias("b")).distinct()
     stars = met.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").unionByName(_near(crowd_stars, sets, least)).distinct()
     needed = met.select(F.col("a").alias("node")).unionByName(met.select(F.col("b").alias("node"))).unionByName(members.select("node")).distinct()
-    texts = stored(only(texts, F.col("node"), stored(needed, "candidates")), "candidate_texts")
+    texts = stored(texts_of(needed), "candidate_texts")
     first = stored(_alike(stars, texts, least, shingle), "star_links")
     trees = stored(components(first).select("node", F.col("root").alias("tree")), "trees")
     left = met
@@ -288,17 +287,31 @@ def keep_first(
                     out[c].append(v)
             yield out
 
-    row = fresh(docs, "row_of_table")
-    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
-    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
-    input_ = numbered.select(key.alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    kind = input_.schema["doc_id"].dataType.simpleString()
-    marked = stored(arrow_map(input_, rows, f"doc_id {kind}, digest binary, n long, w array<long>, flips array<long>"), "marked")
-    sets = marked.groupBy("digest").agg(F.min_by(F.struct("doc_id", "n", "w", "flips"), "doc_id").alias("s")).select("s.*")
-    sets = stored(sets.select("doc_id", F.col("doc_id.row").alias("node"), "n", "w", "flips"), "sets")
-    texts = numbered.select(F.col(row).alias("node"), F.col("text").cast("binary").alias("text"))
-    roots = components(links(sets.where("n > 0"), texts, least, shingle, crowded, block, entries))
-    rooted = sets.select("doc_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    first = rooted.groupBy("root").agg(F.min("doc_id").alias("doc_id")).select(F.col("doc_id.row").alias(row))
-    gone = stored(marked.select(F.col("doc_id.row").alias(row)).join(first, row, "left_anti"), "gone")
-    return without(numbered, F.col(row), gone).select(*(F.col(f"`{c}`") for c in docs.columns))
+    spark, key = docs.sparkSession, row_key(docs)
+
+    def others() -> DataFrame:
+        """Keys of the rows that are not the first of a component, and, twice, of the firsts that several rows have."""
+        input_ = docs.select(key.alias("doc_id"), F.col("text").cast("binary").alias("text"))
+        kind = input_.schema["doc_id"].dataType.simpleString()
+        marked = stored(arrow_map(input_, rows, f"doc_id {kind}, digest binary, n long, w array<long>, flips array<long>"), "marked")
+        once = marked.groupBy("digest").agg(F.min_by(F.struct("doc_id", "n", "w", "flips"), "doc_id").alias("s")).select("s.*")
+        sets = stored(once.withColumn("node", F.monotonically_increasing_id()), "sets")
+        keys = marked.groupBy("doc_id", "digest").agg(F.count("*").alias("rows"))
+
+        def texts(nodes: DataFrame) -> DataFrame:
+            wanted = stored(sets.join(nodes, "node").select("doc_id", "node"), "candidate_keys")
+            found = only(input_, F.col("doc_id"), wanted.select("doc_id")).groupBy("doc_id").agg(F.first("text").alias("text"))
+            return found.join(wanted, "doc_id").select("node", "text")
+
+        roots = components(links(sets.where("n > 0"), texts, least, shingle, crowded, block, entries))
+        rooted = sets.select("doc_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        first = rooted.groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id", F.lit(True).alias("first"))
+        told = keys.groupBy("doc_id").agg(F.sum("rows").alias("rows")).join(first, "doc_id", "left")
+        return told.where("first IS NULL OR rows > 1").select("doc_id", F.coalesce("first", F.lit(False)).alias("first"))
+
+    gone = settled(spark, others, "gone")
+    kept = without(docs, key, gone.select("doc_id"))
+    # Of rows that agree in doc_id and text one is taken, whichever.
+    of, whole = fresh(docs, "key_of_row"), fresh(docs, "whole_row")
+    again = only(docs, key, gone.where("first").select("doc_id")).select(key.alias(of), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(whole))
+    return kept.unionAll(again.groupBy(of).agg(F.first(whole).alias(whole)).select(f"{whole}.*"))

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import stored
+from tessera.llm.common import row_key, settled, stored, without
 from tessera.llm.quality_rules import text_counts
 
 
@@ -164,9 +164,12 @@ def learn(x: DataFrame, labels: DataFrame, **regularisation: float) -> Discrimin
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **regularisation: float) -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose text scores at least ``threshold`` (see ``classify``)."""
-    rows = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole_row")
-    # Stored with the rows: a filter on statistics that are still expressions would be pushed into them, and work each out anew for every use.
-    x = stored(_statistics(docs.select(rows, "text"), "whole_row"), "statistics")
-    names = list(statistics())
-    model = learn(x.select(F.col("whole_row.doc_id").alias("doc_id"), *names), labels, **regularisation)
-    return x.where(model.score_column(names) >= threshold).select("whole_row.*")
+    key, names = row_key(docs), list(statistics())
+
+    def rejected() -> DataFrame:
+        # Stored: a filter on statistics that are still expressions would be pushed into them, and work each out anew for every use.
+        x = stored(_statistics(docs.select(key.alias("row"), "text"), "row"), "statistics")
+        model = learn(x.select(F.col("row.id").alias("doc_id"), *names), labels, **regularisation)
+        return x.where(model.score_column(names) < threshold).select("row").distinct()
+
+    return without(docs, key, settled(docs.sparkSession, rejected, "rejected"))
