@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -66,6 +66,16 @@ def lookahead(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: s
     return df.withColumn(to, F.lead(value, n).over(_ordered(keys, order)))
 
 
+def folded(df: DataFrame, keys: Sequence[str], order: Sequence[str], take: Sequence[str], start: Column, step: Callable[[Column, Column], Column]) -> DataFrame:
+    """A state machine over the ordered rows of a key (W8-W10): the keys, and state, what ``step(state, row)`` makes of ``start`` row by row.
+
+    For what no window can say, as each step depends on the one before. A key's rows become one array: the
+    turns of an item, a few hundred at most.
+    """
+    rows = df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*order, *(c for c in take if c not in order)))).alias("_rows"))
+    return rows.select(*keys, F.aggregate("_rows", start, step).alias("state"))
+
+
 def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], to: str = "position") -> DataFrame:
     """Row numbers from 1."""
     return df.withColumn(to, F.row_number().over(_ordered(keys, order)).cast("long"))

@@ -198,21 +198,3 @@ def test_calls_of_the_chair(chair, want):
 def test_negated_result():
     assert decisions.result_of("Damit ist der Wahlvorschlag nicht angenommen.") == "abgelehnt"
     assert decisions.totals_of("Mit Ja haben gestimmt 5, mit Nein haben gestimmt 6, eine Enthaltung") == (5, 6, 1)
-
-
-def test_interview_threads():
-    t = questions.Turn
-    got = questions.interview([
-        t("1", "min", True), t("2", "a", False, ("Wir kommen zur ersten Frage.",)), t("3", "min", False), t("4", "a", False, ("Eine Nachfrage?",)),
-        t("5", "min", False), t("6", "b", False, ("Die nächste Nachfrage hat Frau B.",)), t("7", "c", False, ("Herr C, bitte.",)), t("8", "min", False), t("9", "c", False),
-    ])
-    assert [r for _, r, _ in got] == ["einleitung", "frage", "antwort", "nachfrage", "antwort", "zusatzfrage", "frage", "antwort", "nachfrage"]
-    assert [th for _, _, th in got] == [None, "2", "2", "2", "2", "2", "7", "7", "7"]
-
-
-def test_questions_read_out():
-    p = [("chair", 0, "Wir kommen zur Frage 3 des Abgeordneten Max von Muster, SPD:"), ("chair", 0, "Erster Teil."), ("chair", 0, "Was nun?"), ("chair", 2, "Die Frage 4 der Kollegin Eva Test wird schriftlich beantwortet.")]
-    calls = questions.read_out(p)
-    assert calls == [{"number": "3", "name": "Max von Muster", "text": "Erster Teil.\n\nWas nun?", "after_speeches": 0}]
-    turns = [("s1", 1, "m", "Minister", True), ("s2", 2, "p", "Muster", False), ("s3", 3, "q", "Test", False)]
-    assert questions.question_time(turns, calls) == [("s1", "antwort", "s1"), ("s2", "nachfrage", "s1"), ("s3", "zusatzfrage", "s1")]

@@ -22,6 +22,29 @@ def test_turns_of_an_interview_and_a_question_time(spark):
     assert rows(calls.select("number", "name", "text", "drucksache_number")) == [("3", "Max Muster", "Was nun?", "21/2")]
 
 
+def test_threads_of_an_interview(spark):
+    said = {2: "Wir kommen zur ersten Frage.", 4: "Eine Nachfrage?", 6: "Die nächste Nachfrage hat Frau B.", 7: "Herr C, bitte."}
+    who = ["min", "a", "min", "a", "min", "b", "c", "min", "c"]
+    t = [(str(k), "i", k, p, p == "min" and k == 1, "") for k, p in enumerate(who, 1)]
+    turns = spark.createDataFrame(t, "id string, agenda_item_id string, position int, person_id string, official boolean, text string").withColumn("official", F.col("person_id") == "min")
+    under = spark.createDataFrame([("i", k, "chair", k - 1, x) for k, x in said.items()], "agenda_item_id string, position int, kind string, after_speeches int, text string")
+    none = spark.createDataFrame([], "speech_id string, position int, kind string, text string")
+    got = {r[0]: (r[1], r[2]) for r in Q.interviews(turns, none, under).collect()}
+    assert [got[str(k)][0] for k in range(1, 10)] == ["einleitung", "frage", "antwort", "nachfrage", "antwort", "zusatzfrage", "frage", "antwort", "nachfrage"]
+    assert [got[str(k)][1] for k in range(1, 10)] == [None, "2", "2", "2", "2", "2", "7", "7", "7"]
+
+
+def test_questions_read_out(spark):
+    p = [("f", 1, "chair", 0, "Wir kommen zur Frage 3 des Abgeordneten Max von Muster, SPD:"), ("f", 2, "chair", 0, "Erster Teil."), ("f", 3, "chair", 0, "Was nun?"),
+         ("f", 4, "chair", 2, "Die Frage 4 der Kollegin Eva Test wird schriftlich beantwortet."), ("f", 5, "chair", 3, "Es geht los mit der zweiten Frage der Kollegin Özdemir:"), ("f", 6, "chair", 3, "Wie?")]
+    under = spark.createDataFrame(p, "agenda_item_id string, position int, kind string, after_speeches int, text string")
+    items = spark.createDataFrame([("f", ["21/2"])], "id string, drucksache_numbers array<string>")
+    calls = Q.spoken_calls(under, items)
+    assert rows(calls.select("number", "name", "text", "after_speeches")) == [("2", "Özdemir", "Wie?", 3), ("3", "Max von Muster", "Erster Teil.\n\nWas nun?", 0)]
+    turns = spark.createDataFrame([("s1", "f", 1, "Minister", True), ("s2", "f", 2, "Muster", False), ("s3", "f", 3, "Test", False), ("s4", "f", 5, "Oezdemir", False)], "id string, agenda_item_id string, position int, last_name string, official boolean")
+    assert rows(Q.question_times(turns, calls)) == [("s1", "antwort", "s1"), ("s2", "nachfrage", "s1"), ("s3", "zusatzfrage", "s1"), ("s4", "nachfrage", "s4")]
+
+
 ANNEX = """<r><anlagen><anlage><anlagen-text anlagen-typ="Schriftliche Antworten auf Fragen der Fragestunde (Drucksache 21/2)">
 <p klasse="AnlageU">Fragen 4 und 5</p><p klasse="O">Fragen des Abgeordneten Max Muster (AfD):</p><p klasse="p">Erstens?</p><p klasse="p">Zweitens?</p>
 <p klasse="O">Antwort des Staatssekretärs Bert Test:</p><p klasse="J">Beides.</p><table><thead><tr><th colspan="2">Kopf</th></tr></thead><tbody><tr><td>a</td><td>b</td></tr></tbody></table><p klasse="J">Ende.</p>
@@ -34,6 +57,10 @@ def test_annex_and_texts(spark):
     e = annex.orderBy("n").collect()
     assert e[0]["numbers"] == ["4", "5"] and e[0]["answer"] == ["Beides.", "Ende."] and e[0]["tables"][0]["after"] == 1 and '"colspan": 2' in e[0]["tables"][0]["cells"]
     assert e[1]["answered"] is False
+    own = spark.createDataFrame([("f0", "21/1002"), ("f0", "21/7")], "path string, document string")
+    path = annex.head()["path"]
+    assert {r["document"] for r in Q.annex_answers(blobs(spark, ANNEX.encode()), own.withColumn("path", F.lit(path))).collect()} == {"21/1002"}
+    assert {r["document"] for r in Q.annex_answers(blobs(spark, ANNEX.encode()), own.where("document = '21/7'").withColumn("path", F.lit(path))).collect()} == {"21/2"}
     calls = spark.createDataFrame([("21/2", 3, "4", "Zuerst gelesen?", "Muster")], "drucksache_number string, after_speeches int, number string, text string, name string")
     got = {r["id"]: (r["text"], r["name"]) for r in Q.question_texts(calls, annex).collect()}
     assert got == {
