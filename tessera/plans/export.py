@@ -4,24 +4,35 @@ from __future__ import annotations
 
 import csv
 import gzip
+import hashlib
 import io
 import json
 import os
 import shutil
-from collections.abc import Mapping
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from itertools import accumulate
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from tessera.operators.rounds import cut
 from tessera.plans.schemas import TABLES, Table
 
 _KINDS = {T.IntegerType: "integer", T.LongType: "integer", T.BooleanType: "integer", T.DoubleType: "number"}
 
 
+#: Rows of a gzip member: what one task writes at a time.
+MEMBER_ROWS = 1 << 16
+
+_MEMBER = "member long, rows long, digest binary, content binary"
+
+
 def printable(df: DataFrame, t: Table) -> DataFrame:
-    """The public columns as they are written: dates and numbers as text, booleans as 0 and 1, lists as JSON."""
+    """The public columns as they are written, in the order of the key: dates and numbers as text, booleans as 0 and 1, lists as JSON."""
 
     def cell(f: T.StructField) -> Column:
         c = F.col(f.name)
@@ -34,16 +45,66 @@ def printable(df: DataFrame, t: Table) -> DataFrame:
     return df.orderBy(*t.key).select(*(cell(f) for f in t.schema if f.name in t.public))
 
 
-def write_csv(df: DataFrame, columns: list[str], path: Path) -> int:
-    """Streams sorted rows through gzip without a time stamp (K9): one partition at a time reaches the driver."""
-    n = 0
-    with open(path, "wb") as raw, gzip.GzipFile("", "wb", 6, raw, mtime=0) as z, io.TextIOWrapper(z, "utf-8", newline="") as out:
-        w = csv.writer(out, lineterminator="\n")
-        w.writerow(columns)
-        for row in df.toLocalIterator(prefetchPartitions=True):
-            w.writerow(["" if v is None else v for v in row])
-            n += 1
-    return n
+def _packed(rows: Iterable[Sequence[str | None]]) -> bytes:
+    """Rows as CSV in one gzip member without a time stamp."""
+    text = io.StringIO(newline="")
+    csv.writer(text, lineterminator="\n").writerows(["" if v is None else v for v in row] for row in rows)
+    return gzip.compress(text.getvalue().encode(), 6, mtime=0)
+
+
+def members(df: DataFrame, rows: int = MEMBER_ROWS) -> DataFrame:
+    """The sorted rows of ``df`` as gzip members of ``rows`` rows each: member (from 0), rows, digest, content.
+
+    What a member holds depends on the rows' order only, not on how Spark has cut the sort into partitions: a row's
+    place is its place in its partition, kept as it was sorted, behind the rows of the partitions before.
+    """
+    spark, columns = df.sparkSession, df.columns
+    placed = cut(df.select(F.struct(*columns).alias("row"), F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("at")))
+    sizes = {r["part"]: r["n"] for r in placed.groupBy("part").agg(F.count("*").alias("n")).collect()}  # a row a partition
+    parts = sorted(sizes)
+    ahead = dict(zip(parts, accumulate([0, *(sizes[k] for k in parts)]), strict=False))
+    before = spark.createDataFrame(list(ahead.items()), "part int, ahead long")
+    number = placed.join(F.broadcast(before), "part").withColumn("number", F.col("ahead") + F.col("at"))  # a row a partition
+    kinds = to_arrow_schema(spark.createDataFrame([], _MEMBER).schema)
+
+    def pack(table: pa.Table) -> pa.Table:
+        ordered = table.sort_by("number")
+        content = _packed(tuple(r.values()) for r in ordered.column("row").to_pylist())
+        member = ordered.column("number")[0].as_py() // rows
+        return pa.Table.from_pylist([{"member": member, "rows": len(ordered), "digest": hashlib.sha256(content).digest(), "content": content}], schema=kinds)
+
+    return number.select("number", "row", F.floor(F.col("number") / rows).alias("member")).groupBy("member").applyInArrow(pack, _MEMBER)
+
+
+def write_csv(df: DataFrame, columns: list[str], path: Path, rows: int = MEMBER_ROWS) -> tuple[int, str]:
+    """Writes the sorted rows as one gzip file (K9); gives their number and a digest.
+
+    Tasks pack members and then write each at its place in the file, which driver and executors share; only sizes and
+    digests come to the driver. The same rows give the same bytes. The digest is the SHA-256 of the
+    members' SHA-256s, the header's first.
+    """
+    head = _packed([columns])
+    made = cut(members(df, rows))
+    listed = sorted(tuple(r) for r in made.select("member", "rows", F.length("content").alias("size"), "digest").collect())  # a row a member
+    ends = list(accumulate([len(head), *(size for _, _, size, _ in listed)]))
+    with open(path, "wb") as f:
+        f.write(head)
+        f.truncate(ends[-1])
+    places = made.sparkSession.createDataFrame([(m[0], at) for m, at in zip(listed, ends, strict=False)], "member long, at long")
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            with open(path, "r+b") as f:
+                for at, content in zip(b.column("at").to_pylist(), b.column("content").to_pylist(), strict=True):
+                    f.seek(at)
+                    f.write(content)
+                f.flush()
+                os.fsync(f.fileno())
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows]})
+
+    made.join(F.broadcast(places), "member").select("at", "content").mapInArrow(put, "n long").agg(F.sum("n")).collect()
+    digest = hashlib.sha256(b"".join([hashlib.sha256(head).digest(), *(bytes(m[3]) for m in listed)])).hexdigest()
+    return sum(m[1] for m in listed), digest
 
 
 def resource(t: Table) -> dict:
@@ -98,7 +159,8 @@ def publish(made: Path, target: Path) -> None:
 
 
 def write_export(tables: Mapping[str, DataFrame], target: str | Path, title: str, created: str) -> list[dict]:
-    """Writes every table of ``tables`` and the description; on any error the old export stays untouched."""
+    """Writes every table of ``tables`` and the description into a folder that driver and executors share; on any error the
+    old export stays untouched."""
     target = Path(target).resolve()
     target.parent.mkdir(parents=True, exist_ok=True)
     made = target.with_name(f".{target.name}.tmp-{os.getpid()}")
@@ -109,8 +171,8 @@ def write_export(tables: Mapping[str, DataFrame], target: str | Path, title: str
         for name in sorted(tables):
             t = TABLES[name]
             path = made / f"{name}.csv.gz"
-            n = write_csv(printable(tables[name], t), t.public, path)
-            resources.append(resource(t) | {"bytes": path.stat().st_size})
+            n, digest = write_csv(printable(tables[name], t), t.public, path)
+            resources.append(resource(t) | {"bytes": path.stat().st_size, "members_digest": digest})
             written.append({"name": path.name, "rows": n, "bytes": path.stat().st_size})
         latest = tables["sitting"].agg(F.max("date").cast("string").alias("d")).first()["d"] if "sitting" in tables else None
         package = {"profile": "data-package", "name": "tessera-export", "title": title, "created": created, "latest_sitting_date": latest, "resources": resources}

@@ -1,5 +1,7 @@
+import csv
 import datetime
 import gzip
+import io
 import json
 
 import pytest
@@ -8,7 +10,7 @@ from pyspark.sql import types as T
 
 from tessera.operators.checks import orphans
 from tessera.plans import export, health, queries, schemas, steps
-from tessera.plans.store import Store
+from tessera.plans.store import Conflict, Store
 
 D = datetime.date
 P = {"source_url": "u", "source_document_id": "d", "retrieved_at": "t"}
@@ -337,6 +339,54 @@ def test_store_keeps_versions(spark, tmp_path):
     assert set(s.tables()) == set(schemas.TABLES)
 
 
+def test_export_in_members(spark, tmp_path):
+    """The file is the same however the rows are cut into partitions, and reads as one gzip file."""
+    rows_ = [(f"k{k:04d}", None if k % 7 == 0 else f'a "b", {k}\nc') for k in range(1000)]
+    df = spark.createDataFrame(rows_, "id string, text string")
+    for k, made in enumerate((df.repartition(1), df.repartition(7), df.repartition(3))):
+        n, digest = export.write_csv(made.orderBy("id"), ["id", "text"], tmp_path / f"{k}.gz", rows=64)
+        assert n == 1000 and len(digest) == 64
+    a, b, c = ((tmp_path / f"{k}.gz").read_bytes() for k in range(3))
+    assert a == b == c
+    read = list(csv.reader(io.StringIO(gzip.decompress(a).decode(), newline="")))
+    assert read == [["id", "text"], *([i, t or ""] for i, t in rows_)]
+    assert export.write_csv(df.where("false").orderBy("id"), ["id", "text"], tmp_path / "none.gz")[0] == 0
+    assert gzip.decompress((tmp_path / "none.gz").read_bytes()) == b"id,text\n"
+
+
+def test_two_writers_at_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = f"file://{tmp_path}/store"
+    Store(spark, root).write({"party_fraction": spark.createDataFrame([("p", "f")], "party string, fraction string")})
+    make = {
+        "party_fraction": lambda k: spark.createDataFrame([(f"p{k}", "f")], "party string, fraction string"),
+        "hib_drucksache": lambda k: spark.createDataFrame([(f"h{k}", f"21/{k}", 1)], "hib_id string, drucksache_number string, position int"),
+    }
+
+    def writer(name):
+        return [Store(spark, root).write({name: make[name](k)}, keep=50) for k in range(5)]
+
+    with ThreadPoolExecutor(2) as pool:
+        numbers = list(pool.map(writer, make))
+    assert sorted(n for each in numbers for n in each) == list(range(2, 12)) == Store(spark, root).versions()[1:]
+    s = Store(spark, root)
+    assert s.table("party_fraction").head()["party"] == "p4" and s.table("hib_drucksache").head()["drucksache_number"] == "21/4"
+    assert s.tables(1)["hib_drucksache"].count() == 0 and s.tables(1)["party_fraction"].head()["party"] == "p"
+    assert all(a < b for each in numbers for a, b in zip(each, each[1:], strict=False))
+
+
+def test_a_conflict_leaves_the_other_writers_version(spark, tmp_path):
+    s = Store(spark, f"file://{tmp_path}/store")
+    one = lambda x: {"party_fraction": spark.createDataFrame([(x, "f")], "party string, fraction string")}
+    read = s.write(one("a"))
+    s.write(one("b"))
+    with pytest.raises(Conflict):
+        s.write(one("c"), read=read)
+    assert s.table("party_fraction").head()["party"] == "b" and len(list((tmp_path / "store/party_fraction").iterdir())) == 2
+    assert s.write(one("d"), read=s.image()[0]) == 3
+
+
 def test_orphans(spark, store):
     assert orphans(store["speech"], "person_id", store["person"], "id").count() == 0
 
