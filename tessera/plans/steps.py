@@ -618,15 +618,16 @@ def decisions(chair: DataFrame, votes: DataFrame, period: int, items: DataFrame
                 d.counts = (int(totals[vote]["yes"]), int(totals[vote]["no"]), 0)
         later = D.Reader(period, [d for d in reader.waiting if any(d is x for x in found)])
         later.read(stream(said[said["day"] == 1]))
-        every = own.drop_duplicates("agenda_item_id")
+        every = own.sort_values("paragraph").drop_duplicates("agenda_item_id")
         known = [(i, x or "", [] if n is None else list(n)) for i, x, n in zip(every["agenda_item_id"], every["label"], every["documents"], strict=True)]
         rows, n = [], {"namentlich": 0, "handzeichen": 0}
-        for k, (d, i, vote) in enumerate(zip(found, D.anchored(found, sitting), linked, strict=True), start=1):
+        places = D.items_of(found, known)
+        for k, (d, i, vote, item) in enumerate(zip(found, D.anchored(found, sitting), linked, places, strict=True), start=1):
             n[d.kind] += 1
             result = d.result
             if result is None and vote and totals[vote]["yes"] != totals[vote]["no"]:
                 result = D.ADOPTED if totals[vote]["yes"] > totals[vote]["no"] else D.REJECTED
-            rows.append((sitting, vote or i, D.item_of(d, known), n[d.kind], k, d.kind, d.subject, d.number, result, vote, d.text, d.at, d.fractions))
+            rows.append((sitting, vote or i, item, n[d.kind], k, d.kind, d.subject, d.number, result, vote, d.text, d.at, d.fractions))
         return pd.DataFrame(rows, columns=names)
 
     near = spoken.join(beside, "sitting_id").groupBy("group")

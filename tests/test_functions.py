@@ -168,13 +168,49 @@ def test_totals_of_another_day():
     assert (opened[0].result, opened[0].counts) == ("abgelehnt", (20, 30, 0))
 
 
+AGENDA = [("a", "Tagesordnungspunkt 3", ["21/1"]), ("b", "Tagesordnungspunkt 4", ["21/1", "21/2"]), ("c", "Zusatzpunkt 8, 9", ["21/8"]), ("d", "Einzelpläne 17 bis 19", []), ("e", "Tagesordnungspunkt 4c", [])]
+
+
+def placed(*said, read_under="a"):
+    made = [decisions.Decision(i, "handzeichen", "x", number, None, text, 1, None) for text, number, i in ((*x, read_under)[:3] for x in said)]
+    return decisions.items_of(made, AGENDA)
+
+
 @pytest.mark.parametrize(
     "text, number, want",
-    [("Zusatzpunkt 9. Wer stimmt dafür?", None, "c"), ("Ich komme zu TOP 4b.", "21/9", "b"), ("Wer stimmt dafür?", "21/8", "c"), ("Wer stimmt dafür?", "21/77", "a"), ("Wer stimmt dafür?", "21/1", "a")],
+    [
+        ("Zusatzpunkt 9. Wer stimmt dafür?", None, "c"),
+        ("Ich komme zu TOP 4b.", "21/9", "e"),
+        ("Wer stimmt dafür?", "21/8", "c"),
+        ("Wer stimmt dafür?", "21/77", "a"),
+        ("Wer stimmt dafür?", "21/1", "a"),
+        ("Die Debatte zu Tagesordnungspunkt 5 folgt. Wer ist für Tagesordnungspunkt 4?", None, "a"),
+        ("Damit kehren wir zurück in die Debatte zu Zusatzpunkt 8. Wer stimmt dafür?", None, "a"),
+        ("Ich komme zurück zum Tagesordnungspunkt 4a und bitte alle herein.", None, "e"),
+        ("Wir kommen jetzt noch einmal zum Zusatzpunkt 8. Ich komme nun zu Einzelplan 18.", None, "d"),
+        ("Wir stimmen über den Antrag ab, der zu Tagesordnungspunkt 4 gehört.", None, "a"),
+        ("Tagesordnungspunkt 77. Wer stimmt dafür?", "21/8", "c"),
+    ],
 )
 def test_the_item_of_a_decision(text, number, want):
-    items = [("a", "Tagesordnungspunkt 3", ["21/1"]), ("b", "Tagesordnungspunkt 4", ["21/1", "21/2"]), ("c", "Zusatzpunkt 8, 9", ["21/8"])]
-    assert decisions.item_of(decisions.Decision("a", "handzeichen", "x", number, None, text, 1, None), items) == want
+    assert placed((text, number)) == [want]
+
+
+def test_items_follow_the_decision_before():
+    vote = ("Wer stimmt dafür?", None)
+    assert placed(("Zusatzpunkt 9. Wer stimmt dafür?", None), vote, ("Wer stimmt dafür?", "21/1"), vote) == ["c", "c", "a", "a"]
+    assert placed(("Zusatzpunkt 9. Wer stimmt?", None, "a"), (*vote, "b"), (*vote, "b")) == ["c", "b", "b"]
+    # A point in two items: the one it was read under, else the latest before.
+    assert placed(("Tagesordnungspunkt 4. Abstimmung.", None), read_under="b") == ["b"]
+    assert placed(("Tagesordnungspunkt 4. Abstimmung.", None), read_under="d") == ["b"]
+    # A document in two items tells nothing, nor does one in none.
+    assert placed(("Wer stimmt dafür?", "21/1", "c"), ("Wer stimmt dafür, auf Drucksache 21/2?", "21/1", "c")) == ["c", "b"]
+
+
+def test_labels():
+    assert decisions.called("Tagesordnungspunkt 8 und Zusatzpunkt 4") == {("TOP", "8"), ("ZP", "4")}
+    assert decisions.called("Einzelpläne 17 bis 19") == {("EP", "17"), ("EP", "18"), ("EP", "19")} == decisions.called("Einzelpläne 17-19")
+    assert decisions.called("Zusatzpunkt 28, 29 auf Drucksache 21/5") == {("ZP", "28"), ("ZP", "29")}
 
 
 @pytest.mark.parametrize(
