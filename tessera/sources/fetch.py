@@ -20,6 +20,10 @@ class Unavailable(RuntimeError):
     """No usable answer after all tries."""
 
 
+class Missing(Unavailable):
+    """There is no such thing, or not yet (404)."""
+
+
 class Blocked(RuntimeError):
     """The other side answers a page for robots where data are expected."""
 
@@ -46,6 +50,8 @@ class Client:
             if status < 400:
                 return body
             problem = f"status {status}"
+            if status == 404:
+                raise Missing(f"{url}: {problem}")
             if status != 429 and status < 500:
                 break
         raise Unavailable(f"{url}: {problem}")
