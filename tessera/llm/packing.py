@@ -27,8 +27,11 @@ CAPACITY = 2048
 PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long, part int, rank long"
 
 
-#: Runs from which a text goes to ``tokenizers``: there tiktoken's pattern runs out of stack (blanks) or its merging takes the square of the run (others).
-_LONG_RUN = re.compile(r"\s{2000}|\S{2000}")
+#: Runs of blanks or of anything else up to this long are tiktoken's; longer ones go to ``tokenizers``: there tiktoken's
+#: pattern runs out of stack (blanks) or its merging takes the square of the run (others).
+LONGEST_RUN = 1999
+# Possessive: no run is looked at twice.
+_SHORT_RUNS = re.compile(r"(?:\s{1,%d}+(?!\s)|\S{1,%d}+(?!\S))*+" % (LONGEST_RUN, LONGEST_RUN))
 
 
 class ByteBpe:
@@ -53,7 +56,7 @@ class ByteBpe:
         self._slow = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
 
     def __call__(self, text: str) -> list[int]:
-        if _LONG_RUN.search(text):
+        if not _SHORT_RUNS.fullmatch(text):
             return self._slow.encode(text, add_special_tokens=False).ids
         return self._own.encode(text, allowed_special="all")
 
@@ -77,12 +80,12 @@ class Sums:
     A combination is kept by its largest member: a pair's other one is the difference, a
     triple's other two are a pair of the difference. Counts only ever go down, so a
     combination that they no longer allow is dropped when it is met: over a whole plan
-    each is dropped once. ``depth`` 1 leaves out pairs and triples.
+    each is dropped once.
     """
 
-    def __init__(self, counts: np.ndarray, depth: int = 3):
-        self.counts, self.depth = counts, depth
-        lengths, most = np.flatnonzero(counts) if depth > 1 else np.zeros(0, np.int64), len(counts) - 1
+    def __init__(self, counts: np.ndarray):
+        self.counts = counts
+        lengths, most = np.flatnonzero(counts), len(counts) - 1
         i, j = np.triu_indices(len(lengths))
         self.pairs = self._hashed(lengths[i] + lengths[j], lengths[j], most)
         sums = np.array(sorted(self.pairs), np.int64)
@@ -126,9 +129,15 @@ class Sums:
     def single(self, total: int, held: tuple[int, ...] = ()) -> tuple[int, ...] | None:
         return (total,) if 0 < total < len(self.counts) and self._allows((total,), held) else None
 
-    def others(self, gap: int, length: int) -> tuple[int, ...] | None:
-        """One or two lengths that fill what ``length`` leaves of ``gap``."""
-        return self.single(gap - length, (length,)) or self.pair(gap - length, (length,))
+    def filling(self, gap: int, held: tuple[int, ...]) -> tuple[int, ...] | None:
+        """A single length, a pair or a triple that fills ``gap`` exactly and holds the largest length that fits it, without the pieces ``held``."""
+        there = [x for x in np.flatnonzero(self.counts[: gap + 1])[-len(held) - 1 :].tolist() if self._allows((x,), held)]
+        if not there:
+            return None
+        for find in (self.single, self.pair, self.triple):
+            if (found := find(gap, held)) and found[0] == there[-1]:
+                return found
+        return None
 
 
 def _times(counts: np.ndarray, lengths: list[int]) -> int:
@@ -143,40 +152,59 @@ def _take(counts: np.ndarray, lengths: list[int], times: int) -> None:
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, list[int]]]:
     """Runs (times, lengths of the pieces of one sequence) that use up the histogram.
 
-    Complements of one, then two, then three lengths that the index of sums names are
-    consumed first; residuals go best-fit, again with what the index names for a gap.
-    Pairs and triples can use up small pieces that later gaps need: where complements of
-    one length and plain best-fit need fewer sequences, that plan is taken.
+    Combinations that the index of sums names for what a piece leaves of a sequence are consumed first, the residuals
+    go best-fit. Combinations use up small pieces, which residuals may need: they are given back from the last one
+    on, by halves, as long as the whole then needs fewer sequences, so it never needs more than best-fit alone.
     """
     counts = np.zeros(capacity + 1, np.int64)
     for k, n in histogram.items():
         if not 0 < k <= capacity:
             raise ValueError(f"no piece of {k} fits a sequence of {capacity}")
         counts[k] += n
-    plans = []
-    for depth in (3, 1):
+    consumed = _combinations(counts.copy(), capacity)
+    best: list[tuple[int, list[int]]] = []
+    keep = len(consumed)
+    while True:
         left = counts.copy()
-        sums = Sums(left, depth)
-        plans.append(_complements(left, capacity, sums) + _fit(left, capacity, sums))
-    return min(plans, key=lambda runs: sum(n for n, _ in runs))
+        for times, lengths in consumed[:keep]:
+            _take(left, lengths, times)
+        whole = consumed[:keep] + _complements(left, capacity) + _fit(left, capacity)
+        if not best or sum(n for n, _ in whole) < sum(n for n, _ in best):
+            best = whole
+        if not keep:
+            return best
+        keep //= 2
+
+
+def _combinations(counts: np.ndarray, capacity: int) -> list[tuple[int, list[int]]]:
+    """Sequences filled exactly by a piece and one, two or three others, for each piece in turn, the longest first.
+
+    Only combinations that hold the largest piece that would fit are taken: others would spend small pieces where a
+    larger one finds room.
+    """
+    runs, sums = [], Sums(counts)
+    for opener in range(capacity - 1, 0, -1):
+        while counts[opener] and (rest := sums.filling(capacity - opener, (opener,))):
+            lengths = [opener, *rest]
+            runs.append((times := _times(counts, lengths), lengths))
+            _take(counts, lengths, times)
+    return runs
 
 
-def _complements(counts: np.ndarray, capacity: int, sums: Sums) -> list[tuple[int, list[int]]]:
-    """Sequences filled exactly by an opener and the lengths that the index names for the rest."""
+def _complements(counts: np.ndarray, capacity: int) -> list[tuple[int, list[int]]]:
+    """Whole sequences, and those of two pieces that fill one exactly."""
     runs = [(int(counts[capacity]), [capacity])] if counts[capacity] else []
     counts[capacity] = 0
-    for find in (sums.single, sums.pair, sums.triple)[: sums.depth]:
-        for opener in range(capacity - 1, 0, -1):
-            while counts[opener] and (rest := find(capacity - opener, (opener,))):
-                lengths = [opener, *rest]
-                runs.append((times := _times(counts, lengths), lengths))
-                _take(counts, lengths, times)
+    for opener in range(capacity - 1, 0, -1):
+        lengths = [opener, capacity - opener]
+        if counts[opener] and (times := _times(counts, lengths)):
+            runs.append((times, lengths))
+            _take(counts, lengths, times)
     return runs
 
 
-def _fit(counts: np.ndarray, capacity: int, sums: Sums) -> list[tuple[int, list[int]]]:
-    """Each length in turn, longest first: into gaps that it fills alone or, by ``sums``, with others, then into the
-    smallest gaps that it fits."""
+def _fit(counts: np.ndarray, capacity: int) -> list[tuple[int, list[int]]]:
+    """Each length in turn, longest first, into the smallest gaps that it fits."""
     by_gap: list[list[tuple[int, list[int]]]] = [[] for _ in range(capacity + 1)]
     gaps = np.zeros(capacity + 1, bool)
 
@@ -196,9 +224,6 @@ def _fit(counts: np.ndarray, capacity: int, sums: Sums) -> list[tuple[int, list[
     for length in range(capacity, 0, -1):
         while counts[length] and gaps[length]:
             fill(length, [length])
-        for gap in (np.flatnonzero(gaps[length + 1 :]) + length + 1).tolist() if sums.depth > 1 and counts[length] else ():
-            while counts[length] and gaps[gap] and (others := sums.others(gap, length)):
-                fill(gap, [length, *others])
         n = int(counts[length])
         counts[length] = 0
         while n:

@@ -141,12 +141,46 @@ def test_sums_name_what_counts_allow(histogram, gap):
     assert (found is not None) == bool(triples)
     if found:
         assert sum(found) == gap and not Counter(found) - Counter(histogram)
-    if pieces:
-        rest = pieces[:-1]
-        two = gap - pieces[-1] in rest
-        three = any(rest[i] + rest[j] == gap - pieces[-1] for j in range(len(rest)) for i in range(j))
-        found = sums.others(gap, pieces[-1])
-        assert (found is not None) == (two or three)
+    top = max((x for x in pieces if x <= gap), default=None)
+    found = sums.filling(gap, ())
+    fills = top == gap or (top is not None and any(x[0] == top for x in pairs | triples))
+    assert (found is not None) == fills
+    if found:
+        assert sum(found) == gap and found[0] == top and not Counter(found) - Counter(histogram)
+
+
+def log_normal(seed, n):
+    rng = np.random.default_rng(seed)
+    tokens = np.exp(rng.normal(rng.uniform(4, 7.2), rng.uniform(0.5, 1.6), n)).astype(int) + 1
+    return Counter(length for x in tokens for _, length in P.cut(int(x), 2048))
+
+
+def test_the_plan_never_needs_more_than_best_fit():
+    with_more = 0
+    for seed in range(32):
+        histogram = log_normal(seed, [300, 1000, 3000, 20000][seed % 4])
+        runs = P.plan(histogram)
+        assert _used(runs) == histogram
+        left = np.zeros(2049, np.int64)
+        for k, n in histogram.items():
+            left[k] = n
+        alone = P._complements(left, 2048) + P._fit(left, 2048)
+        assert sum(n for n, _ in runs) <= sum(n for n, _ in alone)
+        with_more += any(len(lengths) > 2 and sum(lengths) == 2048 for _, lengths in runs)
+    assert with_more > 20  # filled exactly by three pieces or more
+
+
+def test_runs_are_found_in_linear_time():
+    import time
+
+    encode = P.tokenizer("byte_bpe_50k")
+    began = time.perf_counter()
+    encode(("中文字符" * 450 + "\n") * 555)
+    for text in (("x" * 1990 + " ") * 500, "x" * 1_000_000, " " * 1_000_000):
+        P._SHORT_RUNS.fullmatch(text)
+    assert time.perf_counter() - began < 2
+    short = P._SHORT_RUNS.fullmatch
+    assert short("") and short("a" * 1999 + " b") and not short("a" * 2000) and not short("b " + "\n" * 2000 + "c") and short(" " * 1999)
 
 
 def test_plan_refuses_what_cannot_fit():
