@@ -206,6 +206,68 @@ def windows(text: bytes | None, width: int) -> list[tuple[bytes, ...]]:
     return [tuple(w[i : i + width]) for i in range(len(w) - width + 1)]
 
 
+@dataclass
+class Block:
+    """The windows of some items as places in their words, some fourteen bytes a window; who needs one cuts it out."""
+
+    names: list[str]
+    terms: list[bytes]
+    words: np.ndarray  # of all items, as numbers of terms
+    first: np.ndarray  # where each item's words begin, and where the last one's end
+    start: np.ndarray  # of each window, by its rarest term, equal windows next to each other
+    length: np.ndarray
+    item: np.ndarray
+    under: dict[bytes, tuple[int, int]]  # which windows wait under a term
+
+    @classmethod
+    def of(cls, items: list[tuple[str, bytes]]) -> Block:
+        """The items' words; ``wait`` adds the windows."""
+        ids: dict[bytes, int] = {}
+        each = [np.array([ids.setdefault(w, len(ids)) for w in words(text)], np.int32) for _, text in items]
+        none = np.zeros(0, np.int64)
+        first = np.concatenate([[0], np.cumsum([len(x) for x in each])]).astype(np.int64)
+        return cls([i for i, _ in items], list(ids), np.concatenate([*each, np.zeros(0, np.int32)]), first, none, none, none, {})
+
+    def wait(self, width: int, counts: dict[bytes, int]) -> Block:
+        """The windows (see ``windows``) of which the corpus has every term, each under its term of the least count."""
+        order = sorted(range(len(self.terms)), key=lambda k: (counts.get(self.terms[k], -1), self.terms[k]))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        absent = sum(t not in counts for t in self.terms)  # those have the least ranks
+        r, sizes = rank[self.words], np.diff(self.first)
+        long = np.flatnonzero(sizes >= width)
+        starts = [self.first[long[k]] + np.arange(sizes[long[k]] - width + 1) for k in range(len(long))]
+        start = np.concatenate([*starts, self.first[:-1][(sizes > 0) & (sizes < width)]]).astype(np.int64)
+        length = np.minimum(width, self.first[np.searchsorted(self.first, start, side="right")] - start)
+        rarest, hashed = np.full(len(start), len(order), np.int64), np.zeros(len(start), np.uint64)
+        for j in range(width):
+            there = length > j
+            at = np.where(there, start + j, 0)
+            rarest = np.where(there, np.minimum(rarest, r[at]), rarest)
+            hashed = np.where(there, hashed * np.uint64(0x9E3779B97F4A7C15) + self.words[at].astype(np.uint64) + np.uint64(1), hashed)
+        by = np.lexsort((start, hashed, rarest))
+        by = by[rarest[by] >= absent]
+        keys, begins = np.unique(rarest[by], return_index=True)
+        ends = [*begins[1:].tolist(), len(by)][: len(keys)]
+        under = {self.terms[order[k]]: (a, z) for k, a, z in zip(keys.tolist(), begins.tolist(), ends, strict=True)}
+        item = np.searchsorted(self.first, start[by], side="right") - 1
+        return Block(self.names, self.terms, self.words, self.first, start[by].astype(np.int32), length[by].astype(np.int16), item.astype(np.int32), under)
+
+    def waiting(self, term: bytes) -> Iterator[tuple[tuple[bytes, ...], list[str]]]:
+        """The different windows under ``term``, each with the ids of its items."""
+        held, ids = None, set()
+        for k in range(*self.under.get(term, (0, 0))):
+            at = int(self.start[k])
+            w = tuple(self.terms[i] for i in self.words[at : at + int(self.length[k])].tolist())
+            if w != held and held is not None:
+                yield held, sorted(ids)
+                ids = set()
+            held = w
+            ids.add(self.names[self.item[k]])
+        if held is not None:
+            yield held, sorted(ids)
+
+
 def blocks(items: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tuple[str, bytes]]]:
     """The query set in blocks of at most ``limit`` bytes of text (a longer item is a block), so that each can be sent to all workers."""
     q = items.select(
@@ -236,19 +298,12 @@ def search(index: DataFrame, block: list[tuple[str, bytes]], width: int, span: i
     ``span``, ``near`` and ``near_items`` are of stretches of at most so many words that
     hold all words of a window in any order, else empty.
     """
-    by_window: dict[tuple[bytes, ...], set[str]] = {}
-    for item_id, text in block:
-        for w in windows(text, width):
-            by_window.setdefault(w, set()).add(item_id)
-    counts = term_counts(index, {t for w in by_window for t in w}) if by_window else {}
-    under: dict[bytes, list[tuple[tuple[bytes, ...], list[str]]]] = {}
-    for w, ids in by_window.items():
-        if all(t in counts for t in w):
-            under.setdefault(min(w, key=lambda t: (counts[t], t)), []).append((w, sorted(ids)))
-    sent = index.sparkSession.sparkContext.broadcast((set(counts), under))  # within BLOCK_BYTES of text
+    read = Block.of(block)
+    counts = term_counts(index, set(read.terms)) if read.terms else {}
+    sent = index.sparkSession.sparkContext.broadcast((set(counts), read.wait(width, counts)))  # within some ten times BLOCK_BYTES
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
-        wanted, under = sent.value
+        wanted, held = sent.value
         for b in batches:
             for k, number in enumerate(b["segment"]):
                 s = Segment.of(*(b[c][k] for c in ("term", "n_postings", "gaps", "first_position", "n_words")), wanted)
@@ -256,7 +311,7 @@ def search(index: DataFrame, block: list[tuple[str, bytes]], width: int, span: i
                 exact, loose = _Found(s), _Found(s)
                 lists: dict[bytes, np.ndarray] = {}
                 for t in s.place:
-                    for w, ids in under.get(t, ()):
+                    for w, ids in held.waiting(t):
                         for p in s.phrase(w, lists).tolist():
                             exact.add(p, p + len(w) - 1, ids)
                         for first, last in s.near(w, span, lists) if span else ():

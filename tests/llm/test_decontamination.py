@@ -53,6 +53,42 @@ def test_blocks_of_the_query_set(spark, awkward, awkward_docs, monkeypatch):
     assert digest(found) == brute([(d, t) for d, t, *_ in awkward], q, 10)
 
 
+def test_windows_of_a_block():
+    import random
+
+    rng = random.Random(3)
+    q = [(str(k), " ".join(rng.choice("abcdefgh") for _ in range(rng.choice([0, 1, 3, 4, 5, 30]))).encode()) for k in range(60)]
+    counts = {x.encode(): n for n, x in enumerate("cabdgfe", 1)}  # no h
+    for width in (1, 4, 50):
+        b = D.Block.of(q).wait(width, counts)
+        got = {w: ids for t in b.terms for w, ids in b.waiting(t) if not (t != min(w, key=counts.get))}
+        want = {}
+        for i, t in q:
+            for w in D.windows(t, width):
+                if b"h" not in w:
+                    want.setdefault(w, set()).add(i)
+        assert got == {w: sorted(ids) for w, ids in want.items()}
+        assert sum(1 for t in b.terms for _ in b.waiting(t)) == len(want)
+
+
+def test_a_full_block_is_bounded():
+    """16 MB of items: what the driver holds and what is sent stay under 300 MB."""
+    import pickle
+    import random
+    import tracemalloc
+
+    rng = random.Random(1)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(60_000)]
+    q = [(str(k), " ".join(rng.choices(vocabulary, k=400)).encode()) for k in range(6300)]
+    assert sum(len(t) for _, t in q) > 15 << 20
+    tracemalloc.start()
+    read = D.Block.of(q)
+    block = read.wait(10, {t: k for k, t in enumerate(read.terms)})
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(block.start) > 2_000_000 and peak < 300e6 and len(pickle.dumps(block)) < 100e6
+
+
 def test_empty_tables(spark, awkward_docs, no_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     one = spark.createDataFrame([(1, "a b")], "item_id long, text string")
