@@ -274,4 +274,26 @@ g AS (SELECT *, CASE WHEN NOT main AND (nth = 1 OR (after_main AND said - before
 SELECT speech, event_id, CASE WHEN NOT main THEN last_value(CASE WHEN start_id IS NOT NULL THEN kind END IGNORE NULLS) OVER p END AS interruption,
        CAST(CASE WHEN NOT main THEN last_value(start_id IGNORE NULLS) OVER p END AS VARCHAR) AS interruption_start
 FROM g WINDOW p AS (PARTITION BY speech, event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+    "step_votes_to_items": f"""
+WITH li AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, CAST(o_orderdate AS VARCHAR) AS sitting_id, o_custkey AS position,
+            l_orderkey || '-' || l_linenumber || '-' || l_partkey AS line FROM lineitem JOIN {_O} ON l_orderkey = o_orderkey),
+items AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS item, sitting_id, position, l_partkey FROM li WHERE l_linenumber > 1),
+listed AS (SELECT v.line, arg_min(item, i.position) AS item FROM li v JOIN items i ON v.sitting_id = i.sitting_id AND v.l_partkey = i.l_partkey WHERE v.l_linenumber <= 2 GROUP BY 1),
+decided AS (SELECT line, arg_max(CAST(l_orderkey AS VARCHAR), l_suppkey) AS item FROM li WHERE l_linenumber = 1 AND l_returnflag = 'R' GROUP BY 1)
+SELECT li.line AS vote_id, li.sitting_id, coalesce(d.item, x.item) AS agenda_item_id FROM li LEFT JOIN decided d ON li.line = d.line LEFT JOIN listed x ON li.line = x.line WHERE l_linenumber <= 2""",
+    "step_procedures_of_numbers": """
+WITH names AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+crowd AS (SELECT l_partkey, count(*) AS n FROM names GROUP BY 1)
+SELECT DISTINCT '21/' || p_partkey AS number, CAST(l_suppkey AS VARCHAR) AS vorgang_id FROM names JOIN part ON l_partkey = p_partkey JOIN crowd USING (l_partkey)
+JOIN supplier ON s_suppkey = l_suppkey AND s_acctbal > 0 WHERE p_size % 5 <> 0 AND NOT (p_size % 2 = 0 AND n > 1)""",
+    "step_referrals": f"""
+WITH li AS (SELECT l_orderkey, CAST(o_orderdate AS VARCHAR) AS day, 'Ausschuss ' || l_suppkey % 7 AS committee,
+            row(l_linenumber, l_partkey, 'Ausschuss ' || l_suppkey % 7, 'A' || l_partkey, l_returnflag = 'R', 'Q' || CAST(l_quantity AS INTEGER)) AS n,
+            'A' || l_partkey AS short, l_returnflag = 'R' AS lead, 'Q' || CAST(l_quantity AS INTEGER) AS kind FROM lineitem JOIN {_O} ON l_orderkey = o_orderkey)
+SELECT CAST(l_orderkey AS VARCHAR) AS position_id, committee, min(day) AS vorgang_id, arg_min(short, n) AS committee_short, bool_or(lead) AS "lead", arg_min(kind, n) AS kind FROM li GROUP BY l_orderkey, committee""",
+    "step_retired": """
+SELECT 'pdf-' || c_custkey AS id, c_name FROM customer WHERE c_custkey % 3 > 0
+AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority LIKE '1%' UNION SELECT s_suppkey FROM supplier)""",
+    "portraits_with_names": """
+SELECT CAST(c_custkey AS VARCHAR) AS person_id, s_name AS image_url, c_mktsegment AS first_name, c_name AS last_name FROM supplier JOIN customer ON c_custkey = s_suppkey * 3""",
 }

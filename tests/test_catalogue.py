@@ -7,6 +7,7 @@ import os
 import duckdb
 import pytest
 
+from tessera.plans import records  # noqa: F401 - its queries enter the catalogue
 from tessera.plans.catalogue import CATALOGUE
 from tessera.plans.oracles import ORACLES
 from tessera.session import TABLES
