@@ -48,8 +48,9 @@ def _asks_on(opening: pd.Series) -> pd.Series:
 LONGEST_QUESTION, OPENING = 3, 200
 
 
-def spoken_calls(under: DataFrame, items: DataFrame) -> DataFrame:
-    """Questions that the chair calls and reads out (W11), with the item's first document.
+def spoken_calls(under: DataFrame, items: DataFrame, speeches: DataFrame | None = None) -> DataFrame:
+    """Questions that the chair calls and reads out (W11), with the item's first document and, of ``speeches`` (id,
+    agenda_item_id, position), the first one after the call and before the next, as thread_id.
 
     A question is what the chair says after the call, up to a paragraph that ends in a question mark, if neither a
     speech nor another number comes between: each paragraph looks at the few behind it.
@@ -66,7 +67,15 @@ def spoken_calls(under: DataFrame, items: DataFrame) -> DataFrame:
     said = F.array_join(F.transform(F.slice("behind", 1, ends.cast("int")), lambda p: p["text"]), "\n\n")
     document = items.select(F.col("id").alias("agenda_item_id"), F.get("drucksache_numbers", 0).alias("drucksache_number"))
     found = whole.select("agenda_item_id", F.col("q.number").alias("number"), F.col("q.name").alias("name"), said.alias("text"), "after_speeches", "position")
-    return found.join(document, "agenda_item_id").drop("position")
+    found = found.join(document, "agenda_item_id")
+    if speeches is None:
+        return found.withColumn("thread_id", F.lit(None).cast("string")).drop("position")
+    until = F.lead("after_speeches").over(Window.partitionBy("agenda_item_id").orderBy("position"))
+    asked = found.withColumn("until", until).withColumn("call", F.col("position")).drop("position").withColumn("position", F.col("after_speeches").cast("int"))
+    spoke = speeches.where("agenda_item_id IS NOT NULL").select("agenda_item_id", F.col("position").cast("int").alias("position"), F.col("id").alias("speech"), F.col("position").cast("int").alias("at"))
+    told = link.asof(asked, spoke, ["agenda_item_id"], "position", ["speech", "at"], forward=True, strict=True)
+    thread = F.when(F.col("until").isNull() | (F.col("at") <= F.col("until")), F.col("speech"))
+    return told.withColumn("thread_id", thread).drop("until", "call", "position", "speech", "at")
 
 
 def question_turns(speeches: DataFrame, paragraphs: DataFrame, under: DataFrame, items: DataFrame) -> DataFrame:
@@ -229,9 +238,10 @@ def annex_answers(files: DataFrame, own: DataFrame | None = None) -> DataFrame:
 
 
 def question_texts(calls: DataFrame, annex: DataFrame) -> DataFrame:
-    """question_text rows (P15): those read out first, then the annexes'; of an id that comes twice the first stays. A
-    joint answer is stored with each of its questions."""
-    c = calls.select(F.col("drucksache_number").alias("document"), F.col("after_speeches").alias("_n"), "number", F.lit("frage").alias("part"), "text", "name", F.lit(0).alias("_source"))
+    """question_text rows (P15): those read out first, with their thread, then the annexes'; of an id that comes twice the
+    first stays. A joint answer is stored with each of its questions."""
+    thread = F.col("thread_id") if "thread_id" in calls.columns else F.lit(None).cast("string")
+    c = calls.select(F.col("drucksache_number").alias("document"), F.col("after_speeches").alias("_n"), "number", F.lit("frage").alias("part"), "text", "name", thread.alias("thread_id"), F.lit(0).alias("_source"))
     whole = F.size("questions") == F.size("numbers")
     e = annex.where("name IS NOT NULL AND size(questions) > 0").select("*", F.posexplode("numbers").alias("k", "number"))
     # Where the questions are not one a number, all of them stand with the first number.
@@ -244,7 +254,7 @@ def question_texts(calls: DataFrame, annex: DataFrame) -> DataFrame:
     )
     from tessera.operators.dedup import best_row
 
-    every = c.unionByName(asked).unionByName(told).withColumn("id", F.concat_ws("/", "document", "number", "part"))
+    every = c.unionByName(asked.unionByName(told), allowMissingColumns=True).withColumn("id", F.concat_ws("/", "document", "number", "part"))
     return best_row(every, ["id"], [F.col("_source"), F.col("_n")]).withColumnRenamed("document", "drucksache_number").drop("_source", "_n")
 
 
@@ -256,16 +266,24 @@ def surname(printed: Column) -> Column:
     return last_tokens(normalize_name(F.split(printed, ",")[0]), 1)
 
 
-def spoken_procedures(asked: DataFrame, activities: DataFrame) -> DataFrame:
+def spoken_procedures(asked: DataFrame, activities: DataFrame, listed: DataFrame | None = None) -> DataFrame:
     """Procedures of spoken questions (J15): one asker's questions on a list are paired with the asker's activities by the
-    words that text and title share, else in order.
+    words that text and title share, else in order; a question left over takes the asker's next procedure of the list that
+    none has, as the register may have it under a later sitting.
 
-    ``asked``: document, number, name, text; ``activities``: document, vorgang_id, name, title.
+    ``asked``: document, number, name, text; ``activities``: document, vorgang_id, name, title; ``listed``: document,
+    vorgang_id, name of all procedures on the lists.
     """
     q = asked.select("document", surname(F.col("name")).alias("asker"), F.col("number").cast("int").alias("number"), words(normalize_name(F.col("text")), 4).alias("_q"))
     a = activities.select("document", surname(F.col("name")).alias("asker"), F.col("vorgang_id").cast("long").alias("vorgang"), words(normalize_name(F.col("title")), 4).alias("_a"))
     pairs = q.join(a, ["document", "asker"]).select("document", "asker", "number", "vorgang", overlap_ratio(F.col("_q"), F.col("_a")).alias("score"))
-    best = assign.best_assignment(pairs, ["document", "asker"], "number", "vorgang", "score")
+    best = assign.best_assignment(pairs, ["document", "asker"], "number", "vorgang", "score").select("document", "number", "vorgang")
+    if listed is not None:
+        nth = lambda c: F.row_number().over(Window.partitionBy("document", "asker").orderBy(c)).alias("nth")
+        left = q.join(best, ["document", "number"], "left_anti").select("document", "asker", "number", nth("number"))
+        every = listed.select("document", surname(F.col("name")).alias("asker"), F.col("vorgang_id").cast("long").alias("vorgang")).distinct()
+        free = every.join(best.select("vorgang").distinct(), "vorgang", "left_anti").select("document", "asker", "vorgang", nth("vorgang"))
+        best = best.unionByName(left.join(free, ["document", "asker", "nth"]).select("document", "number", "vorgang"))
     return best.select("document", F.col("number").cast("string").alias("number"), F.col("vorgang").cast("string").alias("vorgang_id"))
 
 

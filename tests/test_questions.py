@@ -41,6 +41,9 @@ def test_questions_read_out(spark):
     items = spark.createDataFrame([("f", ["21/2"])], "id string, drucksache_numbers array<string>")
     calls = Q.spoken_calls(under, items)
     assert rows(calls.select("number", "name", "text", "after_speeches")) == [("2", "Özdemir", "Wie?", 3), ("3", "Max von Muster", "Erster Teil.\n\nWas nun?", 0)]
+    spoke = spark.createDataFrame([("s1", "f", 1), ("s2", "f", 2), ("s4", "f", 5)], "id string, agenda_item_id string, position int")
+    assert rows(Q.spoken_calls(under, items, spoke).select("number", "thread_id")) == [("2", "s4"), ("3", "s1")]
+    assert rows(Q.spoken_calls(under, items, spoke.where("position > 4")).select("number", "thread_id")) == [("2", "s4"), ("3", None)]
     turns = spark.createDataFrame([("s1", "f", 1, "Minister", True), ("s2", "f", 2, "Muster", False), ("s3", "f", 3, "Test", False), ("s4", "f", 5, "Oezdemir", False)], "id string, agenda_item_id string, position int, last_name string, official boolean")
     assert rows(Q.question_times(turns, calls)) == [("s1", "antwort", "s1"), ("s2", "nachfrage", "s1"), ("s3", "zusatzfrage", "s1"), ("s4", "nachfrage", "s4")]
 
@@ -76,6 +79,11 @@ def test_procedures_of_questions(spark):
     asked = spark.createDataFrame([("d", "1", "Max Muster", "Wie steht es um Brücken und Straßen?"), ("d", "2", "Max Muster", "Wann kommen neue Bahnhöfe?")], "document string, number string, name string, text string")
     acts = spark.createDataFrame([("d", "10", "Max Muster, MdB, AfD", "Bahnhöfe in neuer Planung"), ("d", "11", "Max Muster, MdB, AfD", "Zustand von Brücken, Straßen")], "document string, vorgang_id string, name string, title string")
     assert rows(Q.spoken_procedures(asked, acts)) == [("d", "1", "11"), ("d", "2", "10")]
+    # Left over: no activity of the sitting, or fewer than questions.
+    more = asked.unionByName(spark.createDataFrame([("d", "3", "Max Muster", "Und was?"), ("d", "4", "Eva Test", "Wie?"), ("d", "5", "Eva Test", "Wo?"), ("d", "6", "Ohne Liste", "Wer?")], asked.schema))
+    listed = spark.createDataFrame([("d", v, n) for v, n in (("10", "Max Muster, MdB"), ("11", "Max Muster, MdB"), ("12", "Max Muster, MdB"), ("30", "Eva Test, MdB"), ("9", "Eva Test, MdB"), ("31", "Eva Test, MdB"))], "document string, vorgang_id string, name string")
+    assert rows(Q.spoken_procedures(more.where("number != '3'"), acts, listed)) == [("d", "1", "11"), ("d", "2", "10"), ("d", "4", "9"), ("d", "5", "30")]
+    assert ("d", "3", "12") in rows(Q.spoken_procedures(more.where("number IN ('3', '4')"), acts.where("false"), listed.where("vorgang_id > '11'")))
     asked = spark.createDataFrame([("d", n, "Eva Test") for n in ("1", "3", "7")] + [("d", "4", "Max Muster")], "document string, number string, name string")
     acts = spark.createDataFrame([("d", "9", "Test, MdB", "1"), ("d", "10", "Test, MdB", "1, 2"), ("d", "11", "Test, MdB", "4"), ("d", "12", "Test, MdB", "8")], "document string, vorgang_id string, name string, question_numbers string")
     assert rows(Q.written_procedures(asked, acts)) == [("d", "1", "10"), ("d", "3", "11"), ("d", "7", "12")]
