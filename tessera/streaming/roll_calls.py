@@ -73,7 +73,7 @@ class Waiting(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         waiting, until = self._held()
-        due = until is not None and until <= expiredTimerInfo.get_expiry_time_in_ms()
+        due = until is not None and until <= expiredTimerInfo.getExpiryTimeInMs()
         if due:
             self.state.clear()
         day = datetime.datetime.fromtimestamp((until or 0) / 1000, datetime.UTC).date().isoformat()
