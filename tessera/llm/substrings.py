@@ -1,10 +1,11 @@
 """Exact substring dedup with difference-cover anchors.
 
 A window is ``width`` consecutive words. Only shorter anchor windows are hashed
-everywhere, and those only at positions that fall on a difference cover modulo its
-period: for any two positions there is a shift, smaller than the period, that brings
-both onto the cover, so two equal windows always share an anchor at the same place in
-them. Anchors that occur once end the matter for all windows around them. Where an
+everywhere, and those only at positions in their document that fall on a difference cover
+modulo its period: for any two positions there is a shift, smaller than the period, that
+brings both onto the cover, so two equal windows always share an anchor at the same place
+in them. (Positions in the chunk would not do: each pass meets a chunk's documents in the
+order in which they are fetched, which may be another one each time.) Anchors that occur once end the matter for all windows around them. Where an
 anchor occurs again, it is extended: all whole windows that hold it are compared by
 96-bit digests.
 
@@ -99,6 +100,7 @@ class Chunk:
         self.width, self.period, self.cover = width, period, cover
         ends = np.repeat(self.first[1:], self.n)  # where the document of each word ends
         self.left = ends - np.arange(total)  # words from here to that end
+        self.place = np.arange(total) - np.repeat(self.first[:-1], self.n)  # in its document, whatever the order of documents
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray]:
         """Positions on the cover with a whole anchor in a document that has a whole window, and the anchors' digests."""
@@ -108,7 +110,7 @@ class Chunk:
         on[list(self.cover)] = True
         at = np.arange(len(digests))
         long_enough = np.repeat(self.n >= self.width, self.n)[: len(digests)]
-        keep = on[at % self.period] & (self.left[: len(digests)] >= length) & long_enough
+        keep = on[self.place[: len(digests)] % self.period] & (self.left[: len(digests)] >= length) & long_enough
         return at[keep], digests[keep]
 
     def around(self, anchors: np.ndarray) -> np.ndarray:

@@ -47,6 +47,13 @@ def test_shifted_passages(spark):
     assert all(hashlib.sha256(r["text"].encode()).hexdigest() == r["kept_sha256"] for r in got)
 
 
+def test_anchors_do_not_depend_on_the_order_of_a_chunk():
+    rng = random.Random(8)
+    texts = [prose(rng, n).encode() for n in (60, 35, 101, 1, 44, 200)]
+    found = [set(S.Chunk(t, S.WIDTH, S.PERIOD, S.COVER).anchors()[1].tolist()) for t in (texts, texts[::-1], texts[3:] + texts[:3])]
+    assert found[0] and found[0] == found[1] == found[2]
+
+
 def test_the_cover_is_checked(spark, no_docs):
     with pytest.raises(ValueError):
         S.repeated_words(no_docs, 35, 21, (0, 1, 2))
