@@ -76,8 +76,8 @@ def nearest(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, rig
     return both.select(*left.columns, best["id"].alias(right_id), best["distance"].alias("distance"))
 
 
-#: A span of days is cut into blocks of 1, BASE, BASE**2 … days; LEVELS of them reach beyond the last of all days.
-BASE, LEVELS, LAST_DAY = 16, 6, "9999-12-31"
+#: A span of days is cut into blocks of 1, BASE, BASE**2 … days; LEVELS of them reach beyond the year 9999.
+BASE, LEVELS = 16, 6
 
 
 def _floor(x: Column, width: int) -> Column:
@@ -108,12 +108,14 @@ def covering(facts: DataFrame, intervals: DataFrame, keys: Sequence[str], on: st
     An interval becomes the few blocks of days, of several widths, that make it up, a fact the
     one block of each width that holds its day; they meet by equality, so a key's facts meet
     only intervals of their day, and a key with many rows is dealt by its blocks. Moments are compared after that.
+    Blocks are never broadcast: Spark sees the size of the intervals, not of the blocks that they become. An open end
+    is where the widest blocks end, so that it adds no narrow ones.
     """
     day = lambda c: F.unix_date(F.to_date(c)).cast("long")
-    last = F.coalesce(day(F.col(end)), F.unix_date(F.lit(LAST_DAY).cast("date")).cast("long"))
+    last = F.coalesce(day(F.col(end)), F.lit(BASE**LEVELS - 1).cast("long"))
     cut = intervals.withColumn("_at", F.explode(day_blocks(day(F.col(start)), last)))
     held = [_at_level(k, _floor(day(F.col(on)), BASE**k)) for k in range(LEVELS)]
-    met = facts.withColumn("_at", F.explode(F.array(*held))).join(cut, [*keys, "_at"]).drop("_at")
+    met = facts.withColumn("_at", F.explode(F.array(*held))).join(cut.hint("merge"), [*keys, "_at"]).drop("_at")
     return met.where((F.col(start) <= F.col(on)) & (F.col(end).isNull() | (F.col(on) <= F.col(end))))
 
 

@@ -127,3 +127,15 @@ def test_interruptions_equal_a_walk(spark):
                 want[part] = own.setdefault(who, ("zwischenfrage", part))
             before = (who, told)
     assert got == want
+
+
+def test_covering_broadcasts_no_blocks(spark):
+    rows = lambda *r: "SELECT * FROM VALUES " + ", ".join("(" + ", ".join("null" if x is None else f"date'{x}'" if isinstance(x, dt.date) else str(x) for x in v) + ")" for v in r)
+    f = spark.sql(rows((1, day(5)), (1, day(900)), (2, day(5))) + " AS t(k, d)")  # of known, small size
+    s = spark.sql(rows((1, day(1), None), (1, day(3), day(9)), (2, day(6), day(7))) + " AS t(k, a, b)")
+    met = link.covering(f, s, ["k"], "d", "a", "b")
+    assert "BroadcastHashJoin" not in met._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r["k"], r["d"], r["a"]) for r in met.collect()) == [(1, day(5), day(1)), (1, day(5), day(3)), (1, day(900), day(1))]
+    # An open end takes wide blocks only.
+    blocks = link.day_blocks(link.F.lit(18001), link.F.lit(link.BASE**link.LEVELS - 1))
+    assert spark.range(1).select(link.F.size(blocks).alias("n")).first()["n"] < link.BASE * link.LEVELS
