@@ -19,6 +19,11 @@ def _number(part: str) -> F.Column:
     return F.concat(F.lit("21/"), F.col(part).cast("string"))
 
 
+def _printed(part: str) -> F.Column:
+    """A part as a number that printed documents may have: one or two digits and six at most, so for keys below 100 million."""
+    return F.concat_ws("/", F.floor(F.col(part) / 1_000_000).cast("string"), (F.col(part) % 1_000_000).cast("string"))
+
+
 def _lines(spark: SparkSession, d: str) -> DataFrame:
     day = _orders(spark, d).select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("string").alias("sitting_id"), F.col("o_custkey").alias("position"))
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_quantity", "l_shipdate")
@@ -27,8 +32,8 @@ def _lines(spark: SparkSession, d: str) -> DataFrame:
 
 def _record_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     li = _lines(spark, d)
-    items = li.where("l_linenumber > 1").groupBy(F.col("l_orderkey").cast("string").alias("id"), "sitting_id", "position").agg(F.collect_set(_number("l_partkey")).alias("drucksache_numbers"))
-    votes = li.where("l_linenumber <= 2").select(F.col("line").alias("id"), "sitting_id", F.concat(F.lit("zu "), _number("l_partkey")).alias("drucksache_number"), F.lit(None).cast("string").alias("agenda_item_id"))
+    items = li.where("l_linenumber > 1").groupBy(F.col("l_orderkey").cast("string").alias("id"), "sitting_id", "position").agg(F.collect_set(_printed("l_partkey")).alias("drucksache_numbers"))
+    votes = li.where("l_linenumber <= 2").select(F.col("line").alias("id"), "sitting_id", F.concat(F.lit("zu "), _printed("l_partkey")).alias("drucksache_number"), F.lit(None).cast("string").alias("agenda_item_id"))
     decided = li.where("l_linenumber = 1 AND l_returnflag = 'R'").select(F.col("line").alias("roll_call_vote_id"), F.col("l_orderkey").cast("string").alias("agenda_item_id"), F.col("l_suppkey").alias("position"))
     p = table(spark, d, "part")
     documents = p.select(

@@ -88,3 +88,19 @@ def test_query(spark, sf, duck, name):
     a = sorted((tuple(norm(r[c]) for c in columns) for r in got.collect()), key=repr)
     b = sorted((tuple(norm(r[at[c]]) for c in columns) for r in want.fetchall()), key=repr)
     assert a == b
+
+
+def test_votes_of_parts_with_long_keys(spark, sf, duck, tmp_path):
+    """Part keys of seven digits and more, as large tables have them."""
+    for t in ("orders", "supplier", "customer"):
+        os.symlink(f"{sf}/{t}.parquet", tmp_path / f"{t}.parquet")
+    shift = "CASE WHEN {0} % 3 = 0 THEN {0} ELSE {0} + 999900 + 1000000 * ({0} % 70) END"
+    for t, key in (("lineitem", "l_partkey"), ("part", "p_partkey")):
+        duck.sql(f"COPY (SELECT * REPLACE ({shift.format(key)} AS {key}) FROM {t}) TO '{tmp_path}/{t}.parquet'")
+    con = duckdb.connect()
+    for t in ("orders", "lineitem"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
+    want = sorted(con.sql(ORACLES["step_votes_to_items"]).fetchall(), key=str)
+    got = CATALOGUE["step_votes_to_items"](spark, str(tmp_path)).select("vote_id", "sitting_id", "agenda_item_id").collect()
+    assert sorted(map(tuple, got), key=str) == want
+    assert any(x is not None and int(v.split("-")[2]) > 999_999 and v.split("-")[1] == "2" for v, _, x in want)
