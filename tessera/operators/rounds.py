@@ -5,7 +5,16 @@ from __future__ import annotations
 import re
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+
+#: Rows that a task sorts at a time, about.
+ROWS = 1 << 19
+
+
+def dealt(df: DataFrame, rows: int, *keys: str | Column) -> DataFrame:
+    """``df`` dealt by ``keys`` into as many partitions as ``rows`` asks for: a task's share does not grow with the table."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, -(-rows // ROWS)), *keys)
 
 
 def cut(df: DataFrame) -> DataFrame:

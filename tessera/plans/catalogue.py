@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tessera.functions import text as X
 from tessera.operators import aggregates as A
 from tessera.operators import checks, dedup, intervals, link, sequence, upsert
+from tessera.operators.rounds import dealt
 from tessera.session import TABLES, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,15 +140,14 @@ def decision_sheet(spark, d):
 @query
 def reconcile_two_sources(spark, d):
     """Q11: order status against the lines' statuses, both ways."""
-    o = _orders(spark, d)
-    per = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.min("l_linestatus").alias("low"), F.max("l_linestatus").alias("high"))
+    o, li = _orders(spark, d).select("o_orderkey", "o_orderstatus"), table(spark, d, "lineitem").select("l_orderkey", "l_linestatus")
+    # Both sides are dealt once, by the number of lines, and met once.
+    n = li.count()
+    per = dealt(li, n, "l_orderkey").groupBy("l_orderkey").agg(F.min("l_linestatus").alias("low"), F.max("l_linestatus").alias("high"))
     said = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise("P")
-    both = o.join(per, o.o_orderkey == per.l_orderkey).withColumn("line_status", said)
-    result = both.where("line_status <> o_orderstatus").select(F.lit("result").alias("kind"), "o_orderkey", "o_orderstatus", "line_status")
-    missing = o.join(per, o.o_orderkey == per.l_orderkey, "left_anti").select(
-        F.lit("missing").alias("kind"), "o_orderkey", "o_orderstatus", F.lit(None).cast("string").alias("line_status")
-    )
-    return result.unionByName(missing)
+    both = dealt(o, n, "o_orderkey").join(per.hint("merge"), o.o_orderkey == per.l_orderkey, "left")
+    told = both.withColumns({"kind": F.when(F.col("l_orderkey").isNull(), "missing").otherwise("result"), "line_status": F.when(F.col("l_orderkey").isNotNull(), said)})
+    return told.where("kind = 'missing' OR line_status <> o_orderstatus").select("kind", "o_orderkey", "o_orderstatus", "line_status")
 
 
 @query

@@ -216,3 +216,19 @@ def test_snapshots(spark):
     s = lambda x: spark.createDataFrame(x, "k string, n long")
     diff = checks.snapshot_diff(s([("a", 100), ("b", 100), ("c", 5), ("d", 9)]), s([("a", 96), ("b", 94), ("c", 0), ("e", 1)]), "k", "n")
     assert {r["k"]: r["failed"] for r in diff.collect()} == {"a": False, "b": True, "c": True, "d": True, "e": False}
+
+
+def test_large_tables_are_dealt_into_more_partitions(spark):
+    from tessera.operators.rounds import ROWS, dealt
+
+    df = spark.range(10)
+    assert dealt(df, 10, "id").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert dealt(df, 100 * ROWS, "id").rdd.getNumPartitions() == 100
+    assert dealt(df, 10, "id").count() == 10
+
+
+def test_reconcile_meets_each_side_once(spark, sf):
+    from tessera.plans.catalogue import CATALOGUE
+
+    plan = CATALOGUE["reconcile_two_sources"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and plan.count("RepartitionByExpression") == 2
