@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.rounds import cut
+from tessera.operators.rounds import ROWS, cut, dealt
 
 
 def _ddl(df: DataFrame, columns: Sequence[str]) -> str:
@@ -50,11 +50,14 @@ def greedy(pairs: DataFrame, keys: Sequence[str], a: str, b: str, distance: str)
     In each round every pair goes that is the least of both its ends: no other pair could have taken either end
     before it. What its ends had besides goes with it. That gives what taking pairs one after the other would
     give, whatever the number of rows of a key; rounds are as many as the longest run of pairs
-    that hang on each other. Ends are summed up before they are shuffled. Pairs with a null distance are never taken.
+    that hang on each other. Ends are summed up before they are shuffled. Pairs with a null distance are never taken,
+    repeated ones once. There may be far more pairs than rows: they are dealt so that a task has some ROWS of them at most.
     """
-    left = cut(pairs.select(*keys, a, b, distance).where(F.col(distance).isNotNull()).distinct())
+    left = cut(pairs.select(*keys, a, b, distance).where(F.col(distance).isNotNull()))
     taken = None
-    while not left.isEmpty():
+    while n := left.count():
+        if n > ROWS * left.rdd.getNumPartitions() or taken is None:
+            left = cut(dealt(left, n, *keys, a, b))
         of_a = left.groupBy(*keys, a).agg(F.min(F.struct(F.col(distance), F.col(b))).alias("_least"))
         of_b = left.groupBy(*keys, b).agg(F.min(F.struct(F.col(distance), F.col(a))).alias("_least"))
         of_a = of_a.select(*keys, a, F.col("_least")[b].alias(b), F.col("_least")[distance].alias(distance))

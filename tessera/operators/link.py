@@ -8,6 +8,8 @@ from functools import partial, reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.rounds import dealt
+
 
 def lookup(df: DataFrame, dimension: DataFrame, keys: Sequence[str], last: Sequence[Column], how: str = "left") -> DataFrame:
     """Join to a dimension that may repeat a key: its last row in the order of ``last`` counts.
@@ -146,10 +148,12 @@ def within_tolerance(left: DataFrame, right: DataFrame, keys: Sequence[str], a:
     """Pairs of a key whose ``a`` and ``b`` differ by at most ``tolerance`` (J17's candidates).
 
     A band join: values fall into bands as wide as the tolerance, and a left row meets
-    its own and the two neighbouring bands only, by equality.
+    its own and the two neighbouring bands only, by equality. Left rows are dealt by band first: the
+    pairs may be far more than the rows, which Spark would take for little work.
     """
     band = lambda c: F.floor(F.col(c) / tolerance)
     wide = left.withColumn("_band", F.explode(F.array(*(band(a) + k for k in (-1, 0, 1)))))
+    wide = dealt(wide, 0, *keys, "_band")
     return wide.join(right.withColumn("_band", band(b)), [*keys, "_band"]).where(F.abs(F.col(a) - F.col(b)) <= tolerance).drop("_band")
 
 

@@ -232,3 +232,23 @@ def test_reconcile_meets_each_side_once(spark, sf):
 
     plan = CATALOGUE["reconcile_two_sources"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1 and plan.count("RepartitionByExpression") == 2
+
+
+def test_greedy_deals_its_pairs(spark, monkeypatch):
+    from tessera.operators import assign, link, rounds
+
+    asked = []
+    monkeypatch.setattr(assign, "dealt", lambda df, n, *keys: asked.append(n) or rounds.dealt(df, n, *keys))
+    pairs = [("k", a, b, float((a * 7 + b * 5) % 11)) for a in range(12) for b in range(12)] * 2
+    got = {(r["a"], r["b"]) for r in assign.greedy(spark.createDataFrame(pairs, "k string, a int, b int, d double"), ["k"], "a", "b", "d").collect()}
+    left, right, want = set(), set(), set()
+    for _, a, b, _ in sorted(pairs, key=lambda p: (p[3], p[1], p[2])):
+        if a not in left and b not in right:
+            left.add(a)
+            right.add(b)
+            want.add((a, b))
+    assert got == want and asked[0] == len(pairs)
+    # Candidate pairs are made by more than one task, however small the tables are.
+    s = spark.sql("SELECT 1 AS k, id AS a, CAST(id AS double) AS x FROM range(9)")
+    near = link.within_tolerance(s, s.withColumnsRenamed({"a": "b", "x": "y"}), ["k"], "x", "y", 2.0)
+    assert near.count() == 39 and "RepartitionByExpression" in near._jdf.queryExecution().optimizedPlan().toString()
