@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -85,22 +86,21 @@ class Sums:
 
     def __init__(self, counts: np.ndarray):
         self.counts = counts
-        lengths, most = np.flatnonzero(counts), len(counts) - 1
-        i, j = np.triu_indices(len(lengths))
-        self.pairs = self._hashed(lengths[i] + lengths[j], lengths[j], most)
-        sums = np.array(sorted(self.pairs), np.int64)
-        total, top = (sums[None, :] + lengths[:, None]).ravel(), np.repeat(lengths, len(sums))
-        possible = total <= 3 * top  # the largest member is no less than a third
-        self.triples = self._hashed(total[possible], top[possible], most)
+        lengths = np.flatnonzero(counts)
+        self.pairs = self._hashed(lengths, counts > 0, 2)
+        sums = np.zeros(len(counts), bool)
+        sums[list(self.pairs)] = True
+        self.triples = self._hashed(lengths, sums, 3)
 
     @staticmethod
-    def _hashed(total: np.ndarray, top: np.ndarray, most: int) -> dict[int, list[int]]:
-        fits = total <= most
-        total, top = total[fits], top[fits]
-        order = np.lexsort((top, total))
-        total, top = total[order], top[order]
-        keys, first = np.unique(total, return_index=True)
-        return dict(zip(keys.tolist(), (x.tolist() for x in np.split(top, first[1:])), strict=True)) if len(keys) else {}
+    def _hashed(lengths: np.ndarray, rest: np.ndarray, members: int) -> dict[int, array]:
+        """The largest members by total, rising; ``rest`` says which sums the others may have. Four bytes each: there are some millions."""
+        found = {}
+        for total in range(1, len(rest)):
+            tops = lengths[(lengths <= total) & (lengths * members >= total)]  # the largest is no less than its share
+            if len(tops := tops[rest[total - tops]]):
+                found[total] = array("i", tops.astype(np.intc).tobytes())
+        return found
 
     def _allows(self, lengths: tuple[int, ...], held: tuple[int, ...] = ()) -> bool:
         return all(self.counts[x] - held.count(x) >= lengths.count(x) for x in lengths)

@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -149,6 +150,14 @@ def test_sums_name_what_counts_allow(histogram, gap):
         assert sum(found) == gap and found[0] == top and not Counter(found) - Counter(histogram)
 
 
+def test_sums_of_all_lengths_take_little_of_the_driver():
+    tracemalloc.start()
+    sums = P.Sums(np.ones(2049, np.int64))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sums.triple(2048) and peak < 40e6
+
+
 def log_normal(seed, n):
     rng = np.random.default_rng(seed)
     tokens = np.exp(rng.normal(rng.uniform(4, 7.2), rng.uniform(0.5, 1.6), n)).astype(int) + 1
