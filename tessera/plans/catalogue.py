@@ -752,7 +752,11 @@ def lines_of_characters(spark, d):
     """Conversations set on pages character by character, and put together again line by line."""
     from tessera.sources import layout
 
-    found = layout.lines(_set_on_pages(table(spark, d, "conversations")))
+    said = table(spark, d, "conversations")
+    # Characters of a page are nearly alike: by the bytes they are packed into, Spark would give a task too many to sort.
+    # Their number is close enough from the lengths; so dealt by page, no later step moves them.
+    n = said.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    found = layout.lines(dealt(_set_on_pages(said), n, *layout.PAGE))
     return found.select(F.col("document").alias("conv_id"), F.col("page").cast("long").alias("page"), "line", "bold", F.trim("text").alias("text"))
 
 

@@ -104,3 +104,12 @@ def test_votes_of_parts_with_long_keys(spark, sf, duck, tmp_path):
     got = CATALOGUE["step_votes_to_items"](spark, str(tmp_path)).select("vote_id", "sitting_id", "agenda_item_id").collect()
     assert sorted(map(tuple, got), key=str) == want
     assert any(x is not None and int(v.split("-")[2]) > 999_999 and v.split("-")[1] == "2" for v, _, x in want)
+
+
+def test_characters_are_dealt_by_their_number(spark, sf, monkeypatch):
+    from tessera.operators import rounds
+
+    monkeypatch.setattr(rounds, "ROWS", 1000)
+    found = CATALOGUE["lines_of_characters"](spark, sf)
+    n = spark.read.parquet(f"{sf}/conversations.parquet").selectExpr("sum(length(text))").first()[0]
+    assert n > 8000 and found.rdd.getNumPartitions() == -(-n // 1000)
